@@ -40,7 +40,7 @@ def is_spot_symbol(symbol: Column | str, allow: tuple[str, ...] = ()) -> Column:
 def symbol_list(text: Column | str) -> Column:
     """Distinct valid symbols of a comma-separated text; null when none is left."""
     parts = F.transform(F.split(_col(text), ","), lambda part: F.upper(F.trim(part)))
-    kept = F.array_distinct(F.filter(parts, is_spot_symbol))
+    kept = F.array_distinct(F.filter(parts, lambda part: is_spot_symbol(part)))
     return F.when(F.size(kept) > 0, kept)
 
 

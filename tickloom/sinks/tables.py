@@ -116,8 +116,8 @@ def write_events_by_day(events: DataFrame, path: str) -> None:
 
 def write_json_lines(events: DataFrame, path: str) -> None:
     """Append canonical JSON Lines."""
-    columns = [name for name in schemas.EVENT_COLUMNS if name in events.columns]
-    events.select(fn.canonical_json(columns).alias("value")).write.mode("append").text(path)
+    columns = sorted(name for name in schemas.EVENT_COLUMNS if name in events.columns)
+    events.select(*columns).write.mode("append").json(path)
 
 
 def write_quarantine(bad: DataFrame, path: str) -> None:

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from tickloom import params, schemas
 from tickloom.functions import events as fn
 
-# Layout of archive file names and the tag of their events.
-FILE_SYMBOL = r"([^/]+)-aggTrades-[^/]*$"
+# Layout of archive paths and the tag of their events.
+FILE_SYMBOL = r"/(?:symbol=)?([^/=]+)/[^/]+$"
 OUTPUT_NAME = r"([^/]+)-aggTrades-([0-9]{4}-[0-9]{2}-[0-9]{2})\.jsonl\.gz$"
 ARCHIVE_SOURCE = "binance-vision-historical"
 
 
 def read_archive(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Rows of headerless archive files, with the symbol that the file name starts with."""
+    """Rows of headerless archive files, with the symbol that their folder is named after."""
     return (
         spark.read.schema(schemas.ARCHIVE_ROW)
         .option("recursiveFileLookup", "true")

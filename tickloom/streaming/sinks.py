@@ -15,9 +15,17 @@ def _trigger(every: str | None) -> dict[str, object]:
 
 
 def archive_events(
-    events: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds"
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = "60 seconds",
+    writers: int = 4,
 ) -> StreamingQuery:
-    """Raw archive: gzip JSON Lines in folders by date, hour and symbol of the payload."""
+    """Raw archive: gzip JSON Lines in folders by date, hour and symbol of the payload.
+
+    Each folder gets at most ``writers`` files per micro-batch, written by that many tasks, so
+    files stay few and a symbol with most of the traffic is not left to one task.
+    """
     columns = [name for name in schemas.EVENT_COLUMNS if name in events.columns]
     clock = F.timestamp_millis(fn.epoch_millis("event_time"))
     return (
@@ -26,7 +34,10 @@ def archive_events(
             F.date_format(clock, "yyyy-MM-dd").alias("date"),
             F.date_format(clock, "HH").alias("hour"),
             F.upper("symbol").alias("symbol"),
+            F.pmod(F.hash("trade_id"), F.lit(writers)).alias("writer"),
         )
+        .repartition("date", "hour", "symbol", "writer")
+        .drop("writer")
         .writeStream.partitionBy("date", "hour", "symbol")
         .option("compression", "gzip")
         .option("checkpointLocation", checkpoint)
@@ -40,12 +51,12 @@ def append_json_lines(
     events: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Canonical JSON Lines, appended."""
-    columns = [name for name in schemas.EVENT_COLUMNS if name in events.columns]
+    columns = sorted(name for name in schemas.EVENT_COLUMNS if name in events.columns)
     return (
-        events.select(fn.canonical_json(columns).alias("value"))
+        events.select(*columns)
         .writeStream.option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
-        .format("text")
+        .format("json")
         .start(path)
     )
 
