@@ -21,6 +21,7 @@ from tickloom.registry.shared import (
     SQL_BASELINE_COLUMNS,
     SQL_EVENTS,
     SQL_HISTORY,
+    SQL_RAW_EVENTS,
     SQL_WINDOW_COLUMNS,
     SQL_WINDOWS,
     UPDATED_AT,
@@ -31,6 +32,7 @@ from tickloom.registry.shared import (
     rounded,
     sql_baselines,
     sql_windows,
+    user_events,
 )
 from tickloom.session import materialise
 
@@ -94,7 +96,7 @@ def event_windows_closed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_windows(spark: SparkSession, folder: str) -> DataFrame:
-    trades = adapters.user_events(spark, folder)
+    trades = user_events(spark, folder)
     return rounded(event_windows(trades, "1 day", id_bound=ID_BOUND))
 
 
@@ -133,7 +135,7 @@ def baselines_approx(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_baselines(spark: SparkSession, folder: str) -> DataFrame:
-    trades = adapters.user_events(spark, folder)
+    trades = user_events(spark, folder)
     daily = materialise(event_windows(trades, "1 day", id_bound=ID_BOUND), "windows")
     return rounded(base.baselines(daily, UPDATED_AT))
 
@@ -164,7 +166,7 @@ def spikes_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_prices(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(views.latest_market_prices(events(spark, folder), ID_BOUND))
+    return rounded(views.latest_market_prices(adapters.market_events(spark, folder), ID_BOUND))
 
 
 def user_latest_prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,11 +175,11 @@ def user_latest_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def market_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(views.market_summary(events(spark, folder)))
+    return rounded(views.market_summary(adapters.market_events(spark, folder)))
 
 
 def event_symbol_count(spark: SparkSession, folder: str) -> DataFrame:
-    return event_counts(events(spark, folder))
+    return event_counts(adapters.market_events(spark, folder))
 
 
 QUERIES: dict[str, Query] = {
@@ -289,9 +291,9 @@ SELECT {_RANK}, {_SHOWN.format(places=2, price=PRICE)}, {_TREND} FROM sc WHERE {
 SELECT {_SHOWN_6}, round(rz, 6) AS spike_zscore FROM sc WHERE {_IS_LATEST} AND abs(rz) >= 3""",
     "spikes_history": f"""{SQL_WINDOWS}, {_ZSCORES}
 SELECT {_SHOWN_6}, round(rz, 6) AS spike_zscore FROM sc WHERE abs(rz) >= 3""",
-    "latest_prices": f"WITH {SQL_EVENTS} {_prices_sql('m')}",
+    "latest_prices": f"WITH {SQL_RAW_EVENTS} {_prices_sql('m')}",
     "user_latest_prices": f"WITH {_USERS} {_prices_sql('u')}",
-    "market_summary": f"""WITH {SQL_EVENTS}
+    "market_summary": f"""WITH {SQL_RAW_EVENTS}
 SELECT symbol, count(*) AS event_count,
   make_timestamp(min(event_time) * 1000) AS first_event_timestamp,
   make_timestamp(max(event_time) * 1000) AS latest_event_timestamp,
@@ -299,6 +301,6 @@ SELECT symbol, count(*) AS event_count,
   round(avg(last_price), 6) AS average_trade_price,
   max(ingest_time - event_time) AS maximum_ingestion_latency_ms
 FROM m GROUP BY symbol""",
-    "event_symbol_count": f"""WITH {SQL_EVENTS}
+    "event_symbol_count": f"""WITH {SQL_RAW_EVENTS}
 SELECT count(*) AS event_count, count(DISTINCT symbol) AS symbol_count FROM m""",
 }

@@ -33,6 +33,7 @@ from tickloom.registry.shared import (
     sql_baselines,
     sql_scores,
     sql_windows,
+    user_events,
 )
 from tickloom.session import materialise
 
@@ -65,7 +66,7 @@ def hybrid_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _user_baselines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    trades = adapters.user_events(spark, folder)
+    trades = user_events(spark, folder)
     windows = materialise(event_windows(trades, "1 day", id_bound=ID_BOUND), "windows")
     return trades, materialise(baselines(windows, UPDATED_AT), "baselines")
 
@@ -142,7 +143,7 @@ def brand_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sliding_latest(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(latest_sliding(adapters.user_events(spark, folder), "1 day", min_records=1))
+    return rounded(latest_sliding(user_events(spark, folder), "1 day", min_records=1))
 
 
 def time_buckets(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,13 +163,13 @@ def bucket_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bucket_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    trades = adapters.user_events(spark, folder)
+    trades = user_events(spark, folder)
     return rounded(bk.latest_bucket_window(trades, "1 day", BUCKET_MS, id_bound=ID_BOUND))
 
 
 def bucket_state(spark: SparkSession, folder: str) -> DataFrame:
     """State rows per user, as JSON text of their bucket list."""
-    trades = adapters.user_events(spark, folder)
+    trades = user_events(spark, folder)
     buckets = materialise(bk.time_buckets(trades, BUCKET_MS, ID_BOUND), "buckets")
     state = bk.bucket_state(bk.retain_recent(buckets, 86_400_000))
     starts = F.transform("buckets", lambda bucket: bucket["bucket_start"].cast("string"))
@@ -182,7 +183,7 @@ def bucket_state(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def newest_event_times(spark: SparkSession, folder: str) -> DataFrame:
-    return newest_times(adapters.user_events(spark, folder))
+    return newest_times(user_events(spark, folder))
 
 
 def dedup_trades(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tickloom import adapters, params
 from tickloom.operators.baselines import baselines
+from tickloom.operators.clean import valid_event
 from tickloom.operators.windows import event_windows
 from tickloom.session import materialise
 
@@ -26,7 +27,13 @@ def rounded(df: DataFrame, **places: int) -> DataFrame:
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.market_events(spark, folder)
+    """Trades with a price, as cleaning leaves them."""
+    return adapters.market_events(spark, folder).where(valid_event())
+
+
+def user_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The same trades keyed by user."""
+    return adapters.user_events(spark, folder).where(valid_event())
 
 
 def hourly(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,14 +48,15 @@ def hourly_baselines(spark: SparkSession, folder: str) -> DataFrame:
     return baselines(hourly_table(spark, folder), UPDATED_AT)
 
 
-# Trades of the events table.
-SQL_EVENTS = """m AS (
+# Trades of the events table: all of them, and those with a price.
+SQL_RAW_EVENTS = """m AS (
   SELECT upper(event_type) || 'USDT' AS symbol, upper(event_type) AS base_asset,
          epoch_us(ts) // 1000 AS event_time, value AS last_price,
          value * (1 + CAST(regexp_extract(props, '[0-9]+') AS BIGINT)) AS quote_volume,
          CAST(1 AS BIGINT) AS trade_count, epoch_us(ts) // 1000 + event_id % 500 AS ingest_time,
          event_id AS trade_id, user_id
   FROM events)"""
+SQL_EVENTS = SQL_RAW_EVENTS.replace("FROM events)", "FROM events WHERE value > 0)")
 
 
 def sql_windows(source: str = "m", name: str = "w", length_ms: int = 3_600_000, least: int = 2) -> str:

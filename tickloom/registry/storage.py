@@ -27,6 +27,7 @@ from tickloom.registry.shared import (
     hourly,
     hourly_baselines,
     rounded,
+    user_events,
 )
 from tickloom.session import scratch_path
 from tickloom.sinks import tables
@@ -77,9 +78,9 @@ def scan_strict(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(cleaned.drop(*_EVENT_ONLY))
 
 
-def _json_archive(spark: SparkSession, folder: str) -> str:
+def _json_archive(spark: SparkSession, trades: DataFrame) -> str:
     path = scratch_path(spark, "json-archive")
-    tables.write_json_lines(events(spark, folder), path)
+    tables.write_json_lines(trades, path)
     return path
 
 
@@ -88,7 +89,7 @@ def full_history_batch(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "published")
     run_batch(
         spark,
-        _json_archive(spark, folder),
+        _json_archive(spark, adapters.market_events(spark, folder)),
         f"{out}/baselines",
         UPDATED_AT,
         json_output=f"{out}/baselines-json",
@@ -101,7 +102,7 @@ def full_history_batch(spark: SparkSession, folder: str) -> DataFrame:
 def catalog_market_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The summary view in SQL over a catalog table on the JSON archive."""
     name = f"raw_market_events_{uuid.uuid4().hex}"
-    event_files.create_events_table(spark, _json_archive(spark, folder), name)
+    event_files.create_events_table(spark, _json_archive(spark, adapters.market_events(spark, folder)), name)
     view = f"market_summary_{uuid.uuid4().hex}"
     views.market_summary(spark.table(name)).createOrReplaceTempView(view)
     return rounded(spark.sql(f"SELECT * FROM {view}"))
@@ -149,7 +150,7 @@ def serving_document(spark: SparkSession, folder: str) -> DataFrame:
 
 def sink_metrics_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Daily windows of users as a CSV log with a heading."""
-    trades = adapters.user_events(spark, folder)
+    trades = user_events(spark, folder)
     daily = event_windows(trades, "1 day", id_bound=adapters.EVENT_ID_BOUND)
     path = scratch_path(spark, "log")
     tables.write_log(daily, path)

@@ -29,6 +29,7 @@ from tickloom.registry.shared import (
     events,
     rounded,
     sql_scores,
+    user_events,
 )
 from tickloom.session import scratch_path
 from tickloom.sources.events import read_event_stream, read_events
@@ -105,7 +106,7 @@ def dedup_of_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def sliding_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Recent day of each user kept as records; every trade arrives twice."""
-    trades = adapters.user_events(spark, folder)
+    trades = user_events(spark, folder)
     state = RecentRecords(spark, scratch_path(spark, "state"), USER_SETTINGS.window)
     _finish(
         start(
@@ -143,7 +144,7 @@ def _bucket_state(spark: SparkSession, folder: str, copies: int) -> RecentBucket
         USER_BUCKET_MS,
         adapters.EVENT_ID_BOUND,
     )
-    records = _records_stream(spark, adapters.user_events(spark, folder), copies)
+    records = _records_stream(spark, user_events(spark, folder), copies)
     _finish(
         start(
             records,

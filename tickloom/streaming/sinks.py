@@ -24,8 +24,10 @@ def archive_events(
     """Raw archive: gzip JSON Lines in folders by date, hour and symbol of the payload.
 
     Each folder gets at most ``writers`` files per micro-batch, written by that many tasks, so
-    files stay few and a symbol with most of the traffic is not left to one task.
+    files stay few and a symbol with most of the traffic is not left to one task. The number of
+    tasks is given, else adaptive execution would join small batches into one slow writer.
     """
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [name for name in schemas.EVENT_COLUMNS if name in events.columns]
     clock = F.timestamp_millis(fn.epoch_millis("event_time"))
     return (
@@ -36,7 +38,7 @@ def archive_events(
             F.upper("symbol").alias("symbol"),
             F.pmod(F.hash("trade_id"), F.lit(writers)).alias("writer"),
         )
-        .repartition("date", "hour", "symbol", "writer")
+        .repartition(tasks, "date", "hour", "symbol", "writer")
         .drop("writer")
         .writeStream.partitionBy("date", "hour", "symbol")
         .option("compression", "gzip")
