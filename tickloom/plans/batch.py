@@ -53,6 +53,7 @@ def run_batch(
     batch_view_output: str | None = None,
     window: str = params.DEFAULT_WINDOW,
     min_records: int = params.DEFAULT_MIN_RECORDS,
+    id_bound: int | None = None,
     median: str = "exact",
 ) -> None:
     """Read a JSON Lines archive and publish its batch views."""
@@ -61,8 +62,9 @@ def run_batch(
         updated_at,
         window,
         min_records,
-        median=median,
-        windows_path=batch_view_output,
+        id_bound,
+        median,
+        batch_view_output,
     )
     rows = materialise(views.baselines, "baselines")
     tables.write_baselines(rows, output_path)

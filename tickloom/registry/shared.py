@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from tickloom import adapters, params
 from tickloom.operators.baselines import baselines
-from tickloom.operators.clean import valid_event
 from tickloom.operators.windows import event_windows
 from tickloom.session import materialise
 
@@ -28,12 +27,12 @@ def rounded(df: DataFrame, **places: int) -> DataFrame:
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Trades with a price, as cleaning leaves them."""
-    return adapters.market_events(spark, folder).where(valid_event())
+    return adapters.market_events(spark, folder).where("last_price > 0")
 
 
 def user_events(spark: SparkSession, folder: str) -> DataFrame:
     """The same trades keyed by user."""
-    return adapters.user_events(spark, folder).where(valid_event())
+    return adapters.user_events(spark, folder).where("last_price > 0")
 
 
 def hourly(spark: SparkSession, folder: str) -> DataFrame:
