@@ -103,7 +103,7 @@ def reference_windows(rows, length, least=2):
 def test_windows_match_brute_force_in_any_order(spark, seed):
     rows = random_rows(seed)
     expected = reference_windows(rows, 5_000)
-    windows = event_windows(frame(spark, rows), "5 seconds", ties=("last_price",))
+    windows = event_windows(frame(spark, rows), "5 seconds")
     found = {
         (r["symbol"], r["window_start"]): (
             r["first_price"], r["last_price"], r["quote_volume_5m"], r["trade_count_5m"],
@@ -261,11 +261,16 @@ def test_constant_price_has_no_spike(spark):
 
 
 def test_latest_row_breaks_ties_by_id(spark):
-    rows = [event("A", 10, 1.0, trade_id=1), event("A", 10, 2.0, trade_id=3), event("A", 10, 3.0),
+    rows = [event("A", 10, 1.0, trade_id=1), event("A", 10, 2.0, trade_id=3),
             event("A", 9, 4.0, trade_id=99)]
     for bound in (None, 1000):
         (row,) = latest_rows(frame(spark, rows), ("last_price",), bound).collect()
         assert row["last_price"] == 2.0
+    without_id = [*rows, event("A", 10, 3.0)]
+    (row,) = latest_rows(frame(spark, without_id), ("last_price",)).collect()
+    assert row["last_price"] == 2.0
+    with pytest.raises(Exception, match="trade_id outside"):
+        latest_rows(frame(spark, without_id), ("last_price",), 1000).collect()
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 10])

@@ -6,26 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def event_order(
-    length_ms: int | None = None,
-    id_bound: int | None = None,
-    ties: tuple[str, ...] = (),
-) -> Column:
-    """Key that orders events by time, then trade id (a missing id sorts first).
+def event_order(length_ms: int | None = None, id_bound: int | None = None) -> Column:
+    """Key that orders events by time, then trade id (a missing id sorts first), then price.
 
     The general form is a struct, which Spark can only aggregate after sorting its input. When all
-    rows of a group share one interval of ``length_ms`` and ids stay below ``id_bound``, both parts
-    fit one long and the group is built by hashing instead; measured, that is three to four times
-    faster. An id outside the stated bound fails the job, it is never misplaced silently.
+    rows of a group share one interval of ``length_ms`` and every row has an id below ``id_bound``,
+    both parts fit one long and the group is built by hashing instead; measured, that is three to
+    four times faster. A row that breaks the promise fails the job, it is never misplaced silently.
     """
-    trade_id = F.coalesce(F.col("trade_id"), F.lit(-1).cast("long"))
-    if length_ms is None or id_bound is None or ties:
-        return F.struct(F.col("event_time"), trade_id, *[F.col(name) for name in ties])
-    span = id_bound + 1
-    if length_ms * span >= 2**63:
+    if length_ms is None or id_bound is None:
+        trade_id = F.coalesce(F.col("trade_id"), F.lit(-1).cast("long"))
+        return F.struct(F.col("event_time"), trade_id, F.col("last_price"))
+    if length_ms * id_bound >= 2**63:
         raise ValueError("interval length times id bound does not fit 64 bits")
     offset = F.pmod(F.col("event_time"), F.lit(length_ms).cast("long"))
+    trade_id = F.col("trade_id")
     return F.when(
-        trade_id.between(-1, id_bound - 1),
-        offset * F.lit(span).cast("long") + trade_id + 1,
-    ).otherwise(F.raise_error(F.lit(f"trade_id outside [-1, {id_bound})")).cast("long"))
+        (trade_id >= 0) & (trade_id < id_bound), offset * F.lit(id_bound).cast("long") + trade_id
+    ).otherwise(F.raise_error(F.lit(f"trade_id outside [0, {id_bound})")).cast("long"))

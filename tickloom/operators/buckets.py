@@ -42,20 +42,17 @@ def merge_buckets(*parts: DataFrame) -> DataFrame:
     together = parts[0]
     for part in parts[1:]:
         together = together.unionByName(part)
-    first = F.struct("first_event_time", "first_trade_id")
-    last = F.struct("last_event_time", "last_trade_id")
+    first = F.struct("first_event_time", "first_trade_id", "first_price")
+    last = F.struct("last_event_time", "last_trade_id", "last_price")
     return (
         together.groupBy("symbol", "bucket_start")
         .agg(
             F.min(first).alias("first"),
             F.max(last).alias("last"),
-            F.min_by("first_price", first).alias("first_price"),
-            F.max_by("last_price", last).alias("last_price"),
             F.sum("quote_volume").alias("quote_volume"),
             F.sum("trade_count").alias("trade_count"),
         )
-        .select("symbol", "bucket_start", "first.*", "last.*", "first_price", "last_price",
-                "quote_volume", "trade_count")
+        .select("symbol", "bucket_start", "first.*", "last.*", "quote_volume", "trade_count")
         .select(*_COLUMNS)
     )
 

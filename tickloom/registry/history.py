@@ -101,7 +101,7 @@ def user_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _brand_windows(spark: SparkSession, folder: str) -> DataFrame:
-    return event_windows(adapters.brand_events(spark, folder), "30 days", ties=("last_price",))
+    return event_windows(adapters.brand_events(spark, folder), "30 days")
 
 
 def brand_windows(spark: SparkSession, folder: str) -> DataFrame:
