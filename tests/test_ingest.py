@@ -66,6 +66,16 @@ def test_records_carry_shard_and_sequence(spark):
     ]
 
 
+def test_connector_rows(spark):
+    rows = [(bytearray(json.dumps({"symbol": "btcusdt", "trade_id": 5}).encode()), "trades", 3, 42)]
+    df = spark.createDataFrame(rows, "value binary, topic string, partition int, offset long")
+    (row,) = as_dicts(messages.decode_stream_rows(df))
+    assert (row["symbol"], row["trade_id"]) == ("BTCUSDT", 5)
+    assert (row["_shard_id"], row["_sequence"]) == ("trades-3", "42")
+    generated = messages.read_record_stream(spark, "rate", {"rowsPerSecond": "1"})
+    assert generated.isStreaming
+
+
 def test_sequences_compare_as_numbers(spark):
     big, bigger = "9" * 40, "1" + "0" * 40
     cases = [

@@ -6,7 +6,7 @@ import argparse
 from collections.abc import Sequence
 
 from tickloom.operators.metrics import run_summary, scaling_summary
-from tickloom.session import build_session
+from tickloom.session import build_session, drop_scratch
 from tickloom.sinks.tables import write_log
 from tickloom.sources import logs
 
@@ -22,6 +22,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     write_log(run_summary(logs.read_run_log(spark, args.input_csv)), args.output_csv)
     if args.scaling_csv and args.scaling_output:
         write_log(scaling_summary(logs.read_scaling_log(spark, args.scaling_csv)), args.scaling_output)
+    drop_scratch(spark)
     return 0
 
 

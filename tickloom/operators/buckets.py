@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom import params, schemas
 from tickloom.functions import events as fn
 from tickloom.functions.ordering import event_order
-from tickloom.operators.latest import newest_times
+from tickloom.operators.latest import after_oldest_cutoff, newest_times
 from tickloom.session import materialise
 
 _COLUMNS = schemas.SYMBOL_BUCKET.fieldNames()
@@ -108,7 +108,8 @@ def latest_bucket_window(
     newest = materialise(newest_times(events), "newest")
     cutoff = F.col("newest") - F.lit(length).cast("long")
     tail = (
-        events.join(newest, "symbol")
+        after_oldest_cutoff(events, newest, length + bucket_ms)
+        .join(newest, "symbol")
         .where(F.col("event_time") >= fn.aligned_start(cutoff, bucket_ms))
         .drop("newest")
     )

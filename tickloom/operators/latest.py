@@ -46,6 +46,16 @@ def newest_overall(df: DataFrame, time: str = "window_end") -> DataFrame:
     return df.agg(F.max(time).alias("newest"))
 
 
+def after_oldest_cutoff(events: DataFrame, newest: DataFrame, span_ms: int) -> DataFrame:
+    """Drop events before the earliest cutoff of any symbol.
+
+    The bound is one number, so the scan itself can skip old files and row groups. ``newest`` must
+    be a written table.
+    """
+    oldest = newest.agg(F.min("newest")).scalar()
+    return events.where(F.col("event_time") >= oldest - F.lit(span_ms).cast("long"))
+
+
 def recent_events(events: DataFrame, newest: DataFrame, window_ms: int) -> DataFrame:
     """Events within ``window_ms`` of the newest one of their symbol, both ends included.
 

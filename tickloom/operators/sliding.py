@@ -9,7 +9,7 @@ from tickloom import params
 from tickloom.functions import events as fn
 from tickloom.functions.ordering import event_order
 from tickloom.operators.dedupe import dedupe_trades
-from tickloom.operators.latest import newest_times, recent_events
+from tickloom.operators.latest import after_oldest_cutoff, newest_times, recent_events
 from tickloom.session import materialise
 
 
@@ -42,8 +42,9 @@ def latest_sliding(
     Two scans: the first reads two columns and leaves one row per symbol, the second keeps only
     the tail of each symbol and pre-aggregates it before the shuffle.
     """
+    length = params.duration_ms(window)
     newest = materialise(newest_times(events), "newest")
-    recent = recent_events(events, newest, params.duration_ms(window))
+    recent = recent_events(after_oldest_cutoff(events, newest, length), newest, length)
     return roll_up_events(dedupe_trades(recent) if dedupe else recent, min_records)
 
 

@@ -68,7 +68,7 @@ def hybrid_scores(spark: SparkSession, folder: str) -> DataFrame:
 def _user_baselines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     trades = user_events(spark, folder)
     windows = materialise(event_windows(trades, "1 day", id_bound=ID_BOUND), "windows")
-    return trades, materialise(baselines(windows, UPDATED_AT), "baselines")
+    return trades, baselines(windows, UPDATED_AT)
 
 
 def user_hybrid(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +81,7 @@ def user_hybrid(spark: SparkSession, folder: str) -> DataFrame:
 
 def hybrid_latest(spark: SparkSession, folder: str) -> DataFrame:
     trades = events(spark, folder)
-    stats = materialise(baselines(hourly_table(spark, folder), UPDATED_AT), "baselines")
+    stats = baselines(hourly_table(spark, folder), UPDATED_AT)
     clock = observed(trades, "event_time")
     return rounded(hybrid.hybrid_from_events(trades, stats, clock, SETTINGS))
 

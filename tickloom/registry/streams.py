@@ -31,7 +31,7 @@ from tickloom.registry.shared import (
     sql_scores,
     user_events,
 )
-from tickloom.session import scratch_path
+from tickloom.session import materialise, scratch_path
 from tickloom.sources.events import read_event_stream, read_events
 from tickloom.sources.messages import decode_records
 from tickloom.streaming import sinks
@@ -168,7 +168,8 @@ def replay_of_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def hybrid_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Records to stored hybrid rows in one stream: decode, state, baseline join, score, upsert."""
-    trades, stats = _user_baselines(spark, folder)
+    trades, rows = _user_baselines(spark, folder)
+    stats = materialise(rows, "baselines")
     path = scratch_path(spark, "hybrid")
     state = RecentBuckets(
         spark, path, STREAM_SETTINGS.window, STREAM_SETTINGS.bucket_ms, adapters.EVENT_ID_BOUND

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import params, schemas
@@ -86,6 +86,33 @@ def decode_records(
     )
 
 
+def decode_stream_rows(df: DataFrame) -> DataFrame:
+    """Events out of connector rows (value, topic, partition, offset), with shard and sequence.
+
+    The layout is that of the Kafka source, batch or stream; the value is one JSON event.
+    """
+    return df.select(
+        F.from_json(F.col("value").cast("string"), schemas.EVENT).alias("_event"),
+        F.concat_ws("-", "topic", F.col("partition").cast("string")).alias("_shard_id"),
+        F.col("offset").cast("string").alias("_sequence"),
+    ).select(
+        "_event.*", "_shard_id", "_sequence"
+    ).withColumn("symbol", F.upper("symbol"))
+
+
+def read_record_stream(
+    spark: SparkSession, source: str, options: dict[str, str], from_start: bool = False
+) -> DataFrame:
+    """Rows of a sharded stream through its connector, from the newest offset unless told else.
+
+    Shard discovery, polling and resuming are the connector's and the checkpoint's work.
+    """
+    reader = spark.readStream.format(source).options(**options)
+    if "startingOffsets" not in options:
+        reader = reader.option("startingOffsets", "earliest" if from_start else "latest")
+    return reader.load()
+
+
 def keyed_records(df: DataFrame) -> DataFrame:
     """Key and value columns for a keyed stream: symbol, and one JSON line with its newline."""
     columns = [name for name in schemas.EVENT_COLUMNS if name in df.columns]
