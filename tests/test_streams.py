@@ -172,6 +172,36 @@ def test_late_events_of_a_slow_symbol_are_not_lost(spark, tmp_path):
     assert found == {("FAST", 10_000_000), ("SLOW", 1_000), ("SLOW", 2_000)}
 
 
+@pytest.mark.parametrize("kind", [RecentBuckets, RecentRecords])
+def test_state_of_a_silent_symbol_expires(spark, tmp_path, kind):
+    now = [1_000_000]
+    state = kind(spark, str(tmp_path / "s"), WINDOW, retention_seconds=900, clock_ms=lambda: now[0])
+
+    def symbols_after(symbol, at, batch_id):
+        now[0] = 1_000_000 + at * 1000
+        rows = [event(symbol, 1_000 + batch_id, 1.0, trade_id=batch_id)]
+        return {r["symbol"] for r in state.update(frame(spark, rows), batch_id).collect()}
+
+    assert symbols_after("A", 0, 0) == {"A"}
+    assert symbols_after("B", 899, 1) == {"A", "B"}
+    assert symbols_after("B", 900, 2) == {"B"}
+    assert symbols_after("A", 1_000, 3) == {"A", "B"}
+
+
+def test_expired_rows_leave_the_hybrid_view(spark, tmp_path):
+    path, now = str(tmp_path / "view"), [0]
+    stats = baseline(spark).unionByName(baseline(spark, symbol="BUSDT"))
+    view = HybridView(
+        spark, path, RecentRecords(spark, path), Refreshing(lambda: stats), clock_ms=lambda: now[0]
+    )
+    for batch_id, (symbol, second) in enumerate([("BTCUSDT", 0), ("BUSDT", 899), ("BUSDT", 900)]):
+        now[0] = second * 1000
+        rows = [event(symbol, i, 1.0, 10_000.0, 1, None, batch_id * 10 + i) for i in range(2)]
+        view(frame(spark, rows), batch_id)
+        served = {r["symbol"] for r in view.latest.current().collect()}
+        assert served == ({"BTCUSDT"}, {"BTCUSDT", "BUSDT"}, {"BUSDT"})[batch_id]
+
+
 def test_hybrid_view_end_to_end(spark, tmp_path):
     rows = minute_rows()
     stats = baseline(spark, std_return_5m=0.5).unionByName(baseline(spark, symbol="OTHERUSDT"))

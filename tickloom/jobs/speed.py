@@ -28,10 +28,14 @@ def main(argv: Sequence[str] | None = None) -> int:
 
     spark = build_session("tickloom-speed")
     state_path = f"{args.output}/state"
+    # A run over what is there replays history, where the clock says nothing about a symbol.
+    retention = None if args.once else settings.state_retention_seconds
     if args.state == "buckets":
-        state = RecentBuckets(spark, state_path, settings.window, settings.bucket_ms)
+        state = RecentBuckets(
+            spark, state_path, settings.window, settings.bucket_ms, retention_seconds=retention
+        )
     else:
-        state = RecentRecords(spark, state_path, settings.window)
+        state = RecentRecords(spark, state_path, settings.window, retention)
     baselines = Refreshing(
         lambda: read_baselines(spark, args.baseline_json), settings.baseline_refresh_seconds
     )

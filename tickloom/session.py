@@ -16,6 +16,12 @@ RECOMMENDED_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
 }
+# Shuffles start with many small partitions, which adaptive execution joins up to the advised size.
+# Two hundred, the default, would leave partitions of several gigabytes at the intended scale.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+}
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -25,7 +31,13 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         builder = builder.master(master)
     for key, value in {**RECOMMENDED_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        given = dict(spark.sparkContext.getConf().getAll())
+        for key, value in CLUSTER_CONF.items():
+            if key not in given and key not in conf:
+                spark.conf.set(key, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -23,7 +23,10 @@ from tickloom.streaming.tables import BatchTable, upsert_by_symbol
 CHECKPOINT = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("symbol", "shard", "sequence")]
 )
-STORED_SCORE = T.StructType([*schemas.SCORE.fields, T.StructField("expires_at", T.LongType())])
+_EXPIRY = T.StructField("expires_at", T.LongType())
+STORED_BUCKET = T.StructType([*schemas.SYMBOL_BUCKET.fields, _EXPIRY])
+STORED_EVENT = T.StructType([*schemas.EVENT.fields, _EXPIRY])
+STORED_SCORE = T.StructType([*schemas.SCORE.fields, _EXPIRY])
 _SHARD_COLUMNS = ("_shard_id", "_sequence")
 
 
@@ -31,6 +34,30 @@ def _now_ms() -> int:
     return int(time.time() * 1000)
 
 
+class _Retention:
+    """Expiry of a symbol's state: ``seconds`` after its last micro-batch, or never."""
+
+    def __init__(self, seconds: int | None, clock_ms: Callable[[], int]) -> None:
+        self._seconds, self._clock_ms = seconds, clock_ms
+
+    def alive(self, stored: DataFrame) -> DataFrame:
+        if self._seconds is None:
+            return stored
+        return stored.where(F.col("expires_at") > self._clock_ms() // 1000)
+
+    def symbols(self, stored: DataFrame, arrived: DataFrame, time: str) -> DataFrame:
+        """Newest time and expiry of every symbol in the state or the micro-batch."""
+        expiry = None if self._seconds is None else self._clock_ms() // 1000 + self._seconds
+        return (
+            stored.select("symbol", time, "expires_at")
+            .unionByName(
+                arrived.select("symbol", time, F.lit(expiry).cast("long").alias("expires_at"))
+            )
+            .groupBy("symbol")
+            .agg(F.max(time).alias("newest"), F.max("expires_at").alias("expires_at"))
+        )
+
+
 class RecentBuckets:
     """Time buckets of the recent window of every symbol, with replay checkpoints.
 
@@ -46,9 +73,12 @@ class RecentBuckets:
         window: str = params.DEFAULT_WINDOW,
         bucket_ms: int = params.DEFAULT_BUCKET_MS,
         id_bound: int | None = None,
+        retention_seconds: int | None = None,
+        clock_ms: Callable[[], int] = _now_ms,
     ) -> None:
         self.length, self.bucket_ms, self.id_bound = params.duration_ms(window), bucket_ms, id_bound
-        self.buckets = BatchTable(spark, f"{path}/buckets", schemas.SYMBOL_BUCKET)
+        self.retention = _Retention(retention_seconds, clock_ms)
+        self.buckets = BatchTable(spark, f"{path}/buckets", STORED_BUCKET)
         self.checkpoints = BatchTable(spark, f"{path}/checkpoints", CHECKPOINT)
 
     def update(self, batch: DataFrame, batch_id: int) -> DataFrame:
@@ -58,20 +88,21 @@ class RecentBuckets:
             batch = new_records(batch, seen)
             self.checkpoints.write(advance_checkpoints(batch, seen), batch_id)
             self.checkpoints.prune(batch_id)
-        arrived = bk.time_buckets(batch, self.bucket_ms, self.id_bound)
-        merged = bk.merge_buckets(self.buckets.before(batch_id), arrived).persist()
+        columns = schemas.SYMBOL_BUCKET.fieldNames()
+        stored = self.retention.alive(self.buckets.before(batch_id))
+        arrived = bk.time_buckets(batch, self.bucket_ms, self.id_bound).persist()
         cutoff = F.col("newest") - F.lit(self.length).cast("long")
         # Whole buckets from the cutoff's own on, whatever they hold yet: an event that arrives
         # late into that bucket must still find it, in any order of arrival.
         kept = (
-            merged.join(newest_times(merged, "last_event_time"), "symbol")
+            bk.merge_buckets(stored.select(*columns), arrived)
+            .join(self.retention.symbols(stored, arrived, "last_event_time"), "symbol")
             .where(F.col("bucket_start") >= fn.aligned_start(cutoff, self.bucket_ms))
-            .select(*schemas.SYMBOL_BUCKET.fieldNames())
         )
         written = self.buckets.write(kept, batch_id)
-        merged.unpersist()
+        arrived.unpersist()
         self.buckets.prune(batch_id)
-        return written
+        return written.select(*columns)
 
     def recent(self, buckets: DataFrame, min_buckets: int) -> DataFrame:
         newest = newest_times(buckets, "last_event_time")
@@ -79,7 +110,7 @@ class RecentBuckets:
 
     def state(self) -> DataFrame:
         """One row per symbol: buckets, checkpoints, newest time."""
-        buckets = self.buckets.current()
+        buckets = self.buckets.current().drop("expires_at")
         newest = newest_times(buckets, "last_event_time")
         return bk.bucket_state(
             bk.retain_recent(buckets, self.length, newest), self.checkpoints.current()
@@ -90,23 +121,29 @@ class RecentRecords:
     """Single events of the recent window of every symbol, each trade id once."""
 
     def __init__(
-        self, spark: SparkSession, path: str, window: str = params.DEFAULT_WINDOW
+        self,
+        spark: SparkSession,
+        path: str,
+        window: str = params.DEFAULT_WINDOW,
+        retention_seconds: int | None = None,
+        clock_ms: Callable[[], int] = _now_ms,
     ) -> None:
         self.length = params.duration_ms(window)
-        self.records = BatchTable(spark, f"{path}/records", schemas.EVENT)
+        self.retention = _Retention(retention_seconds, clock_ms)
+        self.records = BatchTable(spark, f"{path}/records", STORED_EVENT)
 
     def update(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """Merge a micro-batch; returns the events of all recent windows after it."""
         columns = list(schemas.EVENT_COLUMNS)
         arrived = batch.select(*columns)
-        stored = self.records.before(batch_id)
-        newest = newest_times(
-            stored.select("symbol", "event_time").unionByName(arrived.select("symbol", "event_time"))
-        )
-        kept = dedupe_trades(recent_events(stored.unionByName(arrived), newest, self.length))
+        stored = self.retention.alive(self.records.before(batch_id))
+        symbols = self.retention.symbols(stored, arrived, "event_time")
+        together = stored.select(*columns).unionByName(arrived)
+        recent = recent_events(together, symbols.select("symbol", "newest"), self.length)
+        kept = dedupe_trades(recent).join(symbols.select("symbol", "expires_at"), "symbol")
         written = self.records.write(kept, batch_id)
         self.records.prune(batch_id)
-        return written
+        return written.select(*columns)
 
     def recent(self, records: DataFrame, min_records: int) -> DataFrame:
         return roll_up_events(records, min_records)
@@ -166,7 +203,7 @@ class HybridView:
             "expires_at",
             F.lit(now // 1000 + self.settings.state_retention_seconds).cast("long"),
         )
-        upsert_by_symbol(self.latest, scores, batch_id)
+        upsert_by_symbol(self.latest, scores, batch_id, now_seconds=now // 1000)
         batch.unpersist()
 
 

@@ -47,6 +47,6 @@ class ServingRefresh:
         scores = self.view.latest.current().select(*schemas.SCORE_COLUMNS)
         trending, spikes = serving_views(scores, self.top_n)
         snapshot_document(trending, spikes).write.mode("overwrite").text(self.document_path)
-        expires_at = self.view.clock_ms() // 1000 + self.retention_seconds
-        stored = serving_rows(trending, spikes, expires_at)
-        upsert_by_symbol(self.rows, stored, batch_id, "result_key")
+        now = self.view.clock_ms() // 1000
+        stored = serving_rows(trending, spikes, now + self.retention_seconds)
+        upsert_by_symbol(self.rows, stored, batch_id, "result_key", now)

@@ -77,11 +77,18 @@ def read_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def upsert_by_symbol(
-    table: BatchTable, rows: DataFrame, batch_id: int, key: str = "symbol"
+    table: BatchTable,
+    rows: DataFrame,
+    batch_id: int,
+    key: str = "symbol",
+    now_seconds: int | None = None,
 ) -> DataFrame:
-    """Put ``rows`` over the stored ones with the same key."""
+    """Put ``rows`` over the stored ones with the same key; drop stored ones that have expired."""
     rows = rows.select(*table.schema.fieldNames()).persist()
-    kept = table.before(batch_id).join(rows.select(key), key, "left_anti")
+    stored = table.before(batch_id)
+    if now_seconds is not None:
+        stored = stored.where(F.col("expires_at") > now_seconds)
+    kept = stored.join(rows.select(key), key, "left_anti")
     written = table.write(kept.unionByName(rows), batch_id)
     rows.unpersist()
     table.prune(batch_id)
