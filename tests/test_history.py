@@ -8,7 +8,7 @@ import statistics
 
 import pytest
 from pyspark.sql import functions as F
-from samples import START, as_dicts, event, frame, minute_rows, random_rows
+from samples import MINUTES, START, as_dicts, event, frame, minute_rows, random_rows
 
 from tickloom import params, schemas
 from tickloom.functions import events as fn
@@ -242,16 +242,10 @@ def test_views(spark):
     summary = {r["symbol"]: r for r in as_dicts(spark.table("market_summary"))}
     assert summary["ETHUSDT"]["event_count"] == 10
     assert summary["ETHUSDT"]["average_trade_price"] == pytest.approx(
-        statistics.fmean(m[0] for m in schemas_minutes("ETHUSDT"))
+        statistics.fmean(price for price, _, _ in MINUTES["ETHUSDT"][1])
     )
 
 
-def schemas_minutes(symbol):
-    from samples import MINUTES
-
-    return MINUTES[symbol][1]
-
-
 def test_constant_price_has_no_spike(spark):
     rows = [event("A", w * 300_000 + i, 5.0, 10.0, 1, None, w * 10 + i) for w in range(4) for i in range(2)]
     windows = event_windows(frame(spark, rows))

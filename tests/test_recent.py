@@ -7,7 +7,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 from samples import as_dicts, baseline, event, frame, random_rows
 
 from tickloom import params, schemas

@@ -18,7 +18,8 @@ def dedupe_trades(df: DataFrame) -> DataFrame:
         df.where(F.col("trade_id").isNotNull())
         .groupBy(*keys)
         .agg(F.min(F.struct(*rest)).alias("row"))
-        .select(*[F.col(name) if name in keys else F.col("row")[name].alias(name) for name in df.columns])
+        .select(*keys, "row.*")
+        .select(*df.columns)
     )
     return unique.unionByName(df.where(F.col("trade_id").isNull()))
 

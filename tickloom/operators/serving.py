@@ -32,9 +32,7 @@ def newest_per_symbol(items: DataFrame) -> DataFrame:
     latest = items.groupBy("symbol").agg(
         F.max(F.struct(_window_end(items).alias("_end"), "window_end", *rest)).alias("row")
     )
-    return latest.select(
-        *[F.col(name) if name == "symbol" else F.col("row")[name].alias(name) for name in items.columns]
-    )
+    return latest.select("symbol", "row.*").select(*items.columns)
 
 
 def hybrid_lists(

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import adapters
-from tickloom.functions import events as fn
 from tickloom.operators import baselines as base
 from tickloom.operators.clean import clean_events
 from tickloom.operators.latest import newest_overall
@@ -17,7 +16,6 @@ from tickloom.operators.windows import event_windows
 from tickloom.plans import views
 from tickloom.registry import Query
 from tickloom.registry.shared import (
-    HOUR,
     SQL_BASELINE_COLUMNS,
     SQL_EVENTS,
     SQL_HISTORY,

@@ -55,8 +55,8 @@ def parse_messages(spark: SparkSession, folder: str) -> DataFrame:
 def raw_records(trades: DataFrame) -> DataFrame:
     """Trades as a shard delivers them: base64 payload, record id, sequence number.
 
-    The shard is the minute of the hour modulo four; trades of views have no record id, those of
-    clicks no sequence number of their own.
+    The shard comes from the minute of the trade. Dear trades have no record id, every fifth cheap
+    one no sequence number of its own.
     """
     shard = F.concat(
         F.lit("shard-"), F.pmod(F.expr("event_time div 60000"), F.lit(4)).cast("string")

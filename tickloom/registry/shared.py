@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom import adapters, params
@@ -21,8 +20,14 @@ OBSERVED_DELAY_MS = 1_500
 
 def rounded(df: DataFrame, **places: int) -> DataFrame:
     """All double columns rounded, to six places unless given otherwise."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({name: F.round(name, places.get(name, 6)) for name in doubles})
+    return df.selectExpr(
+        *[
+            f"round({field.name}, {places.get(field.name, 6)}) AS {field.name}"
+            if isinstance(field.dataType, T.DoubleType)
+            else field.name
+            for field in df.schema.fields
+        ]
+    )
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
