@@ -111,7 +111,7 @@ def brand_windows(spark: SparkSession, folder: str) -> DataFrame:
 def brand_baselines(spark: SparkSession, folder: str) -> DataFrame:
     rows = base.baselines(materialise(_brand_windows(spark, folder), "windows"), UPDATED_AT)
     return rounded(
-        rows, mean_quote_volume_5m=2, std_quote_volume_5m=2, median_quote_volume_5m=2
+        rows, mean_quote_volume_5m=4, std_quote_volume_5m=4, median_quote_volume_5m=4
     )
 
 
@@ -272,7 +272,7 @@ SELECT {SQL_BASELINE_COLUMNS} FROM b""",
     "user_baselines": f"""WITH {_USERS}, {sql_windows("u", length_ms=86_400_000)}, {sql_baselines()}
 SELECT {SQL_BASELINE_COLUMNS} FROM b""",
     "brand_baselines": f"""{_BRAND_WINDOWS}, {sql_baselines()}
-SELECT {SQL_BASELINE_COLUMNS.replace("quote_volume_5m, 6)", "quote_volume_5m, 2)")} FROM b""",
+SELECT {SQL_BASELINE_COLUMNS.replace("quote_volume_5m, 6)", "quote_volume_5m, 4)")} FROM b""",
     "history_statistics": f"""{SQL_WINDOWS}
 SELECT symbol, round(avg(return_5m), 6) AS mean_return_5m,
   round(stddev_samp(return_5m), 6) AS std_return_5m,
