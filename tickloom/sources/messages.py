@@ -21,24 +21,30 @@ def parse_messages(
     Other message kinds, other symbols and messages with a missing or unreadable field give no
     row. Maps, not structs, because ``e`` and ``E`` differ only in case.
     """
-    outer = df.withColumn("_outer", F.from_json(column, _TEXT_MAP))
+    arrival = F.unix_millis(F.current_timestamp()) if ingest_time is None else ingest_time
+    if isinstance(arrival, str):
+        arrival = F.col(arrival)
+    # A filter is not pushed through explode, so each text is parsed once, not once per predicate.
+    outer = df.select(
+        arrival.cast("long").alias("_arrival"),
+        F.explode(F.array(F.from_json(column, _TEXT_MAP))).alias("_outer"),
+    )
     wrapped = F.from_json(F.col("_outer")["data"], _TEXT_MAP)
-    payload = outer.withColumn("_payload", F.coalesce(wrapped, "_outer"))
+    payload = outer.select(
+        "_arrival", F.explode(F.array(F.coalesce(wrapped, "_outer"))).alias("_payload")
+    )
 
     def field(name: str) -> Column:
         return F.col("_payload")[name]
 
     clock = field("E")
-    arrival = F.unix_millis(F.current_timestamp()) if ingest_time is None else ingest_time
-    if isinstance(arrival, str):
-        arrival = F.col(arrival)
     fields = payload.where(field("e") == TRADE_MESSAGE).select(
         F.upper(field("s")).alias("symbol"),
         F.coalesce(clock.try_cast("long"), clock.try_cast("double").try_cast("long")).alias("event_time"),
         field("p").try_cast("double").alias("last_price"),
         field("q").try_cast("double").alias("quantity"),
         field("a").try_cast("long").alias("trade_id"),
-        arrival.cast("long").alias("ingest_time"),
+        F.col("_arrival").alias("ingest_time"),
     )
     readable = F.lit(True)
     for name in ("event_time", "last_price", "quantity", "trade_id"):
