@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from tickloom.llm import oracles
 from tickloom.llm.common import table
 from tickloom.llm.lines import dedup_lines
+from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
+from tickloom.session import materialise
+
+
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    sized = materialise(
+        table(spark, folder, "documents").select(
+            "doc_id",
+            "source",
+            count_words(F.col("text")).alias("size"),
+            seeded(F.col("doc_id"), SEED).alias("place"),
+            F.xxhash64("text").alias("tie"),
+        ),
+        "sizes",
+    )
+    return mix_sized(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,8 +37,10 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mix_sources": op2_mix_sources,
     "op6_line_dedup": op6_line_dedup,
 }
 ORACLES = {
+    "op2_mix_sources": oracles.MIX_SOURCES,
     "op6_line_dedup": oracles.LINE_DEDUP,
 }
