@@ -9,6 +9,7 @@ from tickloom.llm import oracles
 from tickloom.llm.common import table
 from tickloom.llm.lines import dedup_lines
 from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
+from tickloom.llm.shuffling import record_bytes, shuffle_to_shards
 from tickloom.session import materialise
 
 
@@ -26,6 +27,20 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sized(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_shard_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    sharded = shuffle_to_shards(table(spark, folder, "documents"))
+    text = F.coalesce("record.text", F.lit(""))
+    return sharded.select(
+        F.col("record.doc_id").alias("doc_id"),
+        record_bytes(F.col("record.text")).alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = dedup_lines(table(spark, folder, "documents"))
     return out.select(
@@ -38,6 +53,7 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op4_shard_shuffle": op4_shard_shuffle,
     "op6_line_dedup": op6_line_dedup,
 }
 ORACLES = {
