@@ -9,6 +9,7 @@ from tickloom.llm import oracles
 from tickloom.llm.common import table
 from tickloom.llm.lines import dedup_lines
 from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
+from tickloom.llm.quality_rules import quality_rules
 from tickloom.llm.shuffling import record_bytes, shuffle_to_shards
 from tickloom.session import materialise
 
@@ -51,10 +52,22 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that the labels call good."""
+    return table(spark, folder, "labels").where(F.col("quality") == 1).select("doc_id")
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    out = quality_rules(table(spark, folder, "documents"), trusted_ids(spark, folder))
+    columns = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept score".split()
+    return out.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in columns])
+
+
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op4_shard_shuffle": op4_shard_shuffle,
     "op6_line_dedup": op6_line_dedup,
+    "op9_quality_rules": op9_quality_rules,
 }
 ORACLES = {
     "op2_mix_sources": oracles.MIX_SOURCES,
