@@ -11,9 +11,25 @@ from tickloom.llm.lines import dedup_lines
 from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
 from tickloom.llm.quality_rules import quality_rules
 from tickloom.llm.shuffling import record_bytes, shuffle_to_shards
+from tickloom.llm.spotsigs import edited, fingerprint, following, likeness, signatures
 from tickloom.session import materialise
 
 
+def op1_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    rows = following(table(spark, folder, "documents"))
+    changed = rows.withColumn("edit", edited(F.col("text"), F.col("next_text")))
+    compared = changed.withColumn("edit_sigs", signatures(F.col("edit")))
+    return compared.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edit", 256).alias("edited_sha256"),
+        fingerprint(F.col("sigs")).alias("fingerprint"),
+        fingerprint(F.col("edit_sigs")).alias("edited_fingerprint"),
+        likeness(F.col("sigs"), F.col("edit_sigs")).alias("near_edited"),
+        likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
+    )
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     sized = materialise(
         table(spark, folder, "documents").select(
@@ -64,6 +80,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_spot_signatures": op1_spot_signatures,
     "op2_mix_sources": op2_mix_sources,
     "op4_shard_shuffle": op4_shard_shuffle,
     "op6_line_dedup": op6_line_dedup,
