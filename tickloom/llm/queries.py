@@ -11,6 +11,7 @@ from tickloom.llm.lines import dedup_lines
 from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
 from tickloom.llm.quality_rules import quality_rules
 from tickloom.llm.shuffling import record_bytes, shuffle_to_shards
+from tickloom.llm.simhash import near_duplicates
 from tickloom.llm.spotsigs import edited, fingerprint, following, likeness, signatures
 from tickloom.session import materialise
 
@@ -79,12 +80,20 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in columns])
 
 
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = near_duplicates(table(spark, folder, "documents"))
+    return groups.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
     "op1_spot_signatures": op1_spot_signatures,
     "op2_mix_sources": op2_mix_sources,
     "op4_shard_shuffle": op4_shard_shuffle,
     "op6_line_dedup": op6_line_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_simhash": op10_simhash,
 }
 ORACLES = {
     "op2_mix_sources": oracles.MIX_SOURCES,
