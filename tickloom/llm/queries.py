@@ -9,6 +9,7 @@ from tickloom.llm import oracles
 from tickloom.llm.common import table
 from tickloom.llm.lines import dedup_lines
 from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
+from tickloom.llm.packing import pack_documents
 from tickloom.llm.quality_rules import quality_rules
 from tickloom.llm.shuffling import record_bytes, shuffle_to_shards
 from tickloom.llm.simhash import near_duplicates
@@ -59,6 +60,13 @@ def op4_shard_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_pack_genetic(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack_documents(table(spark, folder, "documents"))
+    return packed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = dedup_lines(table(spark, folder, "documents"))
     return out.select(
@@ -92,6 +100,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op4_shard_shuffle": op4_shard_shuffle,
     "op6_line_dedup": op6_line_dedup,
+    "op7_pack_genetic": op7_pack_genetic,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
