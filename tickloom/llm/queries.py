@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import oracles
 from tickloom.llm.common import table
+from tickloom.llm.licenses import scan_licenses
 from tickloom.llm.lines import dedup_lines
 from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
 from tickloom.llm.packing import pack_documents
@@ -67,6 +68,10 @@ def op7_pack_genetic(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents")).drop("found")
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = dedup_lines(table(spark, folder, "documents"))
     return out.select(
@@ -99,6 +104,7 @@ QUERIES = {
     "op1_spot_signatures": op1_spot_signatures,
     "op2_mix_sources": op2_mix_sources,
     "op4_shard_shuffle": op4_shard_shuffle,
+    "op5_license_scan": op5_license_scan,
     "op6_line_dedup": op6_line_dedup,
     "op7_pack_genetic": op7_pack_genetic,
     "op9_quality_rules": op9_quality_rules,
