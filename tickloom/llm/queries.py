@@ -15,9 +15,13 @@ from tickloom.llm.quality_rules import quality_rules
 from tickloom.llm.shuffling import record_bytes, shuffle_to_shards
 from tickloom.llm.simhash import near_duplicates
 from tickloom.llm.spotsigs import edited, fingerprint, following, likeness, signatures
+from tickloom.llm.toxicity import score_toxicity
 from tickloom.session import materialise
 
 
+THRESHOLD = 0.3
+
+
 def op1_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     rows = following(table(spark, folder, "documents"))
     changed = rows.withColumn("edit", edited(F.col("text"), F.col("next_text")))
@@ -82,6 +86,17 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def decided(scored: DataFrame) -> DataFrame:
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", "held_out", "score", predicted)
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return decided(
+        score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    )
+
+
 def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that the labels call good."""
     return table(spark, folder, "labels").where(F.col("quality") == 1).select("doc_id")
@@ -107,6 +122,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_line_dedup": op6_line_dedup,
     "op7_pack_genetic": op7_pack_genetic,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
