@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import LAST_ID, packed, text_of
+from tickloom.llm.common import LAST_ID, packed, reach_workers, text_of
 from tickloom.llm.components import connected_components
 from tickloom.session import materialise
 
@@ -204,6 +204,7 @@ def components(signed: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, t, fp, component_id) of every document."""
+    reach_workers(docs.sparkSession)
     signed = materialise(fingerprints(docs), "fingerprints")
     return signed.join(components(signed, radius), "fp")
 
