@@ -11,6 +11,7 @@ from tickloom.llm.licenses import scan_licenses
 from tickloom.llm.lines import dedup_lines
 from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
 from tickloom.llm.packing import pack_documents
+from tickloom.llm.quality_model import score_quality
 from tickloom.llm.quality_rules import quality_rules
 from tickloom.llm.shuffling import record_bytes, shuffle_to_shards
 from tickloom.llm.simhash import near_duplicates
@@ -51,6 +52,17 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sized(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def decided(scored: DataFrame) -> DataFrame:
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", "held_out", "score", predicted)
+
+
+def op3_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    return decided(
+        score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    )
+
+
 def op4_shard_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     sharded = shuffle_to_shards(table(spark, folder, "documents"))
     text = F.coalesce("record.text", F.lit(""))
@@ -86,11 +98,6 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def decided(scored: DataFrame) -> DataFrame:
-    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
-    return scored.select("doc_id", "held_out", "score", predicted)
-
-
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return decided(
         score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -118,6 +125,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_spot_signatures": op1_spot_signatures,
     "op2_mix_sources": op2_mix_sources,
+    "op3_quality_model": op3_quality_model,
     "op4_shard_shuffle": op4_shard_shuffle,
     "op5_license_scan": op5_license_scan,
     "op6_line_dedup": op6_line_dedup,
