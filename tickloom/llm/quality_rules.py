@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import let, packed, text_of, words_of
+from tickloom.session import materialise
 
 BINS = 1 << 14
 PSEUDO_COUNT = 16.0
@@ -90,17 +91,19 @@ def gram_weights(
     ``trusted`` holds the ids of the trusted documents; both counts cover all documents.
     """
     ids = trusted.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("t_id")).distinct()
+    # always a shuffled join: the list of ids grows with the documents
     marked = docs.select("doc_id", text_of().alias("text")).join(
-        ids, F.col("doc_id") == F.col("t_id"), "left"
+        ids.hint("merge"), F.col("doc_id") == F.col("t_id"), "left"
     )
     hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
-    counts = (
+    counts = materialise(
         marked.select(
             F.col("t_id").isNotNull().cast("long").alias("is_trusted"),
             F.explode(let(hashes, lambda h: gram_bins(h, bins))).alias("bin"),
         )
         .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("is_trusted").alias("target"))
+        .agg(F.count(F.lit(1)).alias("raw"), F.sum("is_trusted").alias("target")),
+        "bins",
     )
     totals = counts.agg(F.sum("raw").alias("raw_all"), F.sum("target").alias("target_all"))
     ratio = F.log(
