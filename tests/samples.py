@@ -6,28 +6,8 @@ import random
 
 from tickloom import schemas
 
-START = 1_782_864_000_000
-# Ten minutes of two symbols: price, volume and trade count of each minute.
-MINUTES = {
-    "BTCUSDT": (
-        1,
-        [
-            (100050.0, 1000500.0, 120), (100150.0, 1101650.0, 125), (100300.0, 1203600.0, 135),
-            (100550.0, 1307150.0, 150), (101000.0, 1515000.0, 180), (101650.0, 1626400.0, 210),
-            (101900.0, 1426600.0, 190), (101700.0, 1322100.0, 160), (101900.0, 1222800.0, 155),
-            (102300.0, 1534500.0, 175),
-        ],
-    ),
-    "ETHUSDT": (
-        101,
-        [
-            (5002.0, 2501000.0, 400), (5000.0, 2400000.0, 390), (5012.0, 2556120.0, 420),
-            (5018.0, 2534090.0, 415), (5025.0, 2663250.0, 450), (5035.0, 2718900.0, 470),
-            (5050.0, 2828000.0, 500), (5048.0, 2624960.0, 430), (5055.0, 2603325.0, 425),
-            (5065.0, 2760425.0, 465),
-        ],
-    ),
-}
+START = 1_798_761_600_000
+SYMBOLS = ("ABCUSDT", "XYZUSDT")
 
 
 def event(symbol, time, price, volume=1.0, count=1, ingest=None, trade_id=None):
@@ -36,11 +16,15 @@ def event(symbol, time, price, volume=1.0, count=1, ingest=None, trade_id=None):
 
 
 def minute_rows():
-    rows = []
-    for symbol, (first_id, minutes) in MINUTES.items():
-        for i, (price, volume, count) in enumerate(minutes):
-            time = START + i * 60_000
-            rows.append(event(symbol, time, price, volume, count, time + 500, first_id + i))
+    """Ten minutes of two symbols, an event per minute, from a seeded walk."""
+    rng, rows = random.Random(42), []
+    for number, symbol in enumerate(SYMBOLS):
+        price = 40.0 * (number + 1)
+        for i in range(10):
+            price = round(price * rng.uniform(0.98, 1.03), 2)
+            time, trade_id = START + i * 60_000, number * 50 + i
+            volume = float(rng.randrange(20_000, 90_000))
+            rows.append(event(symbol, time, price, volume, rng.randrange(5, 60), time + 350, trade_id))
     return rows
 
 
@@ -67,16 +51,16 @@ def random_rows(seed: int, n: int = 200, symbols: int = 3, span: int = 40_000, h
 
 
 BASELINE = {
-    "symbol": "BTCUSDT",
-    "mean_return_5m": 0.0,
+    "symbol": "ABCUSDT",
+    "mean_return_5m": 0.5,
     "std_return_5m": 1.0,
-    "mean_quote_volume_5m": 10_000.0,
-    "std_quote_volume_5m": 2_000.0,
-    "median_quote_volume_5m": 12_000.0,
-    "sample_count": 100,
-    "updated_at": "2026-07-01T00:00:00+00:00",
-    "mean_trade_count_5m": 100.0,
-    "std_trade_count_5m": 20.0,
+    "mean_quote_volume_5m": 8_000.0,
+    "std_quote_volume_5m": 4_000.0,
+    "median_quote_volume_5m": 11_000.0,
+    "sample_count": 40,
+    "updated_at": "2027-01-02T03:04:05+00:00",
+    "mean_trade_count_5m": 60.0,
+    "std_trade_count_5m": 12.0,
 }
 
 

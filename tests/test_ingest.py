@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import json
+import statistics
 from datetime import date
 
 import pytest
@@ -16,26 +17,26 @@ from tickloom.functions import events as fn
 from tickloom.operators import metrics, replay
 from tickloom.operators.clean import restrict_symbols, spot_events
 from tickloom.sinks import tables
-from tickloom.sources import archive, generator, logs, messages
+from tickloom.sources import archive, logs, messages
 from tickloom.sources.baselines import read_baselines
 from tickloom.sources.events import create_events_table, split_malformed
 
-TRADE = {"e": "aggTrade", "E": 1735689600000, "s": "BTCUSDT", "a": 123, "p": "105", "q": "2.5"}
+TRADE = {"e": "aggTrade", "E": 1767225605000, "s": "KLMUSDT", "a": 77, "p": "31.5", "q": "4"}
 
 
 def parsed(spark, *texts):
     lines = spark.createDataFrame([(t if isinstance(t, str) else json.dumps(t),) for t in texts], "value string")
-    return as_dicts(messages.parse_messages(lines, F.lit(1735689600500)))
+    return as_dicts(messages.parse_messages(lines, F.lit(1767225605900)))
 
 
 def test_wrapped_and_bare_messages(spark):
-    wrapped = {"stream": "btcusdt@aggTrade", "data": TRADE}
+    wrapped = {"stream": "klmusdt@aggTrade", "data": TRADE}
     rows = parsed(spark, wrapped, TRADE, {**TRADE, "data": 5})
     assert len(rows) == 3
     for row in rows:
         assert list(row) == list(schemas.EVENT_COLUMNS)
-        assert (row["symbol"], row["quote_volume"], row["trade_id"]) == ("BTCUSDT", 262.5, 123)
-        assert (row["ingest_time"], row["trade_count"], row["schema_version"]) == (1735689600500, 1, 2)
+        assert (row["symbol"], row["quote_volume"], row["trade_id"]) == ("KLMUSDT", 126.0, 77)
+        assert (row["ingest_time"], row["trade_count"], row["schema_version"]) == (1767225605900, 1, 2)
 
 
 def test_unusable_messages_give_no_row(spark):
@@ -48,8 +49,8 @@ def test_unusable_messages_give_no_row(spark):
 
 
 def test_message_clock_in_microseconds(spark):
-    (row,) = parsed(spark, {**TRADE, "E": 1735689600000123, "s": "btcusdt"})
-    assert (row["event_time"], row["symbol"]) == (1735689600000, "BTCUSDT")
+    (row,) = parsed(spark, {**TRADE, "E": 1767225605000123, "s": "klmusdt"})
+    assert (row["event_time"], row["symbol"]) == (1767225605000, "KLMUSDT")
 
 
 def test_records_carry_shard_and_sequence(spark):
@@ -101,39 +102,41 @@ def test_replay_keeps_low_sequences_with_late_times(spark):
 def test_archive_rows(spark):
     rows = [
         ("agg_trade_id", "price", "quantity", "first", "last", "time", "m", "b"),
-        ("100", "250.0", "2.5", "200", "202", "1782864000000", "True", "True"),
-        ("101", "250.0", "2.5", "202", "200", "1782864000054233", "True", "True"),
+        ("31", "40.0", "1.5", "70", "74", "1798761600000", "True", "True"),
+        ("32", "40.0", "1.5", "74", "70", "1798761600017891", "True", "True"),
         (None, None, None, None, None, None, None, None),
     ]
     df = spark.createDataFrame(rows, schemas.ARCHIVE_ROW)
-    first, second = as_dicts(archive.normalise_archive(df, F.lit("btcusdt")))
-    assert (first["symbol"], first["quote_volume"], first["trade_count"]) == ("BTCUSDT", 625.0, 3)
-    assert (first["base_asset"], first["source"]) == ("BTC", "binance-vision-historical")
-    assert second["event_time"] == second["ingest_time"] == 1782864000054
+    first, second = as_dicts(archive.normalise_archive(df, F.lit("abcusdt")))
+    assert (first["symbol"], first["quote_volume"], first["trade_count"]) == ("ABCUSDT", 60.0, 5)
+    assert (first["base_asset"], first["source"]) == ("ABC", archive.ARCHIVE_SOURCE)
+    assert second["event_time"] == second["ingest_time"] == 1798761600017
     assert second["trade_count"] == 1
 
 
 def test_archive_symbol_comes_from_the_folder(spark, tmp_path):
-    folder = tmp_path / "BTCUSDT"
+    folder = tmp_path / "ABCUSDT"
     folder.mkdir()
-    (folder / "BTCUSDT-aggTrades-2026-07-01.csv").write_text(
-        "id,p,q,f,l,t,m,b\n100,250.0,2.5,200,202,1782864000000,True,True\n"
+    (folder / "ABCUSDT-2027-01-01.csv").write_text(
+        "id,p,q,f,l,t,m,b\n31,40.0,1.5,70,74,1798761600000,True,True\n"
     )
     (row,) = as_dicts(archive.normalise_archive(archive.read_archive(spark, str(tmp_path))))
-    assert (row["symbol"], row["trade_id"]) == ("BTCUSDT", 100)
+    assert (row["symbol"], row["trade_id"]) == ("ABCUSDT", 31)
 
 
 def test_backfill_skips_what_exists(spark, tmp_path):
-    done = tmp_path / "BTCUSDT"
-    done.mkdir()
-    (done / "BTCUSDT-aggTrades-2026-07-02.jsonl.gz").write_bytes(gzip.compress(b"{}\n"))
-    (done / "other.txt").write_text("x")
+    done = tmp_path / "symbol=ABCUSDT" / "date=2027-01-02"
+    done.mkdir(parents=True)
+    (done / "part-0.txt.gz").write_bytes(gzip.compress(b"{}\n"))
+    (tmp_path / "other.txt").write_text("x")
     existing = archive.existing_outputs(spark, str(tmp_path))
-    symbols = spark.createDataFrame([("BTCUSDT",), ("ETHUSDT",)], "symbol string")
-    start, end = date(2026, 7, 1), date(2026, 7, 3)
+    assert [tuple(r) for r in existing.collect()] == [("ABCUSDT", date(2027, 1, 2))]
+    assert archive.existing_outputs(spark, str(tmp_path / "nowhere")).count() == 0
+    symbols = spark.createDataFrame([("ABCUSDT",), ("XYZUSDT",)], "symbol string")
+    start, end = date(2027, 1, 1), date(2027, 1, 3)
     todo = archive.backfill_manifest(symbols, start, end, existing)
     assert todo.count() == 5
-    assert todo.where("symbol = 'BTCUSDT' AND day = '2026-07-02'").count() == 0
+    assert todo.where("symbol = 'ABCUSDT' AND day = '2027-01-02'").count() == 0
     assert archive.backfill_manifest(symbols, start, end, existing, overwrite=True).count() == 6
     assert archive.available_days(todo, existing).count() == 0
     with pytest.raises(ValueError):
@@ -142,10 +145,10 @@ def test_backfill_skips_what_exists(spark, tmp_path):
 
 def test_backfill_output_is_gzip_json_by_symbol_and_day(spark, tmp_path):
     tables.write_events_by_day(frame(spark, minute_rows()), str(tmp_path / "out"))
-    (part,) = (tmp_path / "out" / "symbol=BTCUSDT" / "date=2026-07-01").glob("*.gz")
+    (part,) = (tmp_path / "out" / "symbol=ABCUSDT" / "date=2027-01-01").glob("*.gz")
     first = gzip.decompress(part.read_bytes()).decode().splitlines()[0]
     row = json.loads(first)
-    assert list(row) == sorted(row) and row["symbol"] == "BTCUSDT" and " " not in first
+    assert list(row) == sorted(row) and row["symbol"] == "ABCUSDT" and " " not in first
 
 
 def test_symbol_tests(spark):
@@ -207,8 +210,8 @@ def test_baseline_layouts(spark, tmp_path, layout):
     (tmp_path / "b.json").write_text(LAYOUTS[layout](rows))
     for path in (tmp_path / "b.json", tmp_path):
         found = {r["symbol"]: r for r in as_dicts(read_baselines(spark, str(path)))}
-        assert set(found) == {"BTCUSDT", "ETHUSDT"}
-        assert found["BTCUSDT"] == BASELINE
+        assert set(found) == {"ABCUSDT", "ETHUSDT"}
+        assert found["ABCUSDT"] == BASELINE
         assert found["ETHUSDT"]["std_trade_count_5m"] == 0.0
         assert (found["ETHUSDT"]["sample_count"], found["ETHUSDT"]["updated_at"]) == (0, "")
 
@@ -220,6 +223,22 @@ def test_single_baseline_object(spark, tmp_path, indent):
     assert row == BASELINE
 
 
+def test_layouts_mixed_in_one_folder(spark, tmp_path):
+    def named(*names):
+        return [{**BASELINE, "symbol": n} for n in names]
+
+    (tmp_path / "a.json").write_text(json.dumps({"baselines": named("A", "B")}, indent=2))
+    (tmp_path / "b.json").write_text("".join(json.dumps(r) + "\n" for r in named("C", "D", "E")))
+    first, second = map(json.dumps, named("F", "G"))
+    (tmp_path / "c.json").write_text(f"[{first}\n,{second}]")
+    (tmp_path / "d.json").write_text(json.dumps(named("H", "I")))
+    found = sorted(r["symbol"] for r in read_baselines(spark, str(tmp_path)).collect())
+    assert found == list("ABCDEFGHI")
+    (tmp_path / "e.json").write_text('{"symbol": "J"\n')
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_baselines(spark, str(tmp_path)).count()
+
+
 def test_all_baseline_parts_are_read(spark, tmp_path):
     for i, name in enumerate(("AUSDT", "BUSDT")):
         (tmp_path / f"part-0000{i}.json").write_text(json.dumps({**BASELINE, "symbol": name}) + "\n")
@@ -234,33 +253,42 @@ def test_envelope_document(spark, tmp_path):
         document = json.loads(part.read_text())
         assert (document["schema_version"], document["generated_at"]) == (2, "then")
         assert document["view_type"] == "batch_baseline"
-        assert [b["symbol"] for b in document["baselines"]] == (["AUSDT", "BTCUSDT"] if name == "two" else [])
+        assert [b["symbol"] for b in document["baselines"]] == (["ABCUSDT", "AUSDT"] if name == "two" else [])
+
 
+RUNS = [(1, 40.25), (1, 42.5), (1, 44.0), (2, 25.5), (2, 21.0), (2, 23.75),
+        (4, 14.5), (4, 12.0), (4, 16.25)]
+RECORDS = 1_200_000
 
-RUNS = [(1, 56.059), (1, 56.055), (1, 54.049), (2, 58.074), (2, 52.055), (2, 52.087),
-        (4, 60.069), (4, 52.059), (4, 56.053)]
-SUMMARY = [
-    (1, 3, 56.055, 1.159, 54.049, 56.059, 1.0, 1.0, 43111.57),
-    (2, 3, 52.087, 3.466, 52.055, 58.074, 1.0762, 0.5381, 46395.82),
-    (4, 3, 56.053, 4.005, 52.059, 60.069, 1.0, 0.25, 43113.11),
-]
+
+def expected_summary():
+    out = []
+    for workers in (1, 2, 4):
+        own = [seconds for w, seconds in RUNS if w == workers]
+        middle = statistics.median(own)
+        gain = 42.5 / middle
+        out.append(
+            (workers, 3, middle, round(statistics.stdev(own), 3), min(own), max(own), round(gain, 4),
+             round(gain / workers, 4), round(RECORDS / middle, 2))
+        )
+    return out
 
 
 def run_log(spark, tmp_path, runs):
     lines = ["data_source,environment,cluster_id,step_id,worker_count,repeat,input_records,"
              "runtime_seconds,state,started_at,ended_at"]
     for i, (workers, seconds) in enumerate(runs):
-        lines.append(f"archive,lab,c,s{i},{workers},{i},2416619,{seconds},COMPLETED,"
-                     "2026-08-02T20:48:09.783000+05:30,2026-08-02T20:49:05.842000+05:30")
-    lines.append("archive,lab,c,x,1,9,2416619,1.0,FAILED,2026-08-02T20:48:09+05:30,2026-08-02T20:49:05+05:30")
+        lines.append(f"archive,lab,c,s{i},{workers},{i},{RECORDS},{seconds},COMPLETED,"
+                     "2027-02-03T10:00:01.250000+05:30,2027-02-03T10:01:02.500000+05:30")
+    lines.append("archive,lab,c,x,1,9,1200000,1.0,FAILED,2027-02-03T10:00:01+05:30,2027-02-03T10:01:02+05:30")
     (tmp_path / "runs.csv").write_text("\n".join(lines) + "\n")
     return logs.read_run_log(spark, str(tmp_path / "runs.csv"))
 
 
 def test_run_summary(spark, tmp_path):
     rows = metrics.run_summary(run_log(spark, tmp_path, RUNS)).collect()
-    assert [tuple(r)[2:4] + tuple(r)[5:] for r in rows] == SUMMARY
-    assert rows[0]["input_records"] == 2416619
+    assert [tuple(r)[2:4] + tuple(r)[5:] for r in rows] == expected_summary()
+    assert rows[0]["input_records"] == RECORDS
     with pytest.raises(Exception, match="no completed one-worker run"):
         metrics.run_summary(run_log(spark, tmp_path, RUNS[3:])).collect()
 
@@ -281,23 +309,13 @@ def test_latency_summary(spark):
 
 
 def test_scaling_summary(spark):
-    rows = [(0, 1, 1, 100.0), (40, 3, 2, 3.65), (80, 2, 3, 50.0), (3699, 1, 1, 99.0)]
+    rows = [(0, 1, 1, 95.0), (30, 4, 2, 7.5), (90, 2, 4, 50.0), (1200, 1, 1, 91.0)]
     df = spark.createDataFrame(
         rows,
         "elapsed_seconds int, requested_workers int, running_workers int, yarn_memory_available_pct double",
     )
     (row,) = as_dicts(metrics.scaling_summary(df))
-    assert list(row.values()) == [1, 3, 3, 1, 3.65, 100.0, 3699]
-
-
-def test_generated_events(spark):
-    rows = as_dicts(generator.synthetic_range(spark, 100, symbol_count=4).orderBy("trade_id"))
-    assert [r["symbol"] for r in rows[:5]] == ["COIN000USDT", "COIN001USDT", "COIN002USDT", "COIN003USDT", "COIN000USDT"]
-    assert (rows[0]["last_price"], rows[0]["quote_volume"], rows[0]["ingest_time"]) == (10.0, 100.0, 1_800_000_000_025)
-    assert rows[60]["quote_volume"] == 100.0 + (60 * 17) % 900
-    replayed = as_dicts(generator.replay_events(spark.range(600), START).orderBy("trade_id"))
-    assert replayed[0]["symbol"] == "BTCUSDT" and replayed[0]["last_price"] == pytest.approx(63_000.0 * (1 - 50 / 100_000))
-    assert (replayed[550]["quote_volume"], replayed[5]["trade_id"]) == (300.0, START * 1_000_000 + 5)
+    assert list(row.values()) == [1, 4, 4, 1, 7.5, 95.0, 1200]
 
 
 def test_event_counts(spark):

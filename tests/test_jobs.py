@@ -15,18 +15,14 @@ from tickloom.streaming.tables import BatchTable
 
 
 @pytest.mark.parametrize("state", ["buckets", "records"])
-def test_batch_then_speed(spark, tmp_path, monkeypatch, state):
+def test_batch_then_speed(spark, tmp_path, state):
     rows = minute_rows()
     folder = write_files(tmp_path / "in", [rows])
     out = tmp_path / "out"
-    assert batch.main(
-        ["--input", folder, "--output", f"{out}/b", "--json-output", f"{out}/j",
-         "--batch-view-output", f"{out}/w", "--id-bound", "100000"]
-    ) == 0
-    monkeypatch.setenv("MIN_LIQUIDITY_USDT", "0")
+    assert batch.main([folder, str(out), '{"dedupe": true, "median": "exact"}']) == 0
+    options = ["--sliding"] if state == "records" else []
     assert speed.main(
-        ["--input-jsonl", folder, "--baseline-json", f"{out}/j", "--output", f"{out}/s",
-         "--state", state, "--top-n", "1", "--once"]
+        [folder, f"{out}/baselines-json", f"{out}/s", '{"min_liquidity": 0, "top_n": 1}', "--drain", *options]
     ) == 0
     (part,) = (out / "s" / "serving" / "document").glob("part-*")
     document = json.loads(part.read_text())
@@ -36,19 +32,30 @@ def test_batch_then_speed(spark, tmp_path, monkeypatch, state):
     assert stored[0]["rank"] == 1 and stored[0]["expires_at"] > 0
 
 
-def test_backfill(spark, tmp_path):
-    folder = tmp_path / "archive" / "BTCUSDT"
+def test_backfill_adds_days_and_keeps_others(spark, tmp_path):
+    folder = tmp_path / "archive" / "ABCUSDT"
     folder.mkdir(parents=True)
-    (folder / "BTCUSDT-aggTrades-2026-07-01.csv").write_text(
-        "100,250.0,2.5,200,202,1782864000000,True,True\n101,1.0,1.0,1,1,1882864000000,True,True\n"
-    )
-    args = ["--start", "2026-07-01", "--end", "2026-07-02", "--archive-dir", str(tmp_path / "archive"),
-            "--output-dir", str(tmp_path / "out")]
-    backfill.main(["--symbols", "btcusdt,ethusdt", *args])
-    (row,) = as_dicts(read_events(spark, str(tmp_path / "out")))
-    assert (row["trade_id"], row["quote_volume"]) == (100, 625.0)
+    day = 86_400_000
+    for i, name in enumerate(("2027-01-01", "2027-01-02", "2027-01-03")):
+        time = 1_798_761_600_000 + i * day
+        lines = [f"{i},40.0,1.5,70,74,{time},True,True", f"{90 + i},1.0,1.0,1,1,{time + 9 * day},True,True"]
+        (folder / f"ABCUSDT-{name}.csv").write_text("\n".join(lines) + "\n")
+    source, target = str(tmp_path / "archive"), str(tmp_path / "out")
+
+    def ids():
+        return sorted(r["trade_id"] for r in read_events(spark, target).collect())
+
+    backfill.main([source, target, "2027-01-01", "abcusdt", "xyzusdt"])
+    assert ids() == [0]
+    backfill.main([source, target, "2027-01-02..2027-01-02", "abcusdt"])
+    assert ids() == [0, 1]
+    (folder / "ABCUSDT-2027-01-01.csv").write_text("55,40.0,1.5,70,74,1798761600000,True,True\n")
+    backfill.main([source, target, "2027-01-01..2027-01-03", "abcusdt"])
+    assert ids() == [0, 1, 2]
+    backfill.main([source, target, "2027-01-01", "abcusdt", "--replace"])
+    assert ids() == [1, 2, 55]
     with pytest.raises(ValueError):
-        backfill.main(["--symbols", "ETHUPUSDT", *args])
+        backfill.main([source, target, "2027-01-01", "ETHUPUSDT"])
 
 
 def test_results(spark, tmp_path):

@@ -8,7 +8,6 @@ from tickloom import params, schemas
 from tickloom.functions import events as fn
 
 # Event ids count rows, so they stay far below this; order keys built with it fail beyond it.
-EVENT_ID_BOUND = 1 << 36
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

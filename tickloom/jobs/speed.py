@@ -1,12 +1,19 @@
-"""Keep the hybrid view of arriving JSON Lines events and publish its top lists."""
+"""Keep the hybrid view of arriving events and publish its top lists.
+
+    speed.py EVENTS BASELINES TARGET [SETTINGS] [--sliding] [--drain]
+
+EVENTS is a folder that JSON Lines arrive in. SETTINGS is a JSON object with any field of
+``tickloom.params.Params``.
+"""
 
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Sequence
 
-from tickloom import params
 from tickloom.operators.clean import clean_events
+from tickloom.params import Params
 from tickloom.session import build_session
 from tickloom.sources.baselines import read_baselines
 from tickloom.sources.events import read_event_stream
@@ -14,36 +21,36 @@ from tickloom.streaming.hybrid import HybridView, RecentBuckets, RecentRecords,
 from tickloom.streaming.serving import ServingRefresh
 
 
+def _settings(text: str) -> Params:
+    return Params(**json.loads(text))
+
+
 def main(argv: Sequence[str] | None = None) -> int:
-    settings = params.Params.from_env()
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--input-jsonl", required=True, help="folder that event files arrive in")
-    parser.add_argument("--baseline-json", required=True, help="baselines, any JSON layout")
-    parser.add_argument("--output", required=True, help="folder for state, checkpoint and lists")
-    parser.add_argument("--state", choices=("buckets", "records"), default="buckets")
-    parser.add_argument("--top-n", type=int, default=settings.top_n)
-    parser.add_argument("--refresh-seconds", type=int, default=settings.refresh_seconds)
-    parser.add_argument("--once", action="store_true", help="process what is there, then stop")
+    parser.add_argument("events")
+    parser.add_argument("baselines", help="file or folder, any JSON layout")
+    parser.add_argument("target", help="folder for state, checkpoint and lists")
+    parser.add_argument("settings", nargs="?", type=_settings, default=Params())
+    parser.add_argument("--sliding", action="store_true", help="keep events instead of buckets")
+    parser.add_argument("--drain", action="store_true", help="process what is there, then stop")
     args = parser.parse_args(argv)
 
     spark = build_session("tickloom-speed")
-    state_path = f"{args.output}/state"
+    chosen, folder = args.settings, f"{args.target}/state"
     # A run over what is there replays history, where the clock says nothing about a symbol.
-    retention = None if args.once else settings.state_retention_seconds
-    if args.state == "buckets":
-        state = RecentBuckets(
-            spark, state_path, settings.window, settings.bucket_ms, retention_seconds=retention
-        )
+    kept = None if args.drain else chosen.state_retention_seconds
+    if args.sliding:
+        state = RecentRecords(spark, folder, chosen.window, kept)
     else:
-        state = RecentRecords(spark, state_path, settings.window, retention)
+        state = RecentBuckets(spark, folder, chosen.window, chosen.bucket_ms, retention_seconds=kept)
     baselines = Refreshing(
-        lambda: read_baselines(spark, args.baseline_json), settings.baseline_refresh_seconds
+        lambda: read_baselines(spark, args.baselines), chosen.baseline_refresh_seconds
     )
-    view = HybridView(spark, f"{args.output}/view", state, baselines, settings)
-    refresh = ServingRefresh(spark, f"{args.output}/serving", view, args.top_n)
-    events = clean_events(read_event_stream(spark, args.input_jsonl), lenient=True)
-    every = None if args.once else f"{args.refresh_seconds} seconds"
-    start(events, refresh, f"{args.output}/checkpoint", every).awaitTermination()
+    view = HybridView(spark, f"{args.target}/view", state, baselines, chosen)
+    refresh = ServingRefresh(spark, f"{args.target}/serving", view, chosen.top_n)
+    events = clean_events(read_event_stream(spark, args.events), lenient=True)
+    every = None if args.drain else f"{chosen.refresh_seconds} seconds"
+    start(events, refresh, f"{args.target}/checkpoint", every).awaitTermination()
     return 0
 
 

@@ -15,10 +15,10 @@ _COLUMNS = schemas.SYMBOL_BUCKET.fieldNames()
 
 
 def time_buckets(
-    events: DataFrame, bucket_ms: int = params.DEFAULT_BUCKET_MS, id_bound: int | None = None
+    events: DataFrame, bucket_ms: int = params.DEFAULT_BUCKET_MS
 ) -> DataFrame:
     """Events summed per (symbol, bucket), with the first and last event of each bucket."""
-    order = event_order(bucket_ms if id_bound else None, id_bound)
+    order = event_order(bucket_ms)
     trade_id = F.coalesce("trade_id", F.lit(-1).cast("long"))
     return (
         events.withColumn("bucket_start", fn.aligned_start("event_time", bucket_ms))
@@ -97,7 +97,6 @@ def latest_bucket_window(
     window: str = params.DEFAULT_WINDOW,
     bucket_ms: int = params.DEFAULT_BUCKET_MS,
     min_buckets: int = params.DEFAULT_MIN_RECORDS,
-    id_bound: int | None = None,
 ) -> DataFrame:
     """Recent window per symbol at bucket grain.
 
@@ -113,7 +112,7 @@ def latest_bucket_window(
         .where(F.col("event_time") >= fn.aligned_start(cutoff, bucket_ms))
         .drop("newest")
     )
-    recent = retain_recent(time_buckets(tail, bucket_ms, id_bound), length, newest)
+    recent = retain_recent(time_buckets(tail, bucket_ms), length, newest)
     return roll_up_buckets(recent, min_buckets)
 
 

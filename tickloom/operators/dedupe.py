@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 def dedupe_trades(df: DataFrame) -> DataFrame:
     """One row per (symbol, trade id), the smallest by time then content; null ids all stay.
 
-    Copies collapse before the shuffle (partial aggregation), so a trade repeated millions of times
-    costs one row per input partition. Rows without an id never enter the shuffle.
+    Rows are dealt by key before they are aggregated, so both phases of the aggregation share one
+    sort, after the shuffle. Rows without an id never enter the shuffle.
     """
     keys = ("symbol", "trade_id")
     rest = ["event_time", *[name for name in df.columns if name not in (*keys, "event_time")]]
     unique = (
         df.where(F.col("trade_id").isNotNull())
+        .repartition(*keys)
         .groupBy(*keys)
         .agg(F.min(F.struct(*rest)).alias("row"))
         .select(*keys, "row.*")

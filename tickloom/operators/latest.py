@@ -10,25 +10,14 @@ from tickloom.functions import events as fn
 from tickloom.functions.ordering import event_order
 
 
-def latest_rows(
-    events: DataFrame,
-    columns: tuple[str, ...],
-    id_bound: int | None = None,
-    grain: str = "1 hour",
-) -> DataFrame:
-    """The given columns of the newest event per symbol, by (event time, trade id).
-
-    With bounded ids the newest row is first found per (symbol, ``grain``) and then per symbol:
-    both steps hash-aggregate. Otherwise one aggregate keeps the whole row under a struct key.
+def latest_rows(events: DataFrame, columns: tuple[str, ...], grain: str = "1 hour") -> DataFrame:
+    """The given columns of the newest event per symbol, by (event time, trade id, price).
+
+    The newest row is first found per (symbol, ``grain``) and then per symbol; both steps
+    hash-aggregate, and a busy symbol spreads over its hours.
     """
-    if id_bound is None:
-        return (
-            events.groupBy("symbol")
-            .agg(F.max_by(F.struct(*columns), event_order()).alias("row"))
-            .select("symbol", "row.*")
-        )
     length = params.duration_ms(grain)
-    order = event_order(length, id_bound)
+    order = event_order(length)
     slots = (
         events.withColumn("slot", fn.aligned_start("event_time", length))
         .groupBy("symbol", "slot")

@@ -7,21 +7,13 @@ from pyspark.sql import functions as F
 
 from tickloom.session import materialise
 
-# Rows one task may number on its own; larger frames are numbered in parallel.
-SINGLE_TASK_ROWS = 1_000_000
 
-
-def rank_rows(
-    df: DataFrame, order: list[Column], name: str, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def rank_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Number all rows of ``df`` 1, 2, … in ``order``, which must be total.
 
-    A frame of proven small size is numbered in one task. A larger one is range-partitioned by
-    ``order`` and written once; each slice is numbered on its own and shifted by the size of the
-    slices before it. ``df`` should be a written table, its rows are counted first.
+    The rows are range-partitioned by ``order`` and written once; each slice is numbered on its own
+    and shifted by the size of the slices before it.
     """
-    if df.count() <= single_task_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     sliced = materialise(
         df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), "ranked"
     )
@@ -39,6 +31,12 @@ def rank_rows(
     )
 
 
+def live_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The same numbers as a plan that runs nothing until it is read, for views over one row per
+    symbol: a single task numbers them."""
+    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+
+
 def top_rows(df: DataFrame, order: list[Column], n: int, name: str | None = None) -> DataFrame:
     """First ``n`` rows in ``order``, numbered if ``name`` is given."""
     top = df.orderBy(*order).limit(n)

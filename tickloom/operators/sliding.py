@@ -48,89 +48,102 @@ def latest_sliding(
     return roll_up_events(dedupe_trades(recent) if dedupe else recent, min_records)
 
 
-def sliding_windows(
-    events: DataFrame, window: str = params.DEFAULT_WINDOW, slots_per_chunk: int = 4
-) -> DataFrame:
+def sliding_windows(events: DataFrame, window: str = params.DEFAULT_WINDOW) -> DataFrame:
     """For every event, its symbol's window [event_time - length, event_time].
 
-    A RANGE frame would rebuild the aggregate of the whole window for each row, so each event
-    instead enters a running sum at its time and leaves it just after time + length. A symbol's
-    time line is cut into chunks of ``slots_per_chunk`` windows, and only events of the last window
-    of a chunk are repeated in the next one; no task needs more than a chunk and a window.
+    A RANGE frame would rebuild the aggregate of the whole window for each row, and a running sum
+    that events enter and leave loses digits. Here the time line is cut into blocks of one length:
+    a window is a suffix of one block and a prefix of the next, so running totals from either end of
+    each block, added once, give every window in linear time and without a subtraction.
 
-    The first event of a window is the next one to leave, hence the pass in reverse order. Events
-    at the same time share one window, as under RANGE.
+    Events are summed per distinct time first, so a block holds at most one row per millisecond of
+    the length, however busy the symbol. Events at the same time share one window, as under RANGE.
     """
     length = params.duration_ms(window)
-    chunk = length * slots_per_chunk
-    start = F.col("chunk")
-    chunk_end = start + F.lit(chunk).cast("long")
-    leaves = F.col("event_time") + F.lit(length).cast("long")
-
-    def step(chunk_start, at, leaving: int, own: bool):
-        return F.struct(
-            chunk_start.alias("chunk"),
-            at.alias("at"),
-            F.lit(leaving).alias("leaving"),
-            F.lit(own).alias("own"),
-        )
+    trade_id = F.coalesce("trade_id", F.lit(-1).cast("long"))
+    order = F.struct(trade_id, F.col("last_price"))
+    times = materialise(
+        events.groupBy("symbol", "event_time").agg(
+            F.min_by("last_price", order).alias("first_price"),
+            F.max_by("last_price", order).alias("end_price"),
+            F.sum("quote_volume").alias("volume"),
+            F.sum("trade_count").alias("trades"),
+            F.count("*").alias("records"),
+        ),
+        "times",
+    )
+    block = times.withColumn("block", fn.aligned_start("event_time", length))
+    part = Window.partitionBy("symbol", "block")
+    upto = part.orderBy("event_time").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = part.orderBy(F.desc("event_time")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
 
-    here = [step(start, F.col("event_time"), 0, True), step(start, leaves, 1, False)]
-    next_chunk = [
-        step(chunk_end, F.col("event_time"), 0, False),
-        step(chunk_end, leaves, 1, False),
-    ]
-    spread = events.select(
+    def totals(frame) -> list:
+        return [F.sum(c).over(frame).alias(c) for c in ("volume", "trades", "records")]
+
+    sums = block.select(
         "symbol",
+        "block",
         "event_time",
-        F.coalesce("trade_id", F.lit(-1).cast("long")).alias("order_id"),
-        "trade_id",
-        F.col("last_price").alias("price"),
-        "quote_volume",
-        "trade_count",
-        fn.aligned_start("event_time", chunk).alias("chunk"),
-    ).withColumn(
-        "step",
-        F.when(leaves >= chunk_end, F.array(*here, *next_chunk)).otherwise(F.array(*here)),
+        "end_price",
+        F.struct(
+            F.first("first_price").over(upto).alias("price"),
+            F.first("event_time").over(upto).alias("time"),
+            *totals(upto),
+        ).alias("prefix"),
+        F.struct(
+            F.col("first_price").alias("price"), F.col("event_time").alias("time"), *totals(onward)
+        ).alias("suffix"),
     )
-    steps = spread.select(
-        "symbol", "event_time", "order_id", "trade_id", "price", "quote_volume", "trade_count",
-        F.explode("step").alias("step"),
-    ).select("symbol", "event_time", "order_id", "trade_id", "price", "quote_volume", "trade_count", "step.*")
-
-    part = Window.partitionBy("symbol", "chunk")
-    running = part.orderBy("at", "leaving").rangeBetween(
+    # A suffix serves the windows of the next block that begin at or before its first time.
+    steps = sums.select(
+        "symbol",
+        F.inline(
+            F.array(
+                F.struct(
+                    F.col("block"),
+                    F.col("event_time").alias("at"),
+                    F.lit(True).alias("own"),
+                    F.col("end_price"),
+                    F.col("prefix").alias("totals"),
+                ),
+                F.struct(
+                    (F.col("block") + F.lit(length).cast("long")).alias("block"),
+                    (F.col("event_time") + F.lit(length).cast("long")).alias("at"),
+                    F.lit(False).alias("own"),
+                    F.lit(None).cast("double").alias("end_price"),
+                    F.col("suffix").alias("totals"),
+                ),
+            )
+        ),
+    )
+    ahead = part.orderBy(F.desc("at"), F.asc("own")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    reverse = part.orderBy(
-        F.desc("at"), F.desc("leaving"), F.desc("order_id"), F.desc("price")
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sign = F.when(F.col("leaving") == 0, F.lit(1)).otherwise(F.lit(-1))
-    entering = F.col("leaving") == 0
-    next_out = F.when(~entering, F.struct("price", "event_time"))
-    return (
-        steps.withColumns(
-            {
-                "quote_volume_5m": F.sum(sign * F.col("quote_volume")).over(running),
-                "trade_count_5m": F.sum(sign * F.col("trade_count")).over(running),
-                "record_count": F.sum(sign).over(running),
-                "end_price": F.max_by(
-                    "price", F.when(entering, F.struct("event_time", "order_id", "price"))
-                ).over(running),
-                "first": F.last(next_out, ignorenulls=True).over(reverse),
-            }
-        )
-        .where("own")
-        .select(
-            "symbol",
-            "event_time",
-            "trade_id",
-            F.col("first.price").alias("start_price"),
-            "end_price",
-            "quote_volume_5m",
-            "trade_count_5m",
-            "record_count",
-            F.col("first.event_time").alias("window_start"),
-            F.col("event_time").alias("window_end"),
+    before = F.last(F.when(~F.col("own"), F.col("totals")), ignorenulls=True).over(ahead)
+    joined = steps.withColumn("before", before).where("own")
+
+    def both(name: str):
+        earlier = F.col(f"before.{name}")
+        return F.when(earlier.isNull(), F.col(f"totals.{name}")).otherwise(
+            earlier + F.col(f"totals.{name}")
         )
+
+    windows = joined.select(
+        F.col("symbol").alias("w_symbol"),
+        F.col("at").alias("w_time"),
+        F.coalesce("before.price", "totals.price").alias("start_price"),
+        "end_price",
+        both("volume").alias("quote_volume_5m"),
+        both("trades").alias("trade_count_5m"),
+        both("records").alias("record_count"),
+        F.coalesce("before.time", "totals.time").alias("window_start"),
+    )
+    same = (F.col("symbol") == F.col("w_symbol")) & (F.col("event_time") == F.col("w_time"))
+    return (
+        events.select("symbol", "event_time", "trade_id")
+        .join(windows, same)
+        .drop("w_symbol", "w_time")
+        .withColumn("window_end", F.col("event_time"))
     )

@@ -43,21 +43,19 @@ def event_windows(
     events: DataFrame,
     window: str = params.DEFAULT_WINDOW,
     min_records: int = params.DEFAULT_MIN_RECORDS,
-    id_bound: int | None = None,
     closed_before: int | None = None,
 ) -> DataFrame:
     """Aggregate events into tumbling windows of ``window`` per symbol.
 
     One shuffle on (symbol, window start), after map-side partial aggregation: a symbol with a
-    third of all rows spreads over all its windows. ``id_bound`` promises that every
-    row has a smaller id and selects the hash-aggregated ordering key. ``closed_before`` drops
-    windows that end after that epoch millisecond; by default the open last window counts.
+    third of all rows spreads over all its windows. ``closed_before`` drops windows that end after
+    that epoch millisecond; by default the open last window counts.
     """
     length = params.duration_ms(window)
     windows = (
         events.withColumn("window_start", fn.aligned_start("event_time", length))
         .groupBy("symbol", "window_start")
-        .agg(*measures(event_order(length, id_bound)))
+        .agg(*measures(event_order(length)))
         .withColumn("window_end", F.col("window_start") + F.lit(length).cast("long"))
     )
     if closed_before is not None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 from dataclasses import dataclass, field
 
@@ -10,7 +9,6 @@ from dataclasses import dataclass, field
 DEFAULT_WINDOW = "5 minutes"
 DEFAULT_MIN_RECORDS = 2
 DEFAULT_REFRESH_SECONDS = 10
-DEFAULT_REFRESH_RECORDS = 100
 DEFAULT_MIN_LIQUIDITY = 10_000.0
 DEFAULT_SPIKE_ZSCORE = 3.0
 DEFAULT_SPIKE_RETURN_PCT = 1.5
@@ -65,27 +63,3 @@ class Params:
     @property
     def window_ms(self) -> int:
         return duration_ms(self.window)
-
-    @classmethod
-    def from_env(cls, env: dict[str, str] | None = None) -> "Params":
-        """Defaults overridden by the environment variables a deployment may set."""
-        env = dict(os.environ if env is None else env)
-        chosen: dict[str, object] = {}
-        if "WINDOW_SECONDS" in env:
-            chosen["window"] = f"{int(env['WINDOW_SECONDS'])} seconds"
-        for name, variable, cast in (
-            ("refresh_seconds", "REFRESH_SECONDS", int),
-            ("min_liquidity", "MIN_LIQUIDITY_USDT", float),
-            ("spike_zscore", "SPIKE_ZSCORE_THRESHOLD", float),
-            ("spike_return_pct", "SPIKE_ABS_RETURN_PCT", float),
-            ("top_n", "TOP_N", int),
-            ("bucket_ms", "STATE_BUCKET_MS", int),
-            ("state_retention_seconds", "STATE_RETENTION_SECONDS", int),
-            ("baseline_refresh_seconds", "BASELINE_REFRESH_SECONDS", int),
-        ):
-            if variable in env:
-                chosen[name] = cast(env[variable])
-        if "MARKET_SYMBOLS" in env:
-            parts = [part.strip().upper() for part in env["MARKET_SYMBOLS"].split(",")]
-            chosen["symbols"] = tuple(part for part in parts if part)
-        return cls(**chosen)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom import params
 from tickloom.operators.baselines import baselines
 from tickloom.operators.clean import clean_events
+from tickloom.operators.dedupe import dedupe_trades
 from tickloom.operators.windows import event_windows
 from tickloom.session import materialise
 from tickloom.sinks import tables
@@ -26,16 +27,17 @@ def batch_views(
     updated_at: str,
     window: str = params.DEFAULT_WINDOW,
     min_records: int = params.DEFAULT_MIN_RECORDS,
-    id_bound: int | None = None,
     median: str = "exact",
     windows_path: str | None = None,
+    dedupe: bool = False,
 ) -> BatchViews:
-    """Windows and baselines of raw events.
+    """Windows and baselines of raw events; ``dedupe`` counts a repeated trade once.
 
     The events are scanned once: the windows are written (to ``windows_path`` if given, else to
     the shared folder) and everything after reads that far smaller table.
     """
-    fresh = event_windows(clean_events(events), window, min_records, id_bound)
+    clean = clean_events(events)
+    fresh = event_windows(dedupe_trades(clean) if dedupe else clean, window, min_records)
     if windows_path is None:
         windows = materialise(fresh, "windows")
     else:
@@ -53,8 +55,8 @@ def run_batch(
     batch_view_output: str | None = None,
     window: str = params.DEFAULT_WINDOW,
     min_records: int = params.DEFAULT_MIN_RECORDS,
-    id_bound: int | None = None,
     median: str = "exact",
+    dedupe: bool = False,
 ) -> None:
     """Read a JSON Lines archive and publish its batch views."""
     views = batch_views(
@@ -62,9 +64,9 @@ def run_batch(
         updated_at,
         window,
         min_records,
-        id_bound,
         median,
         batch_view_output,
+        dedupe,
     )
     rows = materialise(views.baselines, "baselines")
     tables.write_baselines(rows, output_path)

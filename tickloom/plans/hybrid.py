@@ -30,11 +30,10 @@ def hybrid_from_buckets(
     baseline_rows: DataFrame,
     observed_at: Column | int,
     settings: params.Params = params.Params(),
-    id_bound: int | None = None,
 ) -> DataFrame:
     """Score the recent window kept as time buckets; at least two buckets are needed."""
     recent = latest_bucket_window(
-        events, settings.window, settings.bucket_ms, settings.min_records, id_bound
+        events, settings.window, settings.bucket_ms, settings.min_records
     )
     return _scored(recent, baseline_rows, observed_at, settings)
 

@@ -9,7 +9,7 @@ from tickloom.functions import events as fn
 from tickloom.functions import scoring
 from tickloom.operators.baselines import history_columns
 from tickloom.operators.latest import latest_rows
-from tickloom.operators.ranking import rank_rows
+from tickloom.operators.ranking import live_rank
 from tickloom.session import materialise
 
 # Fixed value: |z| from which the history view reports a move.
@@ -18,12 +18,10 @@ ABNORMAL_ZSCORE = 3.0
 _RETURN_AND_VOLUME = ("return_5m", "quote_volume_5m")
 
 
-def latest_market_prices(events: DataFrame, id_bound: int | None = None) -> DataFrame:
+def latest_market_prices(events: DataFrame) -> DataFrame:
     """Newest price of every symbol with its ingestion latency."""
     priced = events.where(F.col("symbol").isNotNull() & (F.col("last_price") > 0))
-    newest = latest_rows(
-        priced, ("last_price", "quote_volume", "event_time", "ingest_time"), id_bound
-    )
+    newest = latest_rows(priced, ("last_price", "quote_volume", "event_time", "ingest_time"))
     return newest.select(
         "symbol",
         fn.base_asset("symbol").alias("base_asset"),
@@ -74,7 +72,7 @@ def history_and_latest(windows: DataFrame) -> DataFrame:
 
 
 def in_latest_window(per_symbol: DataFrame) -> DataFrame:
-    """Symbols whose newest window is the newest of all. Pass a written table, it is read twice."""
+    """Symbols whose newest window is the newest of all; the aggregate below is exchanged once."""
     newest = per_symbol.agg(F.max("window_end")).scalar()
     return per_symbol.where(F.col("window_end") == newest)
 
@@ -107,26 +105,25 @@ def _presented(rows: DataFrame, *scores: str) -> DataFrame:
 
 def trending_coins(windows: DataFrame) -> DataFrame:
     """Symbols of the newest window ranked by how far they are above their history."""
-    per_symbol = materialise(history_and_latest(windows), "per-symbol")
-    scored = in_latest_window(per_symbol).withColumn(
+    scored = in_latest_window(history_and_latest(windows)).withColumn(
         "trend_score", scoring.signed_trend(_return_z(), _volume_z())
     )
-    ranked = rank_rows(scored, [F.desc("trend_score"), F.asc("symbol")], "trend_rank")
+    ranked = live_rank(scored, [F.desc("trend_score"), F.asc("symbol")], "trend_rank")
     return _presented(ranked, "trend_rank", "trend_score")
 
 
-def _abnormal(rows: DataFrame) -> DataFrame:
+def _abnormal(rows: DataFrame, spike_z: float = ABNORMAL_ZSCORE) -> DataFrame:
     spikes = rows.withColumn("spike_zscore", _return_z()).where(
-        F.abs("spike_zscore") >= ABNORMAL_ZSCORE
+        F.abs("spike_zscore") >= spike_z
     )
     return _presented(
         spikes.orderBy(F.abs("spike_zscore").desc(), "symbol", "window_end"), "spike_zscore"
     )
 
 
-def abnormal_price_spikes(windows: DataFrame) -> DataFrame:
+def abnormal_price_spikes(windows: DataFrame, spike_z: float = ABNORMAL_ZSCORE) -> DataFrame:
     """Abnormal moves in the newest window, largest first."""
-    return _abnormal(in_latest_window(materialise(history_and_latest(windows), "per-symbol")))
+    return _abnormal(in_latest_window(history_and_latest(windows)), spike_z)
 
 
 def abnormal_history(windows: DataFrame) -> DataFrame:
@@ -153,7 +150,10 @@ def register_views(
     events: str | DataFrame = "raw_market_events",
     windows: str | DataFrame = "batch_windows",
 ) -> None:
-    """Make the four views available to SQL, over catalog tables or frames."""
+    """Make the four views available to SQL, over catalog tables or frames.
+
+    Nothing runs here: a view is computed whenever it is read, from what its tables then hold.
+    """
     event_rows = spark.table(events) if isinstance(events, str) else events
     window_rows = spark.table(windows) if isinstance(windows, str) else windows
     latest_market_prices(event_rows).createOrReplaceTempView("latest_market_prices")

@@ -34,7 +34,6 @@ from tickloom.registry.shared import (
 )
 from tickloom.session import materialise
 
-ID_BOUND = adapters.EVENT_ID_BOUND
 # Unit prices are cents over a quantity up to 50, so at eight places none lies between two values.
 PRICE = 8
 
@@ -82,7 +81,7 @@ FROM m WHERE NOT (symbol = 'ERRORUSDT' AND last_price < 20) {{extra}}"""
 
 
 def event_windows_5m(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(event_windows(events(spark, folder), id_bound=ID_BOUND))
+    return rounded(event_windows(events(spark, folder)))
 
 
 def event_windows_closed(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,7 +94,7 @@ def event_windows_closed(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_windows(spark: SparkSession, folder: str) -> DataFrame:
     trades = user_events(spark, folder)
-    return rounded(event_windows(trades, "1 day", id_bound=ID_BOUND))
+    return rounded(event_windows(trades, "1 day"))
 
 
 def _brand_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,7 +133,7 @@ def baselines_approx(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_baselines(spark: SparkSession, folder: str) -> DataFrame:
     trades = user_events(spark, folder)
-    daily = materialise(event_windows(trades, "1 day", id_bound=ID_BOUND), "windows")
+    daily = materialise(event_windows(trades, "1 day"), "windows")
     return rounded(base.baselines(daily, UPDATED_AT))
 
 
@@ -164,7 +163,7 @@ def spikes_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_prices(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(views.latest_market_prices(adapters.market_events(spark, folder), ID_BOUND))
+    return rounded(views.latest_market_prices(adapters.market_events(spark, folder)))
 
 
 def user_latest_prices(spark: SparkSession, folder: str) -> DataFrame:

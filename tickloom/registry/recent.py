@@ -37,7 +37,6 @@ from tickloom.registry.shared import (
 )
 from tickloom.session import materialise
 
-ID_BOUND = adapters.EVENT_ID_BOUND
 BUCKET_MS = SETTINGS.bucket_ms
 FRESHNESS_MS = 1_800_000
 EXPIRES_AT = 1_800_000_000
@@ -67,7 +66,7 @@ def hybrid_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def _user_baselines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     trades = user_events(spark, folder)
-    windows = materialise(event_windows(trades, "1 day", id_bound=ID_BOUND), "windows")
+    windows = materialise(event_windows(trades, "1 day"), "windows")
     return trades, baselines(windows, UPDATED_AT)
 
 
@@ -90,7 +89,7 @@ def hybrid_buckets(spark: SparkSession, folder: str) -> DataFrame:
     trades, stats = _user_baselines(spark, folder)
     clock = observed(trades, "event_time")
     return rounded(
-        hybrid.hybrid_from_buckets(trades, stats, clock, USER_SETTINGS, id_bound=ID_BOUND)
+        hybrid.hybrid_from_buckets(trades, stats, clock, USER_SETTINGS)
     )
 
 
@@ -147,7 +146,7 @@ def sliding_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def time_buckets(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(bk.time_buckets(events(spark, folder), BUCKET_MS, ID_BOUND))
+    return rounded(bk.time_buckets(events(spark, folder), BUCKET_MS))
 
 
 def second_buckets(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,20 +156,20 @@ def second_buckets(spark: SparkSession, folder: str) -> DataFrame:
 def bucket_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Buckets of two interleaved halves of the trades, merged."""
     trades = events(spark, folder)
-    dear = bk.time_buckets(trades.where(F.col("last_price") >= 50), 3_600_000, ID_BOUND)
+    dear = bk.time_buckets(trades.where(F.col("last_price") >= 50), 3_600_000)
     cheap = bk.time_buckets(trades.where(F.col("last_price") < 50), 3_600_000)
     return rounded(bk.merge_buckets(dear, cheap))
 
 
 def bucket_rollup(spark: SparkSession, folder: str) -> DataFrame:
     trades = user_events(spark, folder)
-    return rounded(bk.latest_bucket_window(trades, "1 day", BUCKET_MS, id_bound=ID_BOUND))
+    return rounded(bk.latest_bucket_window(trades, "1 day", BUCKET_MS))
 
 
 def bucket_state(spark: SparkSession, folder: str) -> DataFrame:
     """State rows per user, as JSON text of their bucket list."""
     trades = user_events(spark, folder)
-    buckets = materialise(bk.time_buckets(trades, BUCKET_MS, ID_BOUND), "buckets")
+    buckets = materialise(bk.time_buckets(trades, BUCKET_MS), "buckets")
     state = bk.bucket_state(bk.retain_recent(buckets, 86_400_000))
     starts = F.transform("buckets", lambda bucket: bucket["bucket_start"].cast("string"))
     return state.select(

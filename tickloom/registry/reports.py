@@ -1,4 +1,4 @@
-"""Run, latency and scaling summaries, and generated load."""
+"""Run, latency and scaling summaries."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from tickloom.operators import metrics
 from tickloom.operators.percentiles import exact_percentiles
 from tickloom.registry import Query
 from tickloom.registry.shared import SQL_EVENTS, events, rounded
-from tickloom.sources import generator
 
 NOW_MS = 1_785_000_000_000
 
@@ -94,17 +93,6 @@ def throughput(spark: SparkSession, folder: str) -> DataFrame:
     return hourly.withColumns(columns).drop("send_elapsed_seconds")
 
 
-def synthetic_events(spark: SparkSession, folder: str) -> DataFrame:
-    """One generated event per stored one, so that load grows with the table."""
-    index = adapters.table(spark, folder, "events").select("event_id")
-    return rounded(generator.synthetic_events(index, "event_id"))
-
-
-def replay_events(spark: SparkSession, folder: str) -> DataFrame:
-    index = adapters.table(spark, folder, "events").select("event_id")
-    return rounded(generator.replay_events(index, NOW_MS, "event_id"))
-
-
 QUERIES: dict[str, Query] = {
     "run_summary": run_summary,
     "scaling_summary": scaling_summary,
@@ -113,8 +101,6 @@ QUERIES: dict[str, Query] = {
     "volume_percentiles": volume_percentiles,
     "price_percentiles": price_percentiles,
     "throughput": throughput,
-    "synthetic_events": synthetic_events,
-    "replay_events": replay_events,
 }
 
 _SCALING = """WITH g AS (
@@ -180,21 +166,4 @@ h AS (
 SELECT hour, sent_records, failed_records, sent_records - failed_records AS successful_records,
   round((sent_records - failed_records) / nullif(seconds, 0), 2) AS achieved_throughput
 FROM h""",
-    "synthetic_events": """SELECT CAST(2 AS BIGINT) AS schema_version, 'aggTrade' AS event_type,
-  'COIN' || lpad(CAST(event_id % 32 AS VARCHAR), 3, '0') || 'USDT' AS symbol,
-  'COIN' || lpad(CAST(event_id % 32 AS VARCHAR), 3, '0') AS base_asset,
-  1800000000000 + event_id * 100 AS event_time,
-  round((10 + event_id % 32) * (1 + 0.01 * sin(event_id / 250.0)), 6) AS last_price,
-  CAST(100 + event_id * 17 % 900 AS DOUBLE) AS quote_volume, CAST(1 AS BIGINT) AS trade_count,
-  1800000000000 + event_id * 100 + 25 + event_id % 20 AS ingest_time, event_id AS trade_id
-FROM events""",
-    "replay_events": f"""SELECT CAST(2 AS BIGINT) AS schema_version, 'controlledReplay' AS event_type,
-  s || 'USDT' AS symbol, s AS base_asset, CAST({NOW_MS} AS BIGINT) AS event_time,
-  round(p * (1 + (event_id % 101 - 50) / 100000.0), 6) AS last_price,
-  CAST(250 + event_id % 500 AS DOUBLE) AS quote_volume, CAST(1 AS BIGINT) AS trade_count,
-  CAST({NOW_MS} AS BIGINT) AS ingest_time, {NOW_MS} * 1000000 + event_id AS trade_id
-FROM (
-  SELECT event_id, (['BTC', 'ETH', 'BNB', 'SOL', 'XRP'])[event_id % 5 + 1] AS s,
-         ([63000.0, 1850.0, 584.0, 73.0, 1.08]::DOUBLE[])[event_id % 5 + 1] AS p
-  FROM events)""",
 }

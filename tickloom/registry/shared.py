@@ -41,7 +41,7 @@ def user_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, folder: str) -> DataFrame:
-    return event_windows(events(spark, folder), HOUR, id_bound=adapters.EVENT_ID_BOUND)
+    return event_windows(events(spark, folder), HOUR)
 
 
 def hourly_table(spark: SparkSession, folder: str) -> DataFrame:

@@ -151,7 +151,7 @@ def serving_document(spark: SparkSession, folder: str) -> DataFrame:
 def sink_metrics_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Daily windows of users as a CSV log with a heading."""
     trades = user_events(spark, folder)
-    daily = event_windows(trades, "1 day", id_bound=adapters.EVENT_ID_BOUND)
+    daily = event_windows(trades, "1 day")
     path = scratch_path(spark, "log")
     tables.write_log(daily, path)
     log = spark.read.schema(daily.schema).option("header", "true").csv(path)

@@ -71,7 +71,7 @@ def _finish(query) -> None:
 def windows_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly windows kept up to date by a stream, the last version of each."""
     arriving = clean_events(_stream(spark, events(spark, folder)))
-    windows = stream_windows(arriving, HOUR, NEVER_LATE, id_bound=adapters.EVENT_ID_BOUND)
+    windows = stream_windows(arriving, HOUR, NEVER_LATE)
     path = scratch_path(spark, "changes")
     query = (
         windows.writeStream.outputMode("update")
@@ -142,7 +142,6 @@ def _bucket_state(spark: SparkSession, folder: str, copies: int) -> RecentBucket
         scratch_path(spark, "state"),
         USER_SETTINGS.window,
         USER_BUCKET_MS,
-        adapters.EVENT_ID_BOUND,
     )
     records = _records_stream(spark, user_events(spark, folder), copies)
     _finish(
@@ -172,7 +171,7 @@ def hybrid_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     stats = materialise(rows, "baselines")
     path = scratch_path(spark, "hybrid")
     state = RecentBuckets(
-        spark, path, STREAM_SETTINGS.window, STREAM_SETTINGS.bucket_ms, adapters.EVENT_ID_BOUND
+        spark, path, STREAM_SETTINGS.window, STREAM_SETTINGS.bucket_ms
     )
     view = HybridView(
         spark,

@@ -74,6 +74,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file systems know ``path``."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(name)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application."""
     jvm = spark.sparkContext._jvm

@@ -28,9 +28,10 @@ def write_baselines(baseline_rows: DataFrame, path: str) -> None:
     tagged(baseline_rows).write.mode("overwrite").parquet(path)
 
 
-def write_baselines_json(baseline_rows: DataFrame, path: str) -> None:
-    """Baselines as one JSON Lines part: one small row per symbol."""
-    tagged(baseline_rows).repartition(1).write.mode("overwrite").json(path)
+def write_baselines_json(baseline_rows: DataFrame, path: str, one_part: bool = False) -> None:
+    """Baselines as JSON Lines, in one part only if asked for."""
+    rows = tagged(baseline_rows)
+    (rows.repartition(1) if one_part else rows).write.mode("overwrite").json(path)
 
 
 def baseline_envelope(baseline_rows: DataFrame, generated_at: str) -> DataFrame:
@@ -96,6 +97,7 @@ def write_events_by_day(events: DataFrame, path: str) -> None:
     """Backfill output: compact gzip JSON with sorted keys, a folder per symbol and day.
 
     ``symbol`` stays in the payload. The rebalance hint splits a large symbol-day over several files.
+    Only folders that get rows are replaced.
     """
     columns = sorted(name for name in events.columns if name != "event_timestamp")
     day = F.to_date(F.timestamp_millis("event_time"))
@@ -108,6 +110,7 @@ def write_events_by_day(events: DataFrame, path: str) -> None:
         .withColumnsRenamed({"_symbol": "symbol", "_date": "date"})
         .hint("rebalance", "symbol", "date")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("symbol", "date")
         .option("compression", "gzip")
         .text(path)

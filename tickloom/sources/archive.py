@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from tickloom import params, schemas
 from tickloom.functions import events as fn
+from tickloom.session import path_exists
+from tickloom.sinks.tables import write_events_by_day
 
 # Layout of archive paths and the tag of their events.
 FILE_SYMBOL = r"/(?:symbol=)?([^/=]+)/[^/]+$"
-OUTPUT_NAME = r"([^/]+)-aggTrades-([0-9]{4}-[0-9]{2}-[0-9]{2})\.jsonl\.gz$"
+FILE_DAY = r"([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*$"
+OUTPUT_FOLDER = r"/symbol=([^/]+)/date=([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+$"
 ARCHIVE_SOURCE = "binance-vision-historical"
 
 
@@ -71,19 +74,54 @@ def backfill_manifest(
     return wanted.join(existing.select("symbol", "day"), ["symbol", "day"], "left_anti")
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of the files below ``path``; contents are not read."""
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    )
+
+
 def existing_outputs(spark: SparkSession, path: str) -> DataFrame:
-    """(symbol, day) of backfill files already below ``path``; file contents are not read."""
-    names = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path")
-        .where(F.col("path").rlike(OUTPUT_NAME))
+    """(symbol, day) of the backfill folders already below ``path``, none if there is no such folder."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "symbol string, day date")
+    return (
+        _files(spark, path)
+        .where(F.col("path").rlike(OUTPUT_FOLDER))
+        .select(
+            F.regexp_extract("path", OUTPUT_FOLDER, 1).alias("symbol"),
+            F.to_date(F.regexp_extract("path", OUTPUT_FOLDER, 2)).alias("day"),
+        )
+        .distinct()
     )
-    return names.select(
-        F.regexp_extract("path", OUTPUT_NAME, 1).alias("symbol"),
-        F.to_date(F.regexp_extract("path", OUTPUT_NAME, 2)).alias("day"),
+
+
+def archive_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, symbol, day) of archive files; ``day`` is null where the name tells none."""
+    return _files(spark, path).select(
+        "path",
+        F.upper(F.regexp_extract("path", FILE_SYMBOL, 1)).alias("symbol"),
+        F.to_date(F.nullif(F.regexp_extract("path", FILE_DAY, 1), F.lit(""))).alias("day"),
+    )
+
+
+def backfill(spark: SparkSession, archive: str, output: str, manifest: DataFrame) -> int:
+    """Events of the manifest's days from archive to ``output``; the number of files read.
+
+    Files are chosen by symbol and day before any is read. Folders of days that are written anew are
+    replaced, all others stay as they are.
+    """
+    listed = archive_files(spark, archive).alias("f")
+    wanted = (F.col("f.symbol") == F.col("m.symbol")) & (
+        F.col("f.day").isNull() | (F.col("f.day") == F.col("m.day"))
     )
+    chosen = [r["path"] for r in listed.join(manifest.alias("m"), wanted, "left_semi").collect()]
+    if chosen:
+        trades = normalise_archive(read_archive(spark, chosen))
+        day = F.to_date(F.timestamp_millis("event_time"))
+        days = trades.withColumn("day", day).join(manifest, ["symbol", "day"], "left_semi")
+        write_events_by_day(days.drop("day"), output)
+    return len(chosen)
 
 
 def available_days(manifest: DataFrame, listing: DataFrame) -> DataFrame:

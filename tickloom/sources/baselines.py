@@ -13,28 +13,36 @@ _ENVELOPE = T.StructType(
 )
 
 
-def _is_line_per_document(spark: SparkSession, path: str) -> bool:
-    """True if the first non-blank line is complete JSON by itself."""
-    first = spark.read.text(path).where(F.trim("value") != "").head(1)
-    if not first:
-        return True
-    text = first[0]["value"].strip()
-    return text[-1:] in "}]" and len(text) > 1
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    """Column ``value``: JSON documents, one per line where every line of a file is one, else one
+    per file.
+
+    Each file is judged by itself. The names of files that hold one document over several lines are
+    listed when this is called, like the files of any source.
+    """
+    lines = (
+        spark.read.text(path)
+        .select(F.trim("value").alias("value"), F.input_file_name().alias("file"))
+        .where("value != ''")
+    )
+    complete = F.col("value").rlike(r"^[{\[]") & F.try_parse_json("value").isNotNull()
+    spread = [r["file"] for r in lines.where(~complete).select("file").distinct().collect()]
+    documents = lines.where(~F.col("file").isin(spread) if spread else F.lit(True)).select("value")
+    if spread:
+        whole = spark.read.text(spread, wholetext=True)
+        documents = documents.unionByName(whole.select("value"))
+    return documents
 
 
 def read_baselines(spark: SparkSession, path: str) -> DataFrame:
     """Baselines from JSON Lines, an array, a single object or an envelope; file or folder.
 
-    All part files are read. Missing numbers count as zero, symbols are upper-cased, and of
-    several rows for one symbol the most recently updated stays.
+    All part files are read, whatever mixture of layouts they have; text that is no JSON fails.
+    Missing numbers count as zero, symbols are upper-cased, and of several rows for one symbol the
+    most recently updated stays.
     """
-    multi_line = "false" if _is_line_per_document(spark, path) else "true"
-    rows = (
-        spark.read.schema(_ENVELOPE)
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .json(path)
-    )
+    parsed = F.from_json("value", T.ArrayType(_ENVELOPE), {"mode": "FAILFAST"})
+    rows = _documents(spark, path).select(F.inline(parsed))
     single = F.struct(*[F.col(name) for name in schemas.BASELINE.fieldNames()])
     items = rows.select(
         F.inline(F.when(F.col("baselines").isNotNull(), F.col("baselines")).otherwise(F.array(single)))

@@ -15,14 +15,13 @@ def stream_windows(
     window: str = params.DEFAULT_WINDOW,
     lateness: str = params.DEFAULT_WINDOW,
     min_records: int = params.DEFAULT_MIN_RECORDS,
-    id_bound: int | None = None,
 ) -> DataFrame:
     """Tumbling windows of a cleaned event stream, with the columns of the batch windows.
 
     State is kept per (symbol, window), so a busy symbol spreads over the state partitions only as
     its windows do, but its rows are pre-aggregated before they get there.
     """
-    order = event_order(params.duration_ms(window), id_bound)
+    order = event_order(params.duration_ms(window))
     slot = F.window("event_timestamp", window).alias("slot")
     windows = (
         events.withWatermark("event_timestamp", lateness)

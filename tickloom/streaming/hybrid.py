@@ -72,11 +72,10 @@ class RecentBuckets:
         path: str,
         window: str = params.DEFAULT_WINDOW,
         bucket_ms: int = params.DEFAULT_BUCKET_MS,
-        id_bound: int | None = None,
         retention_seconds: int | None = None,
         clock_ms: Callable[[], int] = _now_ms,
     ) -> None:
-        self.length, self.bucket_ms, self.id_bound = params.duration_ms(window), bucket_ms, id_bound
+        self.length, self.bucket_ms = params.duration_ms(window), bucket_ms
         self.retention = _Retention(retention_seconds, clock_ms)
         self.buckets = BatchTable(spark, f"{path}/buckets", STORED_BUCKET)
         self.checkpoints = BatchTable(spark, f"{path}/checkpoints", CHECKPOINT)
@@ -90,7 +89,7 @@ class RecentBuckets:
             self.checkpoints.prune(batch_id)
         columns = schemas.SYMBOL_BUCKET.fieldNames()
         stored = self.retention.alive(self.buckets.before(batch_id))
-        arrived = bk.time_buckets(batch, self.bucket_ms, self.id_bound).persist()
+        arrived = bk.time_buckets(batch, self.bucket_ms).persist()
         cutoff = F.col("newest") - F.lit(self.length).cast("long")
         # Whole buckets from the cutoff's own on, whatever they hold yet: an event that arrives
         # late into that bucket must still find it, in any order of arrival.
