@@ -7,8 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom import params, schemas
 from tickloom.functions import events as fn
 
-# Event ids count rows, so they stay far below this; order keys built with it fail beyond it.
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tickloom.session import materialise
 
 # The sketch answers with a rank error of at most 1/ACCURACY of the group; the bracket leaves twice
-# that on either side. Groups up to SMALL_GROUP rows are bracketed by their extremes instead,
-# because there the rounding of a rank is not negligible against the error.
+# that on either side. The rounding of ranks, up to two of them, fits between the two from SMALL_GROUP
+# rows on; the few values of smaller groups are bracketed by their extremes.
 ACCURACY = 10_000
 MARGIN = 2.0 / ACCURACY
-SMALL_GROUP = 100_000
+SMALL_GROUP = 2 * ACCURACY
 
 
 def bracket_columns(value: str, quantiles: tuple[float, ...]) -> list[Column]:

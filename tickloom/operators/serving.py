@@ -79,6 +79,17 @@ def serving_lists(
     return ranked_lists(items)
 
 
+def snapshot(items: DataFrame, freshness_ms: int = params.DEFAULT_FRESHNESS_MS) -> DataFrame:
+    """Both lists in one frame with the newest window of the store, which a reader is told as well."""
+    trending, spikes = hybrid_lists(items, freshness_ms)
+    shown = ("symbol", "trend_score", "window_end")
+    lists = trending.select(
+        F.lit("trend").alias("list"), F.col("rank").alias("place"), *shown
+    ).unionByName(spikes.select(F.lit("spike").alias("list"), F.col("spike_rank").alias("place"), *shown))
+    newest = newest_window_end(items).scalar()
+    return lists.withColumn("latest_window", newest)
+
+
 def latest_stored(rows: DataFrame) -> DataFrame:
     """Rows of the newest window among the trend rows: its trends, then its spikes.
 

@@ -155,7 +155,9 @@ def trend_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spikes_latest(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(views.abnormal_price_spikes(hourly(spark, folder)))
+    """Brands' moves in their newest window, from a threshold low enough that there are some."""
+    spikes = views.abnormal_price_spikes(_brand_windows(spark, folder), spike_z=0.25)
+    return rounded(spikes, quote_volume_5m=2, last_price=PRICE)
 
 
 def spikes_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,8 +286,8 @@ SELECT {_RANK}, {_SHOWN_6}, {_TREND} FROM sc WHERE {_IS_LATEST}""",
     "brand_trend": f"""{_BRAND_WINDOWS}, {_LATEST}, {_ZSCORES}
 SELECT {_RANK}, {_SHOWN.format(places=2, price=PRICE)}, {_TREND} FROM sc WHERE {_IS_LATEST}""",
     "trend_history": f"""{SQL_WINDOWS}, {_ZSCORES} SELECT {_SHOWN_6}, {_TREND} FROM sc""",
-    "spikes_latest": f"""{SQL_WINDOWS}, {_LATEST}, {_ZSCORES}
-SELECT {_SHOWN_6}, round(rz, 6) AS spike_zscore FROM sc WHERE {_IS_LATEST} AND abs(rz) >= 3""",
+    "spikes_latest": f"""{_BRAND_WINDOWS}, {_LATEST}, {_ZSCORES}
+SELECT {_SHOWN.format(places=2, price=PRICE)}, round(rz, 6) AS spike_zscore FROM sc WHERE {_IS_LATEST} AND abs(rz) >= 0.25""",
     "spikes_history": f"""{SQL_WINDOWS}, {_ZSCORES}
 SELECT {_SHOWN_6}, round(rz, 6) AS spike_zscore FROM sc WHERE abs(rz) >= 3""",
     "latest_prices": f"WITH {SQL_RAW_EVENTS} {_prices_sql('m')}",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom import adapters, params
 from tickloom.operators import buckets as bk
-from tickloom.operators import serving
+from tickloom.operators import replay, serving
 from tickloom.operators.dedupe import dedupe_trades, distinct_symbols
 from tickloom.operators.latest import newest_times
 from tickloom.operators.ranking import top_spikes, top_trending
@@ -141,6 +141,23 @@ def brand_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sliding_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Sliding hours whose volumes span twelve orders of magnitude, to nine significant digits."""
+    wide = events(spark, folder).withColumn(
+        "quote_volume",
+        F.col("last_price") * 0.7310585786 * F.pow(F.lit(10.0), F.pmod("trade_id", F.lit(13)) - 4),
+    )
+    volume = F.col("quote_volume_5m")
+    power = F.floor(F.log10(volume))
+    return sliding_windows(wide, HOUR).select(
+        "symbol",
+        "event_time",
+        "trade_id",
+        power.cast("long").alias("power"),
+        F.round(volume / F.pow(F.lit(10.0), power), 8).alias("digits"),
+    )
+
+
 def sliding_latest(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(latest_sliding(user_events(spark, folder), "1 day", min_records=1))
 
@@ -167,17 +184,25 @@ def bucket_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bucket_state(spark: SparkSession, folder: str) -> DataFrame:
-    """State rows per user, as JSON text of their bucket list."""
-    trades = user_events(spark, folder)
+    """State rows per user, taken apart again: every bucket, with the checkpoints of its shards."""
+    shard = F.format_string("shard-%d", F.pmod(F.expr("event_time div 60000"), F.lit(4)))
+    trades = user_events(spark, folder).withColumns(
+        {"_shard_id": shard, "_sequence": (F.col("trade_id") + 1).cast("string")}
+    )
     buckets = materialise(bk.time_buckets(trades, BUCKET_MS), "buckets")
-    state = bk.bucket_state(bk.retain_recent(buckets, 86_400_000))
-    starts = F.transform("buckets", lambda bucket: bucket["bucket_start"].cast("string"))
-    return state.select(
-        "symbol",
-        F.size("buckets").cast("long").alias("bucket_count"),
-        F.concat_ws(",", starts).alias("bucket_starts"),
-        F.size("checkpoints").cast("long").alias("checkpoint_count"),
-        "newest_event_time",
+    state = bk.bucket_state(
+        bk.retain_recent(buckets, 86_400_000), replay.advance_checkpoints(trades)
+    )
+    entries = F.array_sort(
+        F.transform(F.map_entries("checkpoints"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    )
+    return rounded(
+        state.select(
+            "symbol",
+            F.array_join(entries, ",").alias("checkpoints"),
+            "newest_event_time",
+            F.inline("buckets"),
+        )
     )
 
 
@@ -190,8 +215,7 @@ def dedup_trades(spark: SparkSession, folder: str) -> DataFrame:
     sales = adapters.brand_events(spark, folder).withColumn(
         "trade_id", F.when(F.col("trade_count") > 1, F.col("trade_id"))
     )
-    unique = dedupe_trades(sales).select("symbol", "trade_id", "event_time", "last_price")
-    return rounded(unique, last_price=PRICE)
+    return rounded(dedupe_trades(sales), last_price=PRICE)
 
 
 def symbols(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,6 +232,11 @@ def serving_hybrid(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(trending)
 
 
+def serving_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Both served lists next to the newest window of the store."""
+    return rounded(serving.snapshot(_stored_scores(spark, folder), FRESHNESS_MS * 4))
+
+
 def serving_hybrid_spikes(spark: SparkSession, folder: str) -> DataFrame:
     _, spikes = serving.serving_lists(_stored_scores(spark, folder), FRESHNESS_MS * 4)
     return rounded(spikes)
@@ -252,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "serving_top_lists": serving_top_lists,
     "sliding_window": sliding_window,
     "brand_sliding_window": brand_sliding_window,
+    "sliding_wide": sliding_wide,
     "sliding_latest": sliding_latest,
     "time_buckets": time_buckets,
     "second_buckets": second_buckets,
@@ -262,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "dedup_trades": dedup_trades,
     "distinct_symbols": symbols,
     "serving_hybrid": serving_hybrid,
+    "serving_snapshot": serving_snapshot,
     "serving_hybrid_spikes": serving_hybrid_spikes,
     "serving_rows": serving_rows,
     "serving_legacy": serving_legacy,
@@ -355,7 +386,8 @@ FROM (
 _BRANDS = """m AS (
   SELECT upper(replace(p_brand, '#', '')) || 'USDT' AS symbol, epoch_us(l_shipdate) // 1000 AS event_time,
          l_extendedprice / l_quantity AS last_price, l_extendedprice AS quote_volume,
-         CAST(l_quantity AS BIGINT) AS trade_count, l_orderkey * 8 + l_linenumber AS trade_id
+         CAST(l_quantity AS BIGINT) AS trade_count, l_orderkey * 8 + l_linenumber AS trade_id,
+         epoch_us(l_shipdate) // 1000 + l_linenumber * 1000 AS ingest_time
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 # Per day first, since a window function with ordered aggregates over every row would be slow.
 _BRAND_SLIDING = f"""WITH {_BRANDS},
@@ -396,6 +428,12 @@ SELECT {SQL_SCORE_COLUMNS}, list, place
 FROM (SELECT * FROM tt UNION ALL SELECT * FROM ss) WHERE place <= 10""",
     "sliding_window": f"WITH {SQL_EVENTS} {_SLIDING}",
     "brand_sliding_window": _BRAND_SLIDING,
+    "sliding_wide": f"""WITH {SQL_EVENTS},
+v AS (SELECT symbol, event_time, trade_id, sum(last_price * 0.7310585786::DOUBLE * pow(10.0::DOUBLE, trade_id % 13 - 4)) OVER (
+        PARTITION BY symbol ORDER BY event_time RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW) AS volume
+      FROM m)
+SELECT symbol, event_time, trade_id, CAST(floor(log10(volume)) AS BIGINT) AS power,
+  round(volume / pow(10.0::DOUBLE, floor(log10(volume))), 8) AS digits FROM v""",
     "sliding_latest": f"""WITH {_USERS}, {_sql_recent("u", 86_400_000, 1)}
 SELECT symbol, round(start_price, 6) AS start_price, round(end_price, 6) AS end_price,
   round(quote_volume_5m, 6) AS quote_volume_5m, trade_count_5m, record_count, window_start,
@@ -408,23 +446,38 @@ SELECT {_BUCKET_COLUMNS} FROM k""",
 SELECT symbol, round(start_price, 6) AS start_price, round(end_price, 6) AS end_price,
   round(quote_volume_5m, 6) AS quote_volume_5m, trade_count_5m, bucket_count, window_start,
   window_end FROM r""",
-    "bucket_state": f"""WITH {_USERS}, {_sql_buckets("u", BUCKET_MS)}
-SELECT symbol, count(*) AS bucket_count,
-  string_agg(CAST(bucket_start AS VARCHAR), ',' ORDER BY bucket_start) AS bucket_starts,
-  CAST(0 AS BIGINT) AS checkpoint_count, max(last_event_time) AS newest_event_time
-FROM (SELECT k.*, max(last_event_time) OVER (PARTITION BY symbol) AS newest FROM k)
-WHERE last_event_time >= newest - 86400000 GROUP BY symbol""",
+    "bucket_state": f"""WITH {_USERS}, {_sql_buckets("u", BUCKET_MS)},
+c AS (SELECT symbol, 'shard-' || (event_time // 60000) % 4 AS shard, max(trade_id + 1) AS reached
+      FROM u GROUP BY ALL),
+cs AS (SELECT symbol, string_agg(shard || '=' || reached, ',' ORDER BY shard) AS checkpoints
+       FROM c GROUP BY symbol)
+SELECT {_BUCKET_COLUMNS.replace("symbol,", "r.symbol,", 1)}, checkpoints, newest AS newest_event_time
+FROM (SELECT k.*, max(last_event_time) OVER (PARTITION BY symbol) AS newest FROM k) r
+JOIN cs ON cs.symbol = r.symbol
+WHERE last_event_time >= newest - 86400000""",
     "newest_event_times": f"""WITH {_USERS}
 SELECT symbol, max(event_time) AS newest FROM u GROUP BY symbol""",
     "dedup_trades": f"""WITH {_BRANDS},
 i AS (SELECT * REPLACE (CASE WHEN trade_count > 1 THEN trade_id END AS trade_id) FROM m),
 x AS (
-  SELECT *, row_number() OVER (PARTITION BY symbol, trade_id
-                               ORDER BY event_time, last_price) AS copy FROM i)
-SELECT symbol, trade_id, event_time, round(last_price, {PRICE}) AS last_price
+  SELECT *, row_number() OVER (
+      PARTITION BY symbol, trade_id
+      ORDER BY event_time, last_price, quote_volume, trade_count, ingest_time) AS copy FROM i)
+SELECT CAST(2 AS BIGINT) AS schema_version, 'sale' AS event_type, symbol,
+  replace(symbol, 'USDT', '') AS base_asset, event_time, round(last_price, {PRICE}) AS last_price,
+  round(quote_volume, 6) AS quote_volume, trade_count, ingest_time, trade_id
 FROM x WHERE trade_id IS NULL OR copy = 1""",
     "distinct_symbols": f"WITH {_BRANDS} SELECT DISTINCT symbol FROM m",
     "serving_hybrid": f"{_SERVED} SELECT {SQL_SCORE_COLUMNS}, rank FROM ranked",
+    "serving_snapshot": f"""{_SERVED},
+both_lists AS (
+  SELECT *, 'trend' AS list, rank AS place FROM ranked
+  UNION ALL
+  SELECT *, 'spike' AS list, row_number() OVER (ORDER BY abs(ranked.spike_zscore) DESC, symbol) AS place
+  FROM ranked WHERE is_spike)
+SELECT list, place, symbol, round(trend_score, 6) AS trend_score, window_end,
+  (SELECT max(window_end) FROM s) AS latest_window
+FROM both_lists""",
     "serving_hybrid_spikes": f"""{_SERVED}
 SELECT {SQL_SCORE_COLUMNS}, rank,
   row_number() OVER (ORDER BY abs(ranked.spike_zscore) DESC, symbol) AS spike_rank

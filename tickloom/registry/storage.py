@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +30,9 @@ from tickloom.registry.shared import (
     rounded,
     user_events,
 )
-from tickloom.session import scratch_path
+from tickloom.session import materialise, scratch_path
 from tickloom.sinks import tables
+from tickloom.sources import archive
 from tickloom.sources.baselines import read_baselines
 from tickloom.sources import events as event_files
 
@@ -63,6 +65,46 @@ def load_baselines_envelope(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(read_baselines(spark, path))
 
 
+def load_baselines_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Baselines of users, some in JSON Lines parts and the others in one document, read together."""
+    path = scratch_path(spark, "baselines-mixed")
+    rows = _user_baselines(spark, folder)[1]
+    odd = F.pmod(F.xxhash64("symbol"), F.lit(2)) == 1
+    tables.write_baselines_json(rows.where(odd), f"{path}/lines")
+    tables.write_baseline_envelope(rows.where(~odd), f"{path}/document", UPDATED_AT)
+    return rounded(read_baselines(spark, f"{path}/*"))
+
+
+def backfill_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of a CSV archive filled in two runs that overlap; the second leaves the first's alone."""
+    path = scratch_path(spark, "archive")
+    trades = events(spark, folder)
+    day = F.to_date(F.timestamp_millis("event_time"))
+    (
+        trades.select(
+            F.col("trade_id").alias("aggregate_id"),
+            F.col("last_price").alias("price"),
+            (F.col("quote_volume") / F.col("last_price")).alias("quantity"),
+            F.lit(1).alias("first_trade_id"),
+            F.lit(1).alias("last_trade_id"),
+            F.col("event_time").alias("time"),
+            F.lit("True").alias("maker"),
+            F.lit("True").alias("best"),
+            day.alias("day"),
+            F.col("symbol").alias("symbol"),
+        )
+        .write.partitionBy("day", "symbol")
+        .csv(f"{path}/csv")
+    )
+    symbols = trades.select("symbol").distinct()
+    for last in (date(2024, 1, 4), date(2024, 1, 20)):
+        there = archive.existing_outputs(spark, f"{path}/events")
+        manifest = archive.backfill_manifest(symbols, date(2024, 1, 2), last, there)
+        archive.backfill(spark, f"{path}/csv", f"{path}/events", materialise(manifest, "manifest"))
+    filled = clean_events(event_files.read_events(spark, f"{path}/events"))
+    return rounded(filled.select("symbol", "event_time", "last_price", "quote_volume", "trade_id"))
+
+
 def archive_by_day(spark: SparkSession, folder: str) -> DataFrame:
     """Backfill files per symbol and day, scanned recursively."""
     path = scratch_path(spark, "events-by-day")
@@ -99,6 +141,17 @@ def full_history_batch(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(read_baselines(spark, f"{out}/baselines-json"))
 
 
+def batch_deduped(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch job over an archive that holds a third of its trades twice."""
+    out = scratch_path(spark, "published")
+    trades = adapters.market_events(spark, folder)
+    twice = trades.unionByName(trades.where(F.pmod("trade_id", F.lit(3)) == 0))
+    run_batch(
+        spark, _json_archive(spark, twice), f"{out}/baselines", UPDATED_AT, window=HOUR, dedupe=True
+    )
+    return rounded(spark.read.parquet(f"{out}/baselines").select(*schemas.BASELINE.fieldNames()))
+
+
 def catalog_market_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The summary view in SQL over a catalog table on the JSON archive."""
     name = f"raw_market_events_{uuid.uuid4().hex}"
@@ -163,6 +216,9 @@ QUERIES: dict[str, Query] = {
     "sink_baselines": sink_baselines,
     "load_baselines": load_baselines,
     "load_baselines_envelope": load_baselines_envelope,
+    "load_baselines_mixed": load_baselines_mixed,
+    "backfill_incremental": backfill_incremental,
+    "batch_deduped": batch_deduped,
     "archive_by_day": archive_by_day,
     "scan_strict": scan_strict,
     "full_history_batch": full_history_batch,
@@ -181,6 +237,12 @@ ORACLES: dict[str, str] = {
     "sink_baselines": HISTORY_SQL["baselines"],
     "load_baselines": HISTORY_SQL["user_baselines"],
     "load_baselines_envelope": HISTORY_SQL["user_baselines"],
+    "load_baselines_mixed": HISTORY_SQL["user_baselines"],
+    "backfill_incremental": f"""WITH {SQL_EVENTS}
+SELECT symbol, event_time, round(last_price, 6) AS last_price, round(quote_volume, 6) AS quote_volume,
+  trade_id
+FROM m WHERE make_timestamp(event_time * 1000)::DATE BETWEEN DATE '2024-01-02' AND DATE '2024-01-20'""",
+    "batch_deduped": f"{SQL_HISTORY} SELECT {SQL_BASELINE_COLUMNS} FROM b",
     "archive_by_day": f"WITH {SQL_EVENTS} SELECT {_EVENT_COLUMNS} FROM m",
     "scan_strict": f"WITH {SQL_EVENTS} SELECT {_EVENT_COLUMNS} FROM m",
     "full_history_batch": f"{SQL_HISTORY} SELECT {SQL_BASELINE_COLUMNS} FROM b",

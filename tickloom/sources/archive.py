@@ -15,6 +15,7 @@ from tickloom.sinks.tables import write_events_by_day
 # Layout of archive paths and the tag of their events.
 FILE_SYMBOL = r"/(?:symbol=)?([^/=]+)/[^/]+$"
 FILE_DAY = r"([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*$"
+FOLDER_DAY = r"/day=([0-9]{4}-[0-9]{2}-[0-9]{2})/"
 OUTPUT_FOLDER = r"/symbol=([^/]+)/date=([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+$"
 ARCHIVE_SOURCE = "binance-vision-historical"
 
@@ -97,11 +98,15 @@ def existing_outputs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, symbol, day) of archive files; ``day`` is null where the name tells none."""
+    """(path, symbol, day) of archive files.
+
+    The day is told by a folder ``day=`` or else by the file's name, and null where neither does.
+    """
+    told = [F.nullif(F.regexp_extract("path", shape, 1), F.lit("")) for shape in (FOLDER_DAY, FILE_DAY)]
     return _files(spark, path).select(
         "path",
         F.upper(F.regexp_extract("path", FILE_SYMBOL, 1)).alias("symbol"),
-        F.to_date(F.nullif(F.regexp_extract("path", FILE_DAY, 1), F.lit(""))).alias("day"),
+        F.to_date(F.coalesce(*told)).alias("day"),
     )
 
 
