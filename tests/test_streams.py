@@ -7,7 +7,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from samples import as_dicts, baseline, event, frame, minute_rows, random_rows
+from samples import START, as_dicts, baseline, event, frame, minute_rows, random_rows
 
 from tickloom import schemas
 from tickloom.operators import buckets as bk
@@ -151,15 +151,15 @@ def sharded(spark, rows):
 
 
 def test_redelivered_records_count_once(spark, tmp_path):
-    row = event("BTCUSDT", 1000, 100.0, 600.0, 1, None, 100)
+    row = event("ABCUSDT", 7000, 20.0, 350.0, 1, None, 61)
     state = RecentBuckets(spark, str(tmp_path / "s"))
     state.update(sharded(spark, [row, row]), 0)
     state.update(sharded(spark, [row]), 1)
     (found,) = as_dicts(state.state())
     assert len(found["buckets"]) == 1
-    assert found["buckets"][0]["quote_volume"] == 600.0
-    assert list(found["checkpoints"].values()) == ["100"]
-    assert found["newest_event_time"] == 1000
+    assert found["buckets"][0]["quote_volume"] == 350.0
+    assert list(found["checkpoints"].values()) == ["61"]
+    assert found["newest_event_time"] == 7000
 
 
 def test_late_events_of_a_slow_symbol_are_not_lost(spark, tmp_path):
@@ -194,12 +194,12 @@ def test_expired_rows_leave_the_hybrid_view(spark, tmp_path):
     view = HybridView(
         spark, path, RecentRecords(spark, path), Refreshing(lambda: stats), clock_ms=lambda: now[0]
     )
-    for batch_id, (symbol, second) in enumerate([("BTCUSDT", 0), ("BUSDT", 899), ("BUSDT", 900)]):
+    for batch_id, (symbol, second) in enumerate([("ABCUSDT", 0), ("BUSDT", 899), ("BUSDT", 900)]):
         now[0] = second * 1000
         rows = [event(symbol, i, 1.0, 10_000.0, 1, None, batch_id * 10 + i) for i in range(2)]
         view(frame(spark, rows), batch_id)
         served = {r["symbol"] for r in view.latest.current().collect()}
-        assert served == ({"BTCUSDT"}, {"BTCUSDT", "BUSDT"}, {"BUSDT"})[batch_id]
+        assert served == ({"ABCUSDT"}, {"ABCUSDT", "BUSDT"}, {"BUSDT"})[batch_id]
 
 
 def test_hybrid_view_end_to_end(spark, tmp_path):
@@ -207,17 +207,17 @@ def test_hybrid_view_end_to_end(spark, tmp_path):
     stats = baseline(spark, std_return_5m=0.5).unionByName(baseline(spark, symbol="OTHERUSDT"))
     path = str(tmp_path / "view")
     view = HybridView(
-        spark, path, RecentBuckets(spark, path), Refreshing(lambda: stats), clock_ms=lambda: 1_782_864_600_000
+        spark, path, RecentBuckets(spark, path), Refreshing(lambda: stats), clock_ms=lambda: START + 600_000
     )
     query = start(arriving(spark, tmp_path / "in", [rows[:4] + rows[10:], rows[4:10]]), view, str(tmp_path / "cp"))
     query.awaitTermination()
     (row,) = as_dicts(view.latest.current())
     # Only the symbol with a baseline is served; its closed five minutes hold six buckets.
-    assert row["symbol"] == "BTCUSDT"
+    assert row["symbol"] == "ABCUSDT"
     assert row["quote_volume_5m"] == sum(r[6] for r in rows[4:10])
-    assert row["return_5m_pct"] == pytest.approx((102300 / 101000 - 1) * 100)
+    assert row["return_5m_pct"] == pytest.approx((rows[9][5] / rows[4][5] - 1) * 100)
     assert row["latency_ms"] == 60_000
-    assert row["expires_at"] == 1_782_864_600 + 900
+    assert row["expires_at"] == START // 1000 + 600 + 900
 
 
 def test_symbol_is_served_once_its_baseline_arrives(spark, tmp_path):
@@ -228,7 +228,7 @@ def test_symbol_is_served_once_its_baseline_arrives(spark, tmp_path):
         spark, path, RecentRecords(spark, path),
         Refreshing(lambda: known["rows"], 300, lambda: clock[0]), clock_ms=lambda: 0,
     )
-    rows = [event("BTCUSDT", i * 1000, 100.0, 10_000.0, 1, None, i) for i in range(3)]
+    rows = [event("ABCUSDT", i * 1000, 100.0, 10_000.0, 1, None, i) for i in range(3)]
     view(frame(spark, rows[:2]), 0)
     assert view.latest.current().count() == 0
     known["rows"] = baseline(spark)
@@ -255,7 +255,7 @@ def test_archive_and_json_lines(spark, tmp_path):
     folder = write_files(tmp_path / "in", [rows])
     stream = read_event_stream(spark, folder)
     sinks.archive_events(stream, str(tmp_path / "a"), str(tmp_path / "ca"), every=None).awaitTermination()
-    parts = list((tmp_path / "a" / "date=2026-07-01" / "hour=00" / "symbol=BTCUSDT").glob("*.gz"))
+    parts = list((tmp_path / "a" / "date=2027-01-01" / "hour=00" / "symbol=ABCUSDT").glob("*.gz"))
     assert 1 <= len(parts) <= 4
     assert lines(read_events(spark, str(tmp_path / "a"))) == lines(frame(spark, rows))
     sinks.append_json_lines(stream, str(tmp_path / "j"), str(tmp_path / "cj")).awaitTermination()
