@@ -25,6 +25,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ ROUNDS = 2
 POPULATION = 4
 GENERATIONS = 24
 SEED = 29
-WORD_CACHE = 600_000
+WORD_CACHE = 300_000
 DOCUMENTS_AT_ONCE = 1000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -51,76 +52,115 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes, word by word through a bounded cache.
 
-    White space always separates tokens, so the ids of a text are those of its words. New words
-    made of letters only are encoded together, and told apart by the mark that ends each word.
+    White space always separates tokens, so the ids of a text are those of its words; and where a
+    word is made of runs of letters, of digits and of ASCII signs, those of its runs. New runs of
+    letters are encoded together, and told apart by the mark that ends each of them.
     """
 
     def __init__(self, path: str, words: int = WORD_CACHE):
+        """Two generations of about ``words`` words are known at a time."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # composed small letters need no normalising and are one run
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        probe = "a the internationalisation zzyzx élan größe \u6f22\u5b57"
+        if self._ids(self.letters, [probe]) != self._ids(self.tokenizer, [probe]):
+            self.letters = self.tokenizer
         self.words = words
         self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+        encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", one.ids).tobytes() for one in encoded]
 
     def _learn(self, new: set[str]) -> None:
-        plain: dict[str, None] = {}
-        tailed, others = [], []
+        known, composed, plain, others = self.known, {}, set(), set()
         for word in new:
-            core, last = word[:-1], word[-1:]
-            if self._one_token_run(word):
-                plain[word] = None
-            elif last in ".," and self._one_token_run(core):
-                tailed.append(word)
-                if core not in self.known:
-                    plain[core] = None
+            if _is_run(word):
+                plain.add(word)
+                continue
+            # most others are letters before a comma or a full stop
+            simple = word[-1] in ".," and _is_run(word[:-1])
+            runs = (word[:-1], word[-1]) if simple else _runs(word)
+            if runs is None:
+                others.add(word)
             else:
-                others.append(word)
-        if any(word[-1] not in self.known for word in tailed):
-            others += [".", ","]
-        self._learn_plain(list(plain))
-        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-        for word, one in zip(others, encoded):
-            self.known[word] = array("I", one.ids).tobytes()
-        for word in tailed:
-            self.known[word] = self.known[word[:-1]] + self.known[word[-1]]
-
-    @staticmethod
-    def _one_token_run(word: str) -> bool:
-        """Letters only, also in lower case: one run of letters to the tokenizer."""
-        return word.isalpha() and (word.isascii() or word.lower().isalpha())
-
-    def _learn_plain(self, words: list[str]) -> None:
-        for start in range(0, len(words), 8192):
-            part = words[start : start + 8192]
-            ids = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
-            numbers = np.array(ids, dtype="<u4")
-            stops = np.flatnonzero(self.ends[numbers]) + 1
+                composed[word] = runs
+                for run in runs:
+                    if run not in known:
+                        (plain if run.isalpha() else others).add(run)
+        small = [w for w in plain if w.isascii() or w == w.lower() and is_normalized("NFC", w)]
+        self._learn_together(self.letters, small, [word.lower() for word in small])
+        rest = list(plain.difference(small))
+        self._learn_together(self.tokenizer, rest, rest)
+        single = list(others)
+        known.update(zip(single, self._ids(self.tokenizer, single)))
+        for word, runs in composed.items():
+            known[word] = b"".join([known[run] for run in runs])
+
+    def _learn_together(self, tokenizer, words: list[str], texts: list[str]) -> None:
+        for start in range(0, len(words), 2048):
+            part = words[start : start + 2048]
+            data = self._ids(tokenizer, [" ".join(texts[start : start + 2048])])[0]
+            stops = np.flatnonzero(self.ends[np.frombuffer(data, dtype="<u4")]) + 1
             if len(stops) == len(part):
-                data, at = numbers.tobytes(), 0
+                at = 0
                 for word, stop in zip(part, (stops * 4).tolist()):
                     self.known[word] = data[at:stop]
                     at = stop
             else:  # a vocabulary without the mark
-                for word, one in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    self.known[word] = array("I", one.ids).tobytes()
+                self.known.update(zip(part, self._ids(self.tokenizer, part)))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for start in range(0, len(texts), DOCUMENTS_AT_ONCE):
             split = [_words(text) for text in texts[start : start + DOCUMENTS_AT_ONCE]]
-            new = set().union(*split) - self.known.keys()
-            if len(self.known) + len(new) > self.words:
-                self.known = {"": b""}
-                new = set().union(*split)
-            self._learn(new - {""})
+            used = set().union(*split)
+            if len(self.known) > self.words:
+                # the generation before is forgotten, this one only as far as it is not used again
+                self.known, self.old = {"": b""}, self.known
+            new = used - self.known.keys()
+            back = new & self.old.keys()
+            self.known.update((word, self.old[word]) for word in back)
+            self._learn(new - back)
             one = self.known.__getitem__
             for words in split:
                 yield b"".join(map(one, words))
 
 
+_RUN = re.compile(r"[^\W\d_]+|[0-9]|[!-/:-@\[-`{-~]+")
+
+
+def _runs(word: str) -> list[str] | None:
+    """Runs of letters, single digits and runs of ASCII signs, or None where the tokenizer may see
+    other borders: apostrophes, marks of special tokens, other signs, letters that lose one in lower
+    case."""
+    if "'" in word or "<|" in word:
+        return None
+    runs = _RUN.findall(word)
+    if sum(map(len, runs)) != len(word):
+        return None
+    return runs if all(run.isascii() or _is_run(run) for run in runs) else None
+
+
+def _is_run(word: str) -> bool:
+    """Letters only, also in lower case: one run to the tokenizer."""
+    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+
+
 def _words(text: str) -> list[str]:
     if text.isascii() and "<|" not in text:
         text = text.lower()
@@ -271,14 +311,15 @@ class Island:
         self, solutions: list[list[list[int]]], generations: int
     ) -> list[list[list[int]]]:
         """Solutions after some generations, the best first."""
-        ranked = sorted(solutions, key=self.fitness, reverse=True)
+        fit = lambda rated: -rated[0]
+        ranked = sorted([(self.fitness(s), s) for s in solutions], key=fit)
         for _ in range(generations):
-            if len(ranked[0]) <= self.least or len(ranked) < 2:
+            if len(ranked[0][1]) <= self.least or len(ranked) < 2:
                 break
-            a, b = self.random.choice(len(ranked), 2, replace=False).tolist()
-            child = self.cross(ranked[min(a, b)], ranked[max(a, b)])
-            ranked = sorted([*ranked, child], key=self.fitness, reverse=True)[: len(ranked)]
-        return ranked
+            a, b = sorted(self.random.choice(len(ranked), 2, replace=False).tolist())
+            child = self.cross(ranked[a][1], ranked[b][1])
+            ranked = sorted([*ranked, (self.fitness(child), child)], key=fit)[: len(ranked)]
+        return [solution for _, solution in ranked]
 
 
 def _to_bytes(solution: list[list[int]], n: int) -> bytes:
