@@ -10,7 +10,7 @@ from test_streams import write_files
 
 from tickloom.jobs import backfill, batch, results, speed
 from tickloom.sources.events import read_events
-from tickloom.streaming.serving import STORED_ROW
+from tickloom.streaming.serving import DOCUMENT, STORED_ROW
 from tickloom.streaming.tables import BatchTable
 
 
@@ -24,8 +24,8 @@ def test_batch_then_speed(spark, tmp_path, state):
     assert speed.main(
         [folder, f"{out}/baselines-json", f"{out}/s", '{"min_liquidity": 0, "top_n": 1}', "--drain", *options]
     ) == 0
-    (part,) = (out / "s" / "serving" / "document").glob("part-*")
-    document = json.loads(part.read_text())
+    published = BatchTable(spark, f"{out}/s/serving/document", DOCUMENT).current()
+    document = json.loads(published.first()["value"])
     assert len(document["trending"]) == 1 and document["spikes"] == []
     stored = as_dicts(BatchTable(spark, f"{out}/s/serving/rows", STORED_ROW).current())
     assert [r["result_key"] for r in stored] == [f"trend#{document['trending'][0]['symbol']}"]

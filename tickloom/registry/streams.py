@@ -18,6 +18,7 @@ from tickloom.registry.recent import (
     _BUCKET_COLUMNS,
     _BUCKET_ROLLUP,
     _sql_buckets,
+    _sql_recent,
     _USER_HISTORY,
     _USERS,
     _user_baselines,
@@ -26,9 +27,11 @@ from tickloom.registry.shared import (
     HOUR,
     SQL_EVENTS,
     SQL_SCORE_COLUMNS,
+    SQL_WINDOW_COLUMNS,
     events,
     rounded,
     sql_scores,
+    sql_windows,
     user_events,
 )
 from tickloom.session import materialise, scratch_path
@@ -37,11 +40,13 @@ from tickloom.sources.messages import decode_records
 from tickloom.streaming import sinks
 from tickloom.streaming.aggregates import stream_dedupe, stream_windows
 from tickloom.streaming.hybrid import HybridView, RecentBuckets, RecentRecords, Refreshing, start
+from tickloom.streaming.serving import ServingRefresh
 from tickloom.streaming.tables import read_changes, write_changes
 
 FILES = 4
 # The test files arrive in any order over a month, so nothing may count as late.
 NEVER_LATE = "90 days"
+LATENESS = "7 days"
 USER_BUCKET_MS = USER_SETTINGS.bucket_ms
 OBSERVED_AT = 1_800_000_000_000
 # Every symbol with a baseline is scored in its last batch, whatever earlier batches held.
@@ -84,6 +89,86 @@ def windows_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(read_changes(spark, path, ["symbol", "window_start"]))
 
 
+def late_rows_of_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth trade arrives after all others: windows closed by then do without it."""
+    trades = events(spark, folder)
+    part = F.pmod("trade_id", F.lit(10))
+    path = scratch_path(spark, "arriving")
+    # Files are read one by one in the order they were written; a micro-batch drops what was late
+    # before the one that precedes it.
+    for rows in (part > 1, part == 1, part == 0):
+        trades.where(rows).coalesce(1).write.mode("append").json(path)
+    arriving = clean_events(read_event_stream(spark, path, max_files_per_trigger=1))
+    changes = scratch_path(spark, "changes")
+    _finish(
+        stream_windows(arriving, HOUR, LATENESS)
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda changed, batch_id: write_changes(changed, batch_id, changes))
+        .option("checkpointLocation", scratch_path(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    return rounded(read_changes(spark, changes, ["symbol", "window_start"]))
+
+
+def expiry_of_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Users of the first half of the trades, of the second one and of both; what the first left
+    has expired when the third micro-batch comes, unless the second touched it."""
+    trades = user_events(spark, folder)
+    now = [0]
+    state = RecentBuckets(
+        spark,
+        scratch_path(spark, "state"),
+        USER_SETTINGS.window,
+        USER_BUCKET_MS,
+        retention_seconds=900,
+        clock_ms=lambda: now[0],
+    )
+    part = F.pmod("trade_id", F.lit(3))
+    for batch_id, second in enumerate((0, 600, 1_200)):
+        now[0] = second * 1000
+        state.update(trades.where(part == batch_id), batch_id)
+    return state.buckets.current().groupBy("symbol").agg(F.max("last_event_time").alias("newest"))
+
+
+def _view_of(spark: SparkSession, baselines: Refreshing) -> HybridView:
+    path = scratch_path(spark, "view")
+    state = RecentRecords(spark, path, STREAM_SETTINGS.window)
+    return HybridView(spark, path, state, baselines, STREAM_SETTINGS, clock_ms=lambda: OBSERVED_AT)
+
+
+def baseline_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Users get their baselines while the stream runs; the ones known at first are fewer."""
+    trades, rows = _user_baselines(spark, folder)
+    stats = materialise(rows, "baselines")
+    known, clock = [stats.where(F.pmod(F.length("symbol"), F.lit(2)) == 0)], [0.0]
+    view = _view_of(spark, Refreshing(lambda: known[0], 300, lambda: clock[0]))
+    trades = trades.persist()
+    view(trades, 0)
+    known[0] = stats
+    clock[0] = 299.0
+    view(trades, 1)
+    early = materialise(view.latest.current().select("symbol", F.lit(1).alias("early")), "early")
+    clock[0] = 300.0
+    view(trades, 2)
+    trades.unpersist()
+    served = view.latest.current().join(early, "symbol", "left")
+    return rounded(served.withColumn("early", F.col("early").isNotNull()))
+
+
+def serving_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The trending list that a stream publishes as its document, read back."""
+    trades, rows = _user_baselines(spark, folder)
+    stats = materialise(rows, "baselines")
+    path = scratch_path(spark, "serving")
+    refresh = ServingRefresh(spark, path, _view_of(spark, Refreshing(lambda: stats)))
+    _finish(start(_stream(spark, trades), refresh, scratch_path(spark, "checkpoint")))
+    lists = T.StructType([T.StructField("trending", T.ArrayType(schemas.SCORE))])
+    document = refresh.document().select(F.from_json("value", lists).alias("d"))
+    listed = document.select(F.posexplode("d.trending").alias("at", "row"))
+    return rounded(listed.select((F.col("at") + 1).cast("long").alias("place"), "row.*"))
+
+
 def dedup_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Dear trades arrive twice, views have no id: copies go, rows without id all stay."""
     trades = events(spark, folder).withColumn(
@@ -211,6 +296,10 @@ def json_lines_of_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "stream_windows": windows_of_stream,
+    "stream_late": late_rows_of_stream,
+    "stream_expiry": expiry_of_state,
+    "baseline_refresh": baseline_refresh,
+    "serving_refresh": serving_refresh,
     "stream_dedup": dedup_of_stream,
     "stream_sliding": sliding_of_stream,
     "stream_buckets": buckets_of_stream,
@@ -229,6 +318,28 @@ WHERE last_event_time >= newest - 86400000"""
 
 ORACLES: dict[str, str] = {
     "stream_windows": HISTORY_SQL["event_windows"],
+    "stream_late": f"""WITH {SQL_EVENTS.replace("m AS (", "e AS (", 1)},
+m AS (SELECT * FROM e WHERE trade_id % 10 <> 0
+      OR event_time - event_time % 3600000 + 3600000
+         > (SELECT max(event_time) FROM e WHERE trade_id % 10 > 1) - 604800000),
+{sql_windows()}
+SELECT {SQL_WINDOW_COLUMNS} FROM w""",
+    "stream_expiry": f"""WITH {_USERS},
+t AS (SELECT symbol, max(event_time) FILTER (trade_id % 3 = 0) AS a,
+        max(event_time) FILTER (trade_id % 3 = 1) AS b, max(event_time) FILTER (trade_id % 3 = 2) AS c
+      FROM u GROUP BY symbol)
+SELECT symbol, greatest(CASE WHEN b IS NOT NULL THEN a END, b, c) AS newest
+FROM t WHERE b IS NOT NULL OR c IS NOT NULL""",
+    "baseline_refresh": f"""{_USER_HISTORY}, {_sql_recent("u", 86_400_000, 1)},
+{sql_scores("r", str(OBSERVED_AT), min_liquidity=0.0)}
+SELECT {SQL_SCORE_COLUMNS},
+  CAST({OBSERVED_AT // 1000 + STREAM_SETTINGS.state_retention_seconds} AS BIGINT) AS expires_at,
+  length(symbol) % 2 = 0 AS early
+FROM s""",
+    "serving_refresh": f"""{_USER_HISTORY}, {_sql_recent("u", 86_400_000, 1)},
+{sql_scores("r", str(OBSERVED_AT), min_liquidity=0.0)}
+SELECT {SQL_SCORE_COLUMNS}, row_number() OVER (ORDER BY s.trend_score DESC, symbol) AS place
+FROM s QUALIFY place <= 10""",
     "stream_dedup": f"""WITH {SQL_EVENTS}
 SELECT symbol, event_time, round(last_price, 6) AS last_price,
   CASE WHEN base_asset <> 'VIEW' THEN trade_id END AS trade_id

@@ -23,6 +23,9 @@ STORED_ROW = T.StructType(
 )
 
 
+DOCUMENT = T.StructType([T.StructField("value", T.StringType())])
+
+
 class ServingRefresh:
     """Micro-batch step: update the hybrid view, then publish its top lists.
 
@@ -39,14 +42,20 @@ class ServingRefresh:
         retention_seconds: int = params.DEFAULT_SERVING_RETENTION_SECONDS,
     ) -> None:
         self.view, self.top_n, self.retention_seconds = view, top_n, retention_seconds
-        self.document_path = f"{path}/document"
+        self.documents = BatchTable(spark, f"{path}/document", DOCUMENT)
         self.rows = BatchTable(spark, f"{path}/rows", STORED_ROW)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.view(batch, batch_id)
         scores = self.view.latest.current().select(*schemas.SCORE_COLUMNS)
         trending, spikes = serving_views(scores, self.top_n)
-        snapshot_document(trending, spikes).write.mode("overwrite").text(self.document_path)
+        # a folder per batch: readers keep the last whole document until the next one is written
+        self.documents.write(snapshot_document(trending, spikes), batch_id)
+        self.documents.prune(batch_id)
         now = self.view.clock_ms() // 1000
         stored = serving_rows(trending, spikes, now + self.retention_seconds)
         upsert_by_symbol(self.rows, stored, batch_id, "result_key", now)
+
+    def document(self) -> DataFrame:
+        """The newest published document, one row with its JSON text."""
+        return self.documents.current()
