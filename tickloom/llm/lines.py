@@ -48,11 +48,13 @@ def shared_lines(docs: DataFrame, min_chars: int, min_documents: int) -> DataFra
         ),
         "lines",
     )
-    shared = (
+    # written, so that both sides of the join are plain exchanges and a hot line's can be split
+    shared = materialise(
         hashed.groupBy("k1", "k2")
         .agg(F.min("id").alias("first"), F.count_distinct("id").alias("documents"))
         .where(F.col("documents") >= min_documents)
-        .select("k1", "k2", "first")
+        .select("k1", "k2", "first"),
+        "shared",
     )
     return (
         hashed.join(shared, ["k1", "k2"])
