@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 import math
 import random
@@ -346,6 +347,20 @@ def test_partitioned_catalog_table_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(symbol" in df._jdf.queryExecution().toString()
 
 
+def test_event_table_prunes_and_replaces_days(spark, tmp_path):
+    path, day = str(tmp_path / "t"), 86_400_000
+    rows = [event(s, START + d * day + i, 5.0, trade_id=i) for s in ("A", "B") for d in range(3) for i in range(2)]
+    tables.write_event_table(frame(spark, rows), path)
+    tables.write_event_table(frame(spark, [event("A", START + day, 7.0, trade_id=9)]), path)
+    first = datetime.date(2027, 1, 1)
+    chosen = event_files.read_event_table(spark, path, since=first + datetime.timedelta(1), symbols=["A"])
+    assert sorted((r["last_price"], r["trade_id"]) for r in chosen.collect()) == [(5.0, 0), (5.0, 1), (7.0, 9)]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: ["):]
+    assert "date" in filters.split("]")[0] and "symbol" in filters.split("]")[0]
+    assert event_files.read_event_table(spark, path).count() == 11
+
+
 def test_durations():
     assert params.duration_ms("5 minutes") == 300_000
     assert params.duration_ms("1 Day") == 86_400_000

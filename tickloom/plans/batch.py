@@ -13,7 +13,7 @@ from tickloom.operators.dedupe import dedupe_trades
 from tickloom.operators.windows import event_windows
 from tickloom.session import materialise
 from tickloom.sinks import tables
-from tickloom.sources.events import read_events
+from tickloom.sources.events import read_event_table, read_events
 
 
 @dataclass(frozen=True)
@@ -57,10 +57,11 @@ def run_batch(
     min_records: int = params.DEFAULT_MIN_RECORDS,
     median: str = "exact",
     dedupe: bool = False,
+    event_table: bool = False,
 ) -> None:
-    """Read a JSON Lines archive and publish its batch views."""
+    """Publish the batch views of a JSON Lines archive, or of a Parquet table of events."""
     views = batch_views(
-        read_events(spark, input_path),
+        read_event_table(spark, input_path) if event_table else read_events(spark, input_path),
         updated_at,
         window,
         min_records,

@@ -152,6 +152,50 @@ def batch_deduped(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{out}/baselines").select(*schemas.BASELINE.fieldNames()))
 
 
+def _event_table(spark: SparkSession, folder: str) -> str:
+    """The trades as a table by date and symbol, by way of the raw archive, a day at a time anew."""
+    path = scratch_path(spark, "event-table")
+    raw = f"{path}/raw"
+    trades = events(spark, folder)
+    day = F.to_date(F.timestamp_millis("event_time"))
+    columns = [*schemas.EVENT_COLUMNS, day.alias("date"), F.lit("00").alias("hour")]
+    trades.select(*columns).write.partitionBy("date", "hour", "symbol").json(raw)
+    middle = date(2024, 1, 15)
+    for part in (
+        event_files.read_archived_events(spark, raw, until=middle),
+        event_files.read_archived_events(spark, raw, since=middle),
+    ):
+        tables.write_event_table(part, f"{path}/table")
+    return f"{path}/table"
+
+
+def event_table_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch job over a Parquet table of events."""
+    out = scratch_path(spark, "published")
+    source = _event_table(spark, folder)
+    run_batch(spark, source, f"{out}/baselines", UPDATED_AT, window=HOUR, event_table=True)
+    return rounded(spark.read.parquet(f"{out}/baselines").select(*schemas.BASELINE.fieldNames()))
+
+
+def event_table_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of two symbols over ten days; only their folders are opened."""
+    rows = event_files.read_event_table(
+        spark,
+        _event_table(spark, folder),
+        date(2024, 1, 10),
+        date(2024, 1, 19),
+        ["CLICKUSDT", "VIEWUSDT"],
+    )
+    return rounded(
+        rows.groupBy("symbol").agg(
+            F.count("*").alias("trades"),
+            F.sum("quote_volume").alias("volume"),
+            F.min("event_time").alias("first_time"),
+            F.max("trade_id").alias("newest_id"),
+        )
+    )
+
+
 def catalog_market_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The summary view in SQL over a catalog table on the JSON archive."""
     name = f"raw_market_events_{uuid.uuid4().hex}"
@@ -219,6 +263,8 @@ QUERIES: dict[str, Query] = {
     "load_baselines_mixed": load_baselines_mixed,
     "backfill_incremental": backfill_incremental,
     "batch_deduped": batch_deduped,
+    "event_table_batch": event_table_batch,
+    "event_table_days": event_table_days,
     "archive_by_day": archive_by_day,
     "scan_strict": scan_strict,
     "full_history_batch": full_history_batch,
@@ -242,6 +288,13 @@ ORACLES: dict[str, str] = {
 SELECT symbol, event_time, round(last_price, 6) AS last_price, round(quote_volume, 6) AS quote_volume,
   trade_id
 FROM m WHERE make_timestamp(event_time * 1000)::DATE BETWEEN DATE '2024-01-02' AND DATE '2024-01-20'""",
+    "event_table_batch": f"{SQL_HISTORY} SELECT {SQL_BASELINE_COLUMNS} FROM b",
+    "event_table_days": f"""WITH {SQL_EVENTS}
+SELECT symbol, count(*) AS trades, round(sum(quote_volume), 6) AS volume,
+  min(event_time) AS first_time, max(trade_id) AS newest_id
+FROM m WHERE symbol IN ('CLICKUSDT', 'VIEWUSDT')
+  AND make_timestamp(event_time * 1000)::DATE BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'
+GROUP BY symbol""",
     "batch_deduped": f"{SQL_HISTORY} SELECT {SQL_BASELINE_COLUMNS} FROM b",
     "archive_by_day": f"WITH {SQL_EVENTS} SELECT {_EVENT_COLUMNS} FROM m",
     "scan_strict": f"WITH {SQL_EVENTS} SELECT {_EVENT_COLUMNS} FROM m",

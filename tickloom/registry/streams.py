@@ -69,8 +69,13 @@ def _stream(spark: SparkSession, trades: DataFrame) -> DataFrame:
     return read_event_stream(spark, _staged(spark, trades), max_files_per_trigger=1)
 
 
+# Milliseconds of each micro-batch run so far, for the benchmark.
+DURATIONS: list[int] = []
+
+
 def _finish(query) -> None:
     query.awaitTermination()
+    DURATIONS.extend(p["durationMs"]["triggerExecution"] for p in query.recentProgress)
 
 
 def windows_of_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -117,6 +117,24 @@ def write_events_by_day(events: DataFrame, path: str) -> None:
     )
 
 
+def write_event_table(events: DataFrame, path: str) -> None:
+    """Canonical events as Parquet by date and symbol, which readers prune.
+
+    Dates and symbols that are written again are replaced, all others stay. The rebalance hint splits
+    a large symbol-day over several files.
+    """
+    (
+        events.select(
+            *schemas.EVENT_COLUMNS, F.to_date(F.timestamp_millis("event_time")).alias("date")
+        )
+        .hint("rebalance", "date", "symbol")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "symbol")
+        .parquet(path)
+    )
+
+
 def write_json_lines(events: DataFrame, path: str) -> None:
     """Append canonical JSON Lines."""
     columns = sorted(name for name in schemas.EVENT_COLUMNS if name in events.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,42 @@ def read_events_strict(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _by_date(rows: DataFrame, since: date | None, until: date | None, symbols: list[str] | None):
+    """Rows of partitions within the dates, both included, and of the symbols."""
+    if since is not None:
+        rows = rows.where(F.col("date") >= F.lit(since))
+    if until is not None:
+        rows = rows.where(F.col("date") <= F.lit(until))
+    if symbols is not None:
+        rows = rows.where(F.col("symbol").isin(symbols))
+    return rows.select(*schemas.EVENT_COLUMNS)
+
+
+def read_event_table(
+    spark: SparkSession,
+    path: str,
+    since: date | None = None,
+    until: date | None = None,
+    symbols: list[str] | None = None,
+) -> DataFrame:
+    """Events of a Parquet table by date and symbol; other dates and symbols are not opened."""
+    schema = T.StructType([*schemas.EVENT.fields, T.StructField("date", T.DateType())])
+    return _by_date(spark.read.schema(schema).parquet(path), since, until, symbols)
+
+
+def read_archived_events(
+    spark: SparkSession,
+    path: str,
+    since: date | None = None,
+    until: date | None = None,
+    symbols: list[str] | None = None,
+) -> DataFrame:
+    """Events of the raw archive by date, hour and symbol; pruned like the table."""
+    fields = [T.StructField("date", T.DateType()), T.StructField("hour", T.StringType())]
+    schema = T.StructType([*schemas.EVENT.fields, *fields])
+    return _by_date(spark.read.schema(schema).json(path), since, until, symbols)
+
+
 def read_event_stream(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:

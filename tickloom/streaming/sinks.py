@@ -36,7 +36,7 @@ def archive_events(
             F.date_format(clock, "yyyy-MM-dd").alias("date"),
             F.date_format(clock, "HH").alias("hour"),
             F.upper("symbol").alias("symbol"),
-            F.pmod(F.hash("trade_id"), F.lit(writers)).alias("writer"),
+            F.pmod(F.hash(F.coalesce("trade_id", "ingest_time")), F.lit(writers)).alias("writer"),
         )
         .repartition(tasks, "date", "hour", "symbol", "writer")
         .drop("writer")
