@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import json
 
 import pytest
-from samples import as_dicts, minute_rows
+from samples import START, as_dicts, minute_rows
 from test_streams import write_files
 
+from tickloom import schemas
 from tickloom.jobs import backfill, batch, results, speed
 from tickloom.sources.events import read_events
 from tickloom.streaming.serving import DOCUMENT, STORED_ROW
@@ -32,6 +34,42 @@ def test_batch_then_speed(spark, tmp_path, state):
     assert stored[0]["rank"] == 1 and stored[0]["expires_at"] > 0
 
 
+def test_speed_sets_bad_lines_apart(spark, tmp_path):
+    folder = write_files(tmp_path / "in", [minute_rows()])
+    with open(f"{folder}/bad.json", "w") as file:
+        file.write('{"symbol":\n')
+    out = tmp_path / "out"
+    batch.main([folder, str(out)])
+    speed.main([folder, f"{out}/baselines-json", f"{out}/s", '{"min_liquidity": 0}', "--drain"])
+    bad = spark.read.text(f"{out}/s/quarantine").select("value").collect()
+    assert [r["value"] for r in bad] == ['{"symbol":']
+    assert BatchTable(spark, f"{out}/s/serving/rows", STORED_ROW).current().count() == 2
+
+
+def test_speed_over_records_counts_a_redelivered_one_once(spark, tmp_path):
+    rows = minute_rows()
+    folder = write_files(tmp_path / "in", [rows])
+    out = tmp_path / "out"
+    batch.main([folder, str(out)])
+    records = tmp_path / "records"
+    records.mkdir()
+    names = schemas.EVENT.fieldNames()
+    for copy in range(2):
+        lines = []
+        for i, row in enumerate(rows):
+            data = base64.b64encode(json.dumps(dict(zip(names, row))).encode()).decode()
+            lines.append(json.dumps({"data": data, "event_id": f"shard-{i % 2}:{i}", "sequence_number": str(i)}))
+        (records / f"{copy}.json").write_text("\n".join(lines) + "\n")
+    options = ['{"min_liquidity": 0}', "--records", "--drain"]
+    speed.main([str(records), f"{out}/baselines-json", f"{out}/s", *options])
+    served = as_dicts(BatchTable(spark, f"{out}/s/serving/rows", STORED_ROW).current())
+    volumes = {r["symbol"]: r["quote_volume_5m"] for r in served}
+    assert volumes == {
+        symbol: sum(r[6] for r in rows if r[2] == symbol and r[4] >= START + 4 * 60_000)
+        for symbol in ("ABCUSDT", "XYZUSDT")
+    }
+
+
 def test_backfill_adds_days_and_keeps_others(spark, tmp_path):
     folder = tmp_path / "archive" / "ABCUSDT"
     folder.mkdir(parents=True)

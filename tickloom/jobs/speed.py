@@ -1,8 +1,10 @@
 """Keep the hybrid view of arriving events and publish its top lists.
 
-    speed.py EVENTS BASELINES TARGET [SETTINGS] [--sliding] [--drain]
+    speed.py EVENTS BASELINES TARGET [SETTINGS] [--records] [--sliding] [--drain]
 
-EVENTS is a folder that JSON Lines arrive in. SETTINGS is a JSON object with any field of
+EVENTS is a folder that JSON Lines arrive in; lines that do not parse go to TARGET/quarantine. With
+--records the lines are sharded records, base64 ``data`` with ``event_id`` and ``sequence_number``, and
+a record of a sequence seen before counts once. SETTINGS is a JSON object with any field of
 ``tickloom.params.Params``.
 """
 
@@ -16,8 +18,16 @@ from tickloom.operators.clean import clean_events
 from tickloom.params import Params
 from tickloom.session import build_session
 from tickloom.sources.baselines import read_baselines
-from tickloom.sources.events import read_event_stream
-from tickloom.streaming.hybrid import HybridView, RecentBuckets, RecentRecords, Refreshing, start
+from tickloom.sources.events import read_line_stream
+from tickloom.sources.messages import decode_records, read_record_files
+from tickloom.streaming.hybrid import (
+    HybridView,
+    Quarantine,
+    RecentBuckets,
+    RecentRecords,
+    Refreshing,
+    start,
+)
 from tickloom.streaming.serving import ServingRefresh
 
 
@@ -31,6 +41,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("baselines", help="file or folder, any JSON layout")
     parser.add_argument("target", help="folder for state, checkpoint and lists")
     parser.add_argument("settings", nargs="?", type=_settings, default=Params())
+    parser.add_argument("--records", action="store_true", help="sharded records instead of events")
     parser.add_argument("--sliding", action="store_true", help="keep events instead of buckets")
     parser.add_argument("--drain", action="store_true", help="process what is there, then stop")
     args = parser.parse_args(argv)
@@ -48,9 +59,14 @@ def main(argv: Sequence[str] | None = None) -> int:
     )
     view = HybridView(spark, f"{args.target}/view", state, baselines, chosen)
     refresh = ServingRefresh(spark, f"{args.target}/serving", view, chosen.top_n)
-    events = clean_events(read_event_stream(spark, args.events), lenient=True)
+    if args.records:
+        arriving = decode_records(read_record_files(spark, args.events))
+        arriving, step = clean_events(arriving, lenient=True), refresh
+    else:
+        arriving = read_line_stream(spark, args.events)
+        step = Quarantine(refresh, f"{args.target}/quarantine")
     every = None if args.drain else f"{chosen.refresh_seconds} seconds"
-    start(events, refresh, f"{args.target}/checkpoint", every).awaitTermination()
+    start(arriving, step, f"{args.target}/checkpoint", every).awaitTermination()
     return 0
 
 

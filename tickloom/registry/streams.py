@@ -36,7 +36,7 @@ from tickloom.registry.shared import (
 )
 from tickloom.session import materialise, scratch_path
 from tickloom.sources.events import read_event_stream, read_events
-from tickloom.sources.messages import decode_records
+from tickloom.sources.messages import decode_records, read_record_files
 from tickloom.streaming import sinks
 from tickloom.streaming.aggregates import stream_dedupe, stream_windows
 from tickloom.streaming.hybrid import HybridView, RecentBuckets, RecentRecords, Refreshing, start
@@ -53,9 +53,6 @@ OBSERVED_AT = 1_800_000_000_000
 STREAM_SETTINGS = params.Params(
     window="1 day", min_liquidity=0.0, min_records=1, bucket_ms=USER_BUCKET_MS
 )
-RECORD = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("data", "event_id", "sequence_number")]
-)
 
 
 def _staged(spark: SparkSession, trades: DataFrame, files: int = FILES) -> str:
@@ -217,12 +214,7 @@ def _records_stream(spark: SparkSession, trades: DataFrame, copies: int) -> Data
             .write.option("compression", "gzip")
             .json(f"{path}/delivery={copy}")
         )
-    raw = (
-        spark.readStream.schema(RECORD)
-        .option("maxFilesPerTrigger", 2)
-        .option("recursiveFileLookup", "true")
-        .json(path)
-    )
+    raw = read_record_files(spark, path, max_files_per_trigger=2)
     return decode_records(raw)
 
 

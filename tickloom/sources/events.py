@@ -81,6 +81,11 @@ def read_event_stream(
     return reader.json(path)
 
 
+def read_line_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Raw lines of files as they arrive below ``path``, for steps that set bad ones apart."""
+    return spark.readStream.option("recursiveFileLookup", "true").text(path)
+
+
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse JSON text; adds the event columns and ``_corrupt_record`` (null for good lines)."""
     schema = T.StructType([*schemas.EVENT.fields, T.StructField("_corrupt_record", T.StringType())])

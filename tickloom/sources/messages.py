@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom import params, schemas
 from tickloom.functions import events as fn
@@ -106,6 +107,21 @@ def decode_stream_rows(df: DataFrame) -> DataFrame:
     ).withColumn("symbol", F.upper("symbol"))
 
 
+RECORD = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("data", "event_id", "sequence_number")]
+)
+
+
+def read_record_files(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Stream of sharded records, base64 in JSON Lines, as files arrive below ``path``."""
+    reader = spark.readStream.schema(RECORD).option("recursiveFileLookup", "true")
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(path)
+
+
 def read_record_stream(
     spark: SparkSession, source: str, options: dict[str, str], from_start: bool = False
 ) -> DataFrame:

@@ -13,11 +13,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom import params, schemas
 from tickloom.functions import events as fn
 from tickloom.operators import buckets as bk
+from tickloom.operators.clean import clean_events
 from tickloom.operators.dedupe import dedupe_trades
 from tickloom.operators.latest import newest_times, recent_events
 from tickloom.operators.replay import advance_checkpoints, new_records
 from tickloom.operators.score import score_windows
 from tickloom.operators.sliding import roll_up_events
+from tickloom.sources.events import split_malformed
 from tickloom.streaming.tables import BatchTable, upsert_by_symbol
 
 CHECKPOINT = T.StructType(
@@ -206,6 +208,20 @@ class HybridView:
         batch.unpersist()
 
 
+class Quarantine:
+    """Micro-batch step on raw lines: bad ones go to a folder of the batch, events to ``step``."""
+
+    def __init__(self, step: Callable[[DataFrame, int], None], path: str) -> None:
+        self.step, self.path = step, path
+
+    def __call__(self, lines: DataFrame, batch_id: int) -> None:
+        lines = lines.persist()
+        good, bad = split_malformed(lines)
+        bad.write.mode("overwrite").text(f"{self.path}/batch={batch_id}")
+        self.step(clean_events(good, lenient=True), batch_id)
+        lines.unpersist()
+
+
 def start(
     events: DataFrame,
     step: Callable[[DataFrame, int], None],
