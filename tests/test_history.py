@@ -83,11 +83,11 @@ def test_approximate_median_is_the_lower_middle(spark):
 
 
 def test_two_windows_give_one_baseline(spark):
-    rows = [event("BTCUSDT", i * 60_000, 100.0 + i, 1000.0, 10, i * 60_000 + 25, i) for i in range(10)]
+    rows = [event("KLMUSDT", i * 60_000, 40.0 + 2 * i, 700.0, 6, i * 60_000 + 40, i) for i in range(10)]
     (row,) = as_dicts(base.baselines(event_windows(frame(spark, rows)), "now"))
     assert row["sample_count"] == 2
-    assert row["mean_return_5m"] == pytest.approx(50 * (4 / 100 + 4 / 105))
-    assert (row["mean_quote_volume_5m"], row["mean_trade_count_5m"]) == (5000.0, 50.0)
+    assert row["mean_return_5m"] == pytest.approx(50 * (8 / 40 + 8 / 50))
+    assert (row["mean_quote_volume_5m"], row["mean_trade_count_5m"]) == (3500.0, 30.0)
 
 
 def reference_windows(rows, length, least=2):

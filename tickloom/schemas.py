@@ -26,17 +26,6 @@ EVENT = _struct(
 )
 EVENT_COLUMNS = tuple(EVENT.fieldNames())
 
-# One exchange message; ``data`` holds the same fields when the message is wrapped.
-_MESSAGE_FIELDS = (
-    ("e", _STRING),
-    ("E", _STRING),
-    ("s", _STRING),
-    ("a", _STRING),
-    ("p", _STRING),
-    ("q", _STRING),
-)
-MESSAGE = _struct(*_MESSAGE_FIELDS)
-
 ARCHIVE_ROW = _struct(
     ("aggregate_id", _STRING),
     ("price", _STRING),
