@@ -53,6 +53,7 @@ def test_texts_without_chains(spark):
 @pytest.mark.parametrize("cell_rows", [2, 3, 4096])
 def test_edits_use_the_following_document(spark, monkeypatch, cell_rows):
     monkeypatch.setattr(spotsigs, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(spotsigs, "BOUND_IDS", 12)  # bounds from a sample of the ids
     rows = [(i * i - 40, f"The number {i} of a list and the house {i * 7} in red " * (i % 4), "en", "a", 0) for i in range(23)]
     rows += [(10**15, "a last one of the rows with some words", "en", "a", 0), (7, None, "en", "a", 0)]
     docs = cases.documents(spark, rows, clashing=True)
