@@ -44,8 +44,8 @@ ROUNDS = 2
 POPULATION = 4
 GENERATIONS = 24
 SEED = 29
-WORD_CACHE = 300_000
-DOCUMENTS_AT_ONCE = 1000
+WORD_CACHE = 350_000
+DOCUMENTS_AT_ONCE = 500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -60,15 +60,14 @@ class Encoder:
     def __init__(self, path: str, words: int = WORD_CACHE):
         """Two generations of about ``words`` words are known at a time."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         # composed small letters need no normalising and are one run
-        self.letters = Tokenizer.from_file(path)
-        self.letters.normalizer = normalizers.Sequence([])
+        self.letters = Tokenizer(self.tokenizer.model)  # one model for both
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),
@@ -128,17 +127,19 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for start in range(0, len(texts), DOCUMENTS_AT_ONCE):
             split = [_words(text) for text in texts[start : start + DOCUMENTS_AT_ONCE]]
-            used = set().union(*split)
+            found = [list(map(self.known.get, words)) for words in split]
+            gaps = [[i for i, ids in enumerate(own) if ids is None] for own in found]
             if len(self.known) > self.words:
                 # the generation before is forgotten, this one only as far as it is not used again
                 self.known, self.old = {"": b""}, self.known
-            new = used - self.known.keys()
+            new = {words[i] for words, missing in zip(split, gaps) for i in missing}
             back = new & self.old.keys()
             self.known.update((word, self.old[word]) for word in back)
-            self._learn(new - back)
-            one = self.known.__getitem__
-            for words in split:
-                yield b"".join(map(one, words))
+            self._learn(new - back - self.known.keys())
+            for words, own, missing in zip(split, found, gaps):
+                for i in missing:
+                    own[i] = self.known[words[i]]
+                yield b"".join(own)
 
 
 _RUN = re.compile(r"[^\W\d_]+|[0-9]|[!-/:-@\[-`{-~]+")
@@ -158,15 +159,15 @@ def _runs(word: str) -> list[str] | None:
 
 def _is_run(word: str) -> bool:
     """Letters only, also in lower case: one run to the tokenizer."""
-    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+    return word.isalpha() and (word.isascii() or word.islower() or word.lower().isalpha())
 
 
 def _words(text: str) -> list[str]:
-    if text.isascii() and "<|" not in text:
+    """Words at white space, in lower case where that is the tokenizer's own, character by character."""
+    plain = text.isascii() or ("\u03a3" not in text and is_normalized("NFC", text))
+    if plain and "<|" not in text:
         text = text.lower()
-    return re.sub(r"[\n\t\r]", " ", text).split(" ") if "\t" in text or "\r" in text else text.replace(
-        "\n", " "
-    ).split(" ")
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
 @cache
