@@ -19,7 +19,7 @@ def chains(text):
     out = set()
     for i, w in enumerate(own[:-1]):
         if w in COMMON_WORDS and own[i + 1] not in COMMON_WORDS:
-            content = [x for x in own[i + 1 :] if x not in COMMON_WORDS][:2]
+            content = [x for x in own[i + 1 : i + 60] if x not in COMMON_WORDS][:2]
             if len(content) == 2:
                 out.add((w, *content))
     return out
