@@ -9,6 +9,7 @@ import cases
 import numpy as np
 import pytest
 
+from tickloom.llm import toxicity
 from tickloom.llm.quality_model import isotonic, score_quality
 from tickloom.llm.toxicity import passage_scores, score_toxicity
 
@@ -49,6 +50,17 @@ def test_toxic_words_and_their_kin_are_found(spark):
     assert score_toxicity(docs.unionByName(new), labels).where("doc_id = 1000").first()["score"] > 0.3
 
 
+@pytest.mark.parametrize("share, longs", [(0.01, 1 << 21), (1.0, 1 << 21), (0.01, 1)])
+def test_entries_that_are_not_sent_count_as_well(spark, monkeypatch, share, longs):
+    docs, labels = corpus(spark)
+    want = {r["doc_id"]: r["score"] for r in score_toxicity(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "MIN_SHARE", share)
+    monkeypatch.setattr(toxicity, "FILTER_LONGS", longs, raising=False)
+    got = score_toxicity(docs, labels)
+    assert {r["doc_id"]: r["score"] for r in got.collect()} == pytest.approx(want, abs=1e-9)
+    assert accuracy(got, lambda i: i % 5 == 0, True) >= 0.97
+
+
 def test_quality_is_learned(spark):
     docs, labels = corpus(spark)
     scored = score_quality(docs, labels)
