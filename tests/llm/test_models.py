@@ -61,6 +61,16 @@ def test_entries_that_are_not_sent_count_as_well(spark, monkeypatch, share, long
     assert accuracy(got, lambda i: i % 5 == 0, True) >= 0.97
 
 
+def test_equal_texts_score_alike_beside_each_other(spark):
+    docs, labels = corpus(spark)
+    same = ["grobian", "grobian word1 word2 grobian", "grobian word1 grobian grobian"]
+    rows = [(1000 + 10 * k + i, text, "en", "a", 0) for k, text in enumerate(same) for i in range(10)]
+    scored = score_toxicity(docs.unionByName(cases.documents(spark, rows).coalesce(1)), labels)
+    raw = {r["doc_id"]: r["raw"] for r in scored.where("doc_id >= 1000").collect()}
+    one, two, three = ({raw[1000 + 10 * k + i] for i in range(10)} for k in range(3))
+    assert len(one) == len(two) == len(three) == 1 and two == three and min(one) > 0
+
+
 def test_quality_is_learned(spark):
     docs, labels = corpus(spark)
     scored = score_quality(docs, labels)
