@@ -123,6 +123,19 @@ def test_passages_cover_the_whole_text():
     assert passage_scores(ratios, offsets, 64) == pytest.approx(want, abs=1e-5)
 
 
+def test_short_texts_score_the_mean_of_their_own_words(spark):
+    offsets = np.array([0, 0, 1, 21, 84, 148, 213])
+    ratios = np.random.default_rng(5).normal(0, 3, offsets[-1]).astype(np.float32)
+    strong = ratios - np.clip(ratios, -1.5, 1.5)
+    want = [0.0] + [strong[a:b].mean() for a, b in zip(offsets[1:5], offsets[2:6])]
+    assert passage_scores(ratios, offsets, 64, least=1)[:5] == pytest.approx(want, abs=1e-5)
+    docs, labels = corpus(spark)
+    new = cases.documents(spark, [(1000, "shmuckle word1", "en", "a", 0), (1001, "shmuckle word1 word2 word3", "en", "a", 0)])
+    scored = score_toxicity(docs.unionByName(new), labels).where("doc_id >= 1000")
+    raw = {r["doc_id"]: r["raw"] for r in scored.collect()}
+    assert raw[1000] == pytest.approx(2 * raw[1001]) and raw[1001] > 0.1
+
+
 def test_isotonic_levels_never_fall():
     at, level = isotonic(np.array([0.0, 1, 2, 3]), np.array([2, 2, 2, 4]), np.array([1, 0, 2, 4]))
     assert at.tolist() == [0.5, 2 + 2 / 3] and level.tolist() == [0.25, 1.0]
