@@ -50,6 +50,20 @@ def test_texts_without_chains(spark):
     assert a == [hash_of("")] and b == [hash_of(" . ")] and c == d == [hash_of("one two")]
 
 
+def test_texts_without_common_words_differ_by_degrees(spark):
+    plain = [f"слово{i}" for i in range(60)]
+    changed = [*plain[:45], "иное", *plain[46:]]
+    mixed = ["the", *plain]
+    rows = [" ".join(w) for w in (plain, changed, mixed, ["the", *changed], plain[:4])]
+    a, b, c, d, e = signature_rows(spark, rows)
+    runs = lambda own: sorted(hash_of(*own[i : i + 3]) for i in range(len(own) - 2))
+    assert (a, b, e) == (runs(plain), runs(changed), runs(plain[:4]))
+    assert len(set(a) & set(b)) == 55
+    # one chain behind the common word, then those of the long run without one
+    assert c == sorted([hash_of("the", *plain[:2]), *runs(plain[32:])])
+    assert len(set(c) & set(d)) == len(c) - 3
+
+
 @pytest.mark.parametrize("cell_rows", [2, 3, 4096])
 def test_edits_use_the_following_document(spark, monkeypatch, cell_rows):
     monkeypatch.setattr(spotsigs, "CELL_ROWS", cell_rows)

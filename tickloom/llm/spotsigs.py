@@ -11,8 +11,12 @@ Fingerprints need no shuffle. Following documents are found through cells of an
 the ids cut the table into cells of a few thousand rows, the first row of each cell is sent to the
 cell before it as well, and one shuffle of the texts brings the rows of a cell together.
 
-Defined cases: a null text is empty. A text without a complete chain has one signature, the hash of
-all its words; a text without words, the hash of the text itself; so no set is empty and texts that
+Where common words are missing, words themselves are spots. A text without a complete chain has the
+hashes of all its runs of CHAIN + 1 words; in other texts each content word after GAP content words
+without a common word between starts a chain, hashed with its own.
+
+Defined cases: a null text is empty. A text without a complete chain and of fewer words than a run has
+one signature, the hash of all its words; a text without words, the hash of the text itself; so no set is empty and texts that
 differ only by case, punctuation or white space may share a fingerprint. Documents of equal id follow
 each other in the order of their text hashes; null ids come last, ordered by text hash and split into
 cells by it. The only row of a table follows itself. An empty table gives an empty result.
@@ -37,6 +41,7 @@ COMMON_WORDS = (
     "al como con del el en es esta la las lo los no para por que se su sus un una y"
 ).split()
 CHAIN = 2
+GAP = 32
 CELL_ROWS = 4096
 MAX_CELLS = 8192
 NULL_CELLS = 64
@@ -70,15 +75,34 @@ def signatures(text: Column, common: list[str] = COMMON_WORDS, chain: int = CHAI
 
             return F.filter(F.transform(starts, one), lambda h: h.isNotNull())
 
+        def far(places: Column) -> Column:
+            """Chains of content words that have only content words for some way before them."""
+            starts = F.slice(places, F.lit(1), F.greatest(F.size(places) - chain, F.lit(0)))
+
+            def one(place: Column, j: Column) -> Column:
+                run = [F.get(words, F.get(places, j + k)) for k in range(chain + 1)]
+                return F.when(place - F.get(places, j - GAP) == GAP, F.xxhash64(*run))
+
+            return F.filter(F.transform(starts, one), lambda h: h.isNotNull())
+
+        def runs(words: Column) -> Column:
+            return F.transform(
+                F.sequence(F.lit(0), F.size(words) - (chain + 1)),
+                lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(chain + 1)]),
+            )
+
         whole = F.when(F.size(words) > 0, F.xxhash64(F.array_join(words, " "))).otherwise(
             F.xxhash64(text)
         )
-        return let(
-            let(places, chains),
-            lambda found: F.when(F.size(found) > 0, F.sort_array(F.array_distinct(found))).otherwise(
-                F.array(whole)
-            ),
-        )
+        def all_of(places: Column) -> Column:
+            return let(
+                chains(places),
+                lambda found: F.when(F.size(found) > 0, F.concat(found, far(places)))
+                .when(F.size(words) > chain, runs(words))
+                .otherwise(F.array(whole)),
+            )
+
+        return F.sort_array(F.array_distinct(let(places, all_of)))
 
     return let(words, spots)
 
