@@ -84,3 +84,30 @@ SELECT doc_id, size, source_size, target,
   CAST(whole * size + greatest(least(upto, bound) - upto + size, 0) AS BIGINT) AS taken
 FROM streams
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+EXACT_DEDUP = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
+WINDOW same AS (PARTITION BY t)"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents),
+i AS (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark),
+asked AS (SELECT item_id, term, count(*) AS repeats FROM i GROUP BY ALL),
+held AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+long AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM long),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM held, total WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+size AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM long, total),
+scored AS (SELECT item_id, doc_id,
+    sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weight USING (term) JOIN size USING (doc_id)
+  GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
+  doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10"""

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import oracles
-from tickloom.llm.common import table
+from tickloom.llm.common import table, text_of, words_of
+from tickloom.llm.exact import exact_duplicates
 from tickloom.llm.licenses import scan_licenses
 from tickloom.llm.lines import dedup_lines
 from tickloom.llm.mixing import SEED, count_words, mix_sized, seeded
 from tickloom.llm.packing import pack_documents
 from tickloom.llm.quality_model import score_quality
 from tickloom.llm.quality_rules import quality_rules
+from tickloom.llm.runs import periodic_runs, strongest
+from tickloom.llm.search import search
 from tickloom.llm.shuffling import record_bytes, shuffle_to_shards
 from tickloom.llm.simhash import near_duplicates
 from tickloom.llm.spotsigs import edited, fingerprint, following, likeness, signatures
@@ -122,6 +125,49 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "benchmark"), table(spark, folder, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(table(spark, folder, "documents")).withColumnRenamed("sha256", "text_sha256")
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, words): every tenth document by its id's checksum ends in repetitions of its own words."""
+    check = F.crc32(F.col("doc_id").cast("string"))
+    split = docs.select(
+        "doc_id", words_of(text_of()).alias("own"), check.alias("check"), F.floor(check / 10).alias("draw")
+    )
+    n = F.size("own")
+    begin = (F.col("draw") % n).cast("int")
+    period = (1 + F.floor((n - begin) / (3 + F.col("draw") % 8))).cast("int")
+    tail = F.transform(
+        F.sequence(begin, n - 1), lambda i: F.get("own", begin + (i - begin) % period)
+    )
+    edited = F.concat(F.slice("own", F.lit(1), begin), tail)
+    chosen = (F.col("check") % 10 == 0) & (n > 0)
+    return split.select("doc_id", F.when(chosen, edited).otherwise(F.col("own")).alias("words"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(repeated_tails(table(spark, folder, "documents")))
+    run = strongest(F.col("runs"))
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.select("row.doc_id", "runs", "kept", run.alias("run")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "run.start",
+        "run.length",
+        "run.period",
+        F.expr("1000 * run.length div run.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.array_join("kept", " "), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_spot_signatures": op1_spot_signatures,
     "op2_mix_sources": op2_mix_sources,
@@ -133,8 +179,13 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES = {
     "op2_mix_sources": oracles.MIX_SOURCES,
     "op6_line_dedup": oracles.LINE_DEDUP,
+    "op11_lexical_search": oracles.LEXICAL_SEARCH,
+    "op12_exact_dedup": oracles.EXACT_DEDUP,
 }
