@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,18 +64,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tickloom-{application}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return the table read back.
 
     The result has no lineage to recompute when executors are lost, later scans prune columns and
     push filters down, and Catalyst knows its size: it broadcasts the table only below
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides of a join.
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides of a join. ``options``
+    are those of the Parquet writer.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers that share this file system import the package from where it lies.
+
+    On a cluster the package comes with ``--py-files``; the path then names nothing there.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment
+    paths = known.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether Spark's file systems know ``path``."""
     name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
