@@ -10,7 +10,8 @@ member's chunks are compared, chunk by chunk, with those of the group's first ro
 from it form a group of their own in the next round, until none is left; one round is the rule. A
 group's members are dealt over one salt for each ``SALTED`` of them, and the first row's chunks are
 repeated once per salt, so a group of a third of all rows spreads over as many keys as it needs. Texts
-move twice at most: those of groups to meet their row's group, then to meet the first row's chunks.
+move once, to meet the rows of groups, and those of groups once more, to meet the first row's chunks.
+Every table here grows with the documents, so all joins shuffle both sides, at any size.
 
 Defined cases: null counts as an empty text, and empty texts are equal. A null id is smaller than any
 other; of rows equal in text and id one stays. Very long texts are cut, never cut off. An empty table
@@ -116,11 +117,11 @@ def _same_as_first(members: DataFrame, cut: DataFrame) -> DataFrame:
     """
     salts = F.greatest((F.col("n") / SALTED).cast("int"), F.lit(1))
     own = members.select("row", "first", F.pmod(F.hash("row"), salts).alias("salt"))
-    texts = cut.select("row", "part", "chunk").join(own, "row")
+    texts = cut.select("row", "part", "chunk").join(own.hint("merge"), "row")
     firsts = members.where(F.col("row") == F.col("first")).select("row", salts.alias("salts"))
     shown = (
         cut.select("row", "part", "chunk")
-        .join(firsts, "row")
+        .join(firsts.hint("merge"), "row")
         .select(
             F.col("row").alias("first"),
             "part",
@@ -128,14 +129,14 @@ def _same_as_first(members: DataFrame, cut: DataFrame) -> DataFrame:
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         )
     )
-    compared = texts.join(shown, ["first", "part", "salt"])
+    compared = texts.join(shown.hint("merge"), ["first", "part", "salt"])
     return compared.groupBy("row", "first").agg(F.bool_and(F.col("chunk") == F.col("shown")).alias("same"))
 
 
 def _with_first(members: DataFrame) -> DataFrame:
     """``members`` (row, group) with their group's first row and size."""
     sizes = members.groupBy("group").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
-    return members.join(materialise(sizes, "groups"), "group")
+    return members.join(materialise(sizes, "groups").hint("merge"), "group")
 
 
 def classes(signed: DataFrame, cut: DataFrame) -> DataFrame:
@@ -145,9 +146,10 @@ def classes(signed: DataFrame, cut: DataFrame) -> DataFrame:
     """
     shared = signed.groupBy(*PRINT).agg(F.min("row").alias("group"), F.count(F.lit(1)).alias("n"))
     shared = materialise(shared.where("n > 1"), "shared")
-    open_rows = materialise(signed.select("row", *PRINT).join(shared, PRINT).select("row", "group"), "open")
-    decided = signed.join(open_rows, "row", "left_anti").select("row", F.col("row").alias("class"))
-    texts = materialise(cut.select("row", "part", "chunk").join(open_rows, "row", "left_semi"), "open-chunks")
+    open_rows = materialise(signed.select("row", *PRINT).join(shared.hint("merge"), PRINT).select("row", "group"), "open")
+    decided = signed.join(open_rows.hint("merge"), "row", "left_anti").select("row", F.col("row").alias("class"))
+    asked = cut.select("row", "part", "chunk").join(open_rows.hint("merge"), "row", "left_semi")
+    texts = materialise(asked, "open-chunks", compression="zstd")
     for _ in range(MAX_ROUNDS):
         if open_rows.isEmpty():
             return decided
@@ -162,14 +164,14 @@ def classes(signed: DataFrame, cut: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, sha256) of every document: of equal texts the row with the
     largest id stays."""
-    cut = materialise(chunks(docs, chunk), "chunks")
+    cut = materialise(chunks(docs, chunk), "chunks", compression="zstd")
     signed = materialise(fingerprints(cut, chunk), "prints")
     classed = materialise(
-        classes(signed, cut).join(signed.select("row", "doc_id", "sha256"), "row"), "classes"
+        classes(signed, cut).join(signed.select("row", "doc_id", "sha256").hint("merge"), "row"), "classes"
     )
     top = F.max(F.struct("doc_id", "row")).alias("top")
     groups = materialise(classed.groupBy("class").agg(top, F.count(F.lit(1)).alias("group_size")), "tops")
-    return classed.join(groups, "class").select(
+    return classed.join(groups.hint("merge"), "class").select(
         "doc_id",
         F.col("top.doc_id").alias("keep_id"),
         "group_size",
