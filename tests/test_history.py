@@ -19,10 +19,12 @@ from tickloom.operators import ranking
 from tickloom.operators.clean import clean_events
 from tickloom.operators.dedupe import dedupe_trades
 from tickloom.operators.latest import latest_rows
+from tickloom.operators import percentiles
 from tickloom.operators.percentiles import exact_percentiles
 from tickloom.operators.windows import event_windows
 from tickloom.plans import views
 from tickloom.plans.batch import run_batch
+from tickloom.session import materialise
 from tickloom.sinks import tables
 from tickloom.sources import events as event_files
 from tickloom.sources.baselines import read_baselines
@@ -227,6 +229,21 @@ def test_percentiles_of_large_skewed_groups(spark):
         assert [found[row["k"], 0.5], found[row["k"], 0.95]] == pytest.approx(row["p"])
 
 
+def test_narrowed_percentiles_are_the_same(spark, monkeypatch):
+    """Brackets narrowed until few candidates are left, with ties and very unequal widths."""
+    df = spark.range(60_000).select(
+        F.pmod("id", F.lit(3)).alias("k"),
+        F.when(F.col("id") % 4 == 0, 7.0).otherwise(F.exp((F.xxhash64("id") % 1000) / 50.0)).alias("v"),
+    )
+    df = materialise(df, "values")
+    quantiles = (0.0, 0.1, 0.5, 0.95, 0.99, 1.0)
+    plain = {keys: sorted(map(tuple, exact_percentiles(df, list(keys), "v", quantiles).collect())) for keys in ((), ("k",))}
+    monkeypatch.setattr(percentiles, "CANDIDATES", 3)
+    monkeypatch.setattr(percentiles, "BINS", 8)
+    for keys, want in plain.items():
+        assert sorted(map(tuple, exact_percentiles(df, list(keys), "v", quantiles).collect())) == want
+
+
 def test_percentiles_of_one_repeated_value(spark):
     df = spark.range(300_000).select(F.lit(5.0).alias("v"))
     (row,) = exact_percentiles(df, [], "v", (0.95,)).collect()

@@ -13,7 +13,7 @@ from tickloom import schemas
 from tickloom.jobs import backfill, batch, results, speed
 from tickloom.sources.events import read_events
 from tickloom.streaming.serving import DOCUMENT, STORED_ROW
-from tickloom.streaming.tables import BatchTable
+from tickloom.streaming.tables import KeyedTable, Published
 
 
 @pytest.mark.parametrize("state", ["buckets", "records"])
@@ -26,10 +26,10 @@ def test_batch_then_speed(spark, tmp_path, state):
     assert speed.main(
         [folder, f"{out}/baselines-json", f"{out}/s", '{"min_liquidity": 0, "top_n": 1}', "--drain", *options]
     ) == 0
-    published = BatchTable(spark, f"{out}/s/serving/document", DOCUMENT).current()
+    published = Published(spark, f"{out}/s/serving/document", DOCUMENT).current()
     document = json.loads(published.first()["value"])
     assert len(document["trending"]) == 1 and document["spikes"] == []
-    stored = as_dicts(BatchTable(spark, f"{out}/s/serving/rows", STORED_ROW).current())
+    stored = as_dicts(KeyedTable(spark, f"{out}/s/serving/rows", STORED_ROW, "result_key", 1).current())
     assert [r["result_key"] for r in stored] == [f"trend#{document['trending'][0]['symbol']}"]
     assert stored[0]["rank"] == 1 and stored[0]["expires_at"] > 0
 
@@ -43,7 +43,7 @@ def test_speed_sets_bad_lines_apart(spark, tmp_path):
     speed.main([folder, f"{out}/baselines-json", f"{out}/s", '{"min_liquidity": 0}', "--drain"])
     bad = spark.read.text(f"{out}/s/quarantine").select("value").collect()
     assert [r["value"] for r in bad] == ['{"symbol":']
-    assert BatchTable(spark, f"{out}/s/serving/rows", STORED_ROW).current().count() == 2
+    assert KeyedTable(spark, f"{out}/s/serving/rows", STORED_ROW, "result_key", 1).current().count() == 2
 
 
 def test_speed_over_records_counts_a_redelivered_one_once(spark, tmp_path):
@@ -62,7 +62,7 @@ def test_speed_over_records_counts_a_redelivered_one_once(spark, tmp_path):
         (records / f"{copy}.json").write_text("\n".join(lines) + "\n")
     options = ['{"min_liquidity": 0}', "--records", "--drain"]
     speed.main([str(records), f"{out}/baselines-json", f"{out}/s", *options])
-    served = as_dicts(BatchTable(spark, f"{out}/s/serving/rows", STORED_ROW).current())
+    served = as_dicts(KeyedTable(spark, f"{out}/s/serving/rows", STORED_ROW, "result_key", 1).current())
     volumes = {r["symbol"]: r["quote_volume_5m"] for r in served}
     assert volumes == {
         symbol: sum(r[6] for r in rows if r[2] == symbol and r[4] >= START + 4 * 60_000)

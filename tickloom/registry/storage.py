@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom import adapters, schemas
+from tickloom.operators import daily
 from tickloom.operators.clean import clean_events
 from tickloom.operators.windows import event_windows
 from tickloom.plans import hybrid, views
@@ -177,6 +178,32 @@ def event_table_batch(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{out}/baselines").select(*schemas.BASELINE.fieldNames()))
 
 
+def incremental_baselines(spark: SparkSession, folder: str) -> DataFrame:
+    """Baselines merged out of daily states. The newest day comes in two parts: with the second, that
+    day alone is read again. ``median_close`` tells whether the sketch's median has the rank it states."""
+    trades = events(spark, folder)
+    day = F.to_date(F.timestamp_millis("event_time"))
+    first, last = trades.select(day.alias("d")).agg(F.min("d"), F.max("d")).first()
+    table, states = scratch_path(spark, "event-table"), scratch_path(spark, "daily-states")
+    tables.write_event_table(trades.where((day < last) | (F.col("trade_id") % 2 == 0)), table)
+    daily.update_days(spark, table, states, first, last, HOUR)
+    tables.write_event_table(trades.where(day == last), table)
+    daily.update_days(spark, table, states, last, last, HOUR)
+    rows = materialise(daily.merged_baselines(spark.read.parquet(states), UPDATED_AT), "merged")
+    volume = F.col("quote_volume_5m")
+    middle = F.col("median_quote_volume_5m")
+    ranks = (
+        hourly(spark, folder)
+        .join(rows.select("symbol", middle), "symbol")
+        .groupBy("symbol")
+        .agg(F.avg((volume < middle).cast("int")).alias("below"), F.avg((volume <= middle).cast("int")).alias("upto"))
+    )
+    error = daily.MEDIAN_RANK_ERROR
+    close = (F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)
+    checked = rows.drop("median_quote_volume_5m").join(ranks, "symbol").withColumn("median_close", close)
+    return rounded(checked.drop("below", "upto"))
+
+
 def event_table_days(spark: SparkSession, folder: str) -> DataFrame:
     """Totals of two symbols over ten days; only their folders are opened."""
     rows = event_files.read_event_table(
@@ -265,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "batch_deduped": batch_deduped,
     "event_table_batch": event_table_batch,
     "event_table_days": event_table_days,
+    "incremental_baselines": incremental_baselines,
     "archive_by_day": archive_by_day,
     "scan_strict": scan_strict,
     "full_history_batch": full_history_batch,
@@ -295,6 +323,8 @@ SELECT symbol, count(*) AS trades, round(sum(quote_volume), 6) AS volume,
 FROM m WHERE symbol IN ('CLICKUSDT', 'VIEWUSDT')
   AND make_timestamp(event_time * 1000)::DATE BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'
 GROUP BY symbol""",
+    "incremental_baselines": f"""{SQL_HISTORY}
+SELECT * EXCLUDE (median_quote_volume_5m), true AS median_close FROM (SELECT {SQL_BASELINE_COLUMNS} FROM b)""",
     "batch_deduped": f"{SQL_HISTORY} SELECT {SQL_BASELINE_COLUMNS} FROM b",
     "archive_by_day": f"WITH {SQL_EVENTS} SELECT {_EVENT_COLUMNS} FROM m",
     "scan_strict": f"WITH {SQL_EVENTS} SELECT {_EVENT_COLUMNS} FROM m",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,11 +39,22 @@ from tickloom.registry.shared import (
 from tickloom.session import materialise, scratch_path
 from tickloom.sources.events import read_event_stream, read_events
 from tickloom.sources.messages import decode_records, read_record_files
+from tickloom.sinks.tables import write_baselines_json
 from tickloom.streaming import sinks
 from tickloom.streaming.aggregates import stream_dedupe, stream_windows
-from tickloom.streaming.hybrid import HybridView, RecentBuckets, RecentRecords, Refreshing, start
+from tickloom.sources.baselines import baseline_stamp, read_baselines
+from tickloom.streaming.hybrid import HybridView, Refreshing, start
+from tickloom.sources.logs import read_log
+from tickloom.streaming.runs import RunLog, observe_latency, run_totals
 from tickloom.streaming.serving import ServingRefresh
-from tickloom.streaming.tables import read_changes, write_changes
+from tickloom.streaming.state import (
+    WINDOW,
+    recent_bucket_windows,
+    recent_record_windows,
+    stored_buckets,
+    stored_checkpoints,
+)
+from tickloom.streaming.tables import KeyedTable, read_changes, write_changes
 
 FILES = 4
 # The test files arrive in any order over a month, so nothing may count as late.
@@ -49,6 +62,7 @@ NEVER_LATE = "90 days"
 LATENESS = "7 days"
 USER_BUCKET_MS = USER_SETTINGS.bucket_ms
 OBSERVED_AT = 1_800_000_000_000
+RETENTION_SECONDS = 2
 # Every symbol with a baseline is scored in its last batch, whatever earlier batches held.
 STREAM_SETTINGS = params.Params(
     window="1 day", min_liquidity=0.0, min_records=1, bucket_ms=USER_BUCKET_MS
@@ -96,11 +110,11 @@ def late_rows_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     trades = events(spark, folder)
     part = F.pmod("trade_id", F.lit(10))
     path = scratch_path(spark, "arriving")
-    # Files are read one by one in the order they were written; a micro-batch drops what was late
-    # before the one that precedes it.
-    for rows in (part > 1, part == 1, part == 0):
-        trades.where(rows).coalesce(1).write.mode("append").json(path)
-    arriving = clean_events(read_event_stream(spark, path, max_files_per_trigger=1))
+    # Files are read in the order they were written, those of one arrival in one micro-batch, which
+    # drops what was late before the one that precedes it.
+    for arrival, rows in enumerate((part > 1, part == 1, part == 0)):
+        trades.where(rows).repartition(FILES).write.json(f"{path}/arrival={arrival}")
+    arriving = clean_events(read_event_stream(spark, path, max_files_per_trigger=FILES))
     changes = scratch_path(spark, "changes")
     _finish(
         stream_windows(arriving, HOUR, LATENESS)
@@ -114,46 +128,56 @@ def late_rows_of_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def expiry_of_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Users of the first half of the trades, of the second one and of both; what the first left
-    has expired when the third micro-batch comes, unless the second touched it."""
+    """Even trades arrive, then the stream stops for longer than state is kept, then the odd ones
+    come. The state holds the users of these only, without what they did before."""
     trades = user_events(spark, folder)
-    now = [0]
-    state = RecentBuckets(
-        spark,
-        scratch_path(spark, "state"),
-        USER_SETTINGS.window,
-        USER_BUCKET_MS,
-        retention_seconds=900,
-        clock_ms=lambda: now[0],
-    )
-    part = F.pmod("trade_id", F.lit(3))
-    for batch_id, second in enumerate((0, 600, 1_200)):
-        now[0] = second * 1000
-        state.update(trades.where(part == batch_id), batch_id)
-    return state.buckets.current().groupBy("symbol").agg(F.max("last_event_time").alias("newest"))
+    path, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "checkpoint")
+    for half in (0, 1):
+        arrived = trades.where(F.pmod("trade_id", F.lit(2)) == half)
+        arrived.write.json(f"{path}/half={half}")
+        windows = recent_bucket_windows(
+            read_event_stream(spark, path), USER_SETTINGS.window, USER_BUCKET_MS, RETENTION_SECONDS
+        )
+        _finish(start(windows, _nowhere, checkpoint))
+        time.sleep(0 if half else RETENTION_SECONDS + 1)
+    held = stored_buckets(spark, checkpoint)
+    return held.groupBy("symbol").agg(F.max("last_event_time").alias("newest"))
+
+
+def _nowhere(batch: DataFrame, batch_id: int) -> None:
+    batch.write.format("noop").mode("overwrite").save()
 
 
 def _view_of(spark: SparkSession, baselines: Refreshing) -> HybridView:
     path = scratch_path(spark, "view")
-    state = RecentRecords(spark, path, STREAM_SETTINGS.window)
-    return HybridView(spark, path, state, baselines, STREAM_SETTINGS, clock_ms=lambda: OBSERVED_AT)
+    return HybridView(spark, path, baselines, STREAM_SETTINGS, clock_ms=lambda: OBSERVED_AT)
 
 
 def baseline_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """Users get their baselines while the stream runs; the ones known at first are fewer."""
+    """A batch job writes baselines over those that a stream uses: first of some users, then of all.
+    The stream takes the new ones 300 seconds after it read the first."""
     trades, rows = _user_baselines(spark, folder)
     stats = materialise(rows, "baselines")
-    known, clock = [stats.where(F.pmod(F.length("symbol"), F.lit(2)) == 0)], [0.0]
-    view = _view_of(spark, Refreshing(lambda: known[0], 300, lambda: clock[0]))
-    trades = trades.persist()
-    view(trades, 0)
-    known[0] = stats
-    clock[0] = 299.0
-    view(trades, 1)
-    early = materialise(view.latest.current().select("symbol", F.lit(1).alias("early")), "early")
-    clock[0] = 300.0
-    view(trades, 2)
-    trades.unpersist()
+    published, clock = scratch_path(spark, "published"), [0.0]
+    refreshing = Refreshing(
+        lambda: read_baselines(spark, published),
+        300,
+        lambda: clock[0],
+        lambda: baseline_stamp(spark, published),
+    )
+    view = _view_of(spark, refreshing)
+    path, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "checkpoint")
+    early = None
+    for delivery, second in enumerate((0.0, 299.0, 300.0)):
+        known = stats if delivery else stats.where(F.pmod(F.length("symbol"), F.lit(2)) == 0)
+        write_baselines_json(known, published)
+        clock[0] = second
+        trades.write.json(f"{path}/delivery={delivery}")
+        windows = recent_record_windows(read_event_stream(spark, path), STREAM_SETTINGS.window)
+        _finish(start(windows, view, checkpoint))
+        if delivery == 1:
+            served = view.latest.current().select("symbol", F.lit(1).alias("early"))
+            early = materialise(served, "early")
     served = view.latest.current().join(early, "symbol", "left")
     return rounded(served.withColumn("early", F.col("early").isNotNull()))
 
@@ -164,7 +188,8 @@ def serving_refresh(spark: SparkSession, folder: str) -> DataFrame:
     stats = materialise(rows, "baselines")
     path = scratch_path(spark, "serving")
     refresh = ServingRefresh(spark, path, _view_of(spark, Refreshing(lambda: stats)))
-    _finish(start(_stream(spark, trades), refresh, scratch_path(spark, "checkpoint")))
+    windows = recent_record_windows(_stream(spark, trades), STREAM_SETTINGS.window)
+    _finish(start(windows, refresh, scratch_path(spark, "checkpoint")))
     lists = T.StructType([T.StructField("trending", T.ArrayType(schemas.SCORE))])
     document = refresh.document().select(F.from_json("value", lists).alias("d"))
     listed = document.select(F.posexplode("d.trending").alias("at", "row"))
@@ -192,17 +217,12 @@ def dedup_of_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sliding_of_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Recent day of each user kept as records; every trade arrives twice."""
+    """Recent day of each user out of its events; every trade arrives twice."""
     trades = user_events(spark, folder)
-    state = RecentRecords(spark, scratch_path(spark, "state"), USER_SETTINGS.window)
-    _finish(
-        start(
-            _stream(spark, trades.unionByName(trades)),
-            lambda batch, batch_id: state.update(batch, batch_id),
-            scratch_path(spark, "checkpoint"),
-        )
-    )
-    return rounded(state.recent(state.records.current(), 1))
+    latest = KeyedTable(spark, scratch_path(spark, "latest"), WINDOW)
+    windows = recent_record_windows(_stream(spark, trades.unionByName(trades)), USER_SETTINGS.window)
+    _finish(start(windows, latest.merge, scratch_path(spark, "checkpoint")))
+    return rounded(latest.current().withColumnRenamed("records", "record_count"))
 
 
 def _records_stream(spark: SparkSession, trades: DataFrame, copies: int) -> DataFrame:
@@ -218,59 +238,76 @@ def _records_stream(spark: SparkSession, trades: DataFrame, copies: int) -> Data
     return decode_records(raw)
 
 
-def _bucket_state(spark: SparkSession, folder: str, copies: int) -> RecentBuckets:
-    state = RecentBuckets(
-        spark,
-        scratch_path(spark, "state"),
-        USER_SETTINGS.window,
-        USER_BUCKET_MS,
-    )
+def _bucket_state(spark: SparkSession, folder: str, copies: int) -> str:
+    """Checkpoint of a stream of records that has come to its end."""
+    checkpoint = scratch_path(spark, "checkpoint")
     records = _records_stream(spark, user_events(spark, folder), copies)
-    _finish(
-        start(
-            records,
-            lambda batch, batch_id: state.update(batch, batch_id),
-            scratch_path(spark, "checkpoint"),
-        )
-    )
-    return state
+    windows = recent_bucket_windows(records, USER_SETTINGS.window, USER_BUCKET_MS)
+    _finish(start(windows, _nowhere, checkpoint))
+    return checkpoint
+
+
+def _recent_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    held = materialise(stored_buckets(spark, checkpoint), "held")
+    return rounded(bk.retain_recent(held, params.duration_ms(USER_SETTINGS.window)))
 
 
 def buckets_of_stream(spark: SparkSession, folder: str) -> DataFrame:
-    state = _bucket_state(spark, folder, copies=1)
-    return rounded(bk.retain_recent(state.buckets.current(), state.length))
+    """The buckets that the stream's state holds, read from the state itself."""
+    return _recent_state(spark, _bucket_state(spark, folder, copies=1))
 
 
 def replay_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     """All records are delivered a second time; sequence checkpoints make that a no-op."""
-    state = _bucket_state(spark, folder, copies=2)
-    return rounded(bk.retain_recent(state.buckets.current(), state.length))
+    return _recent_state(spark, _bucket_state(spark, folder, copies=2))
+
+
+def checkpoints_of_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The sequences that the stream's state has reached, read from the state itself."""
+    return stored_checkpoints(spark, _bucket_state(spark, folder, copies=1))
 
 
 def hybrid_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Records to stored hybrid rows in one stream: decode, state, baseline join, score, upsert."""
     trades, rows = _user_baselines(spark, folder)
     stats = materialise(rows, "baselines")
-    path = scratch_path(spark, "hybrid")
-    state = RecentBuckets(
-        spark, path, STREAM_SETTINGS.window, STREAM_SETTINGS.bucket_ms
+    view = _view_of(spark, Refreshing(lambda: stats))
+    windows = recent_bucket_windows(
+        _records_stream(spark, trades, 1), STREAM_SETTINGS.window, STREAM_SETTINGS.bucket_ms
     )
-    view = HybridView(
-        spark,
-        path,
-        state,
-        Refreshing(lambda: stats),
-        STREAM_SETTINGS,
-        clock_ms=lambda: OBSERVED_AT,
-    )
-    _finish(start(_records_stream(spark, trades, 1), view, scratch_path(spark, "checkpoint")))
+    _finish(start(windows, view, scratch_path(spark, "checkpoint")))
     return rounded(view.latest.current())
 
 
+def run_of_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """What Spark reports of a stream over the trades, by way of its log."""
+    arriving = clean_events(_stream(spark, events(spark, folder)))
+    seen = observe_latency(arriving, F.col("ingest_time") - F.col("event_time"))
+    log, path = RunLog(), scratch_path(spark, "runs")
+    spark.streams.addListener(log)
+    try:
+        query = start(seen, _nowhere, scratch_path(spark, "checkpoint"))
+        _finish(query)
+        log.wait(str(query.runId))
+    finally:
+        spark.streams.removeListener(log)
+    log.write(spark, path)
+    totals = run_totals(read_log(spark, path, schemas.BATCH_LOG).where(F.col("run_id") == str(query.runId)))
+    return totals.select(
+        "sent_records",
+        "failed_records",
+        "successful_records",
+        "minimum_latency_ms",
+        "maximum_latency_ms",
+        (F.col("batches") >= 1).alias("has_batches"),
+        (F.col("achieved_throughput") > 0).alias("has_rate"),
+    )
+
+
 def archive_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Trades archived by date, hour and symbol, scanned again."""
     path = scratch_path(spark, "archive")
-    arriving = read_event_stream(spark, _staged(spark, events(spark, folder), 1))
+    arriving = read_event_stream(spark, _staged(spark, events(spark, folder)))
     _finish(
         sinks.archive_events(
             arriving, path, scratch_path(spark, "checkpoint"), every=None, writers=1
@@ -301,7 +338,9 @@ QUERIES: dict[str, Query] = {
     "stream_sliding": sliding_of_stream,
     "stream_buckets": buckets_of_stream,
     "replay_idempotent": replay_of_stream,
+    "stream_checkpoints": checkpoints_of_stream,
     "stream_hybrid": hybrid_of_stream,
+    "stream_run_log": run_of_stream,
     "stream_archive": archive_of_stream,
     "stream_json_lines": json_lines_of_stream,
 }
@@ -321,12 +360,8 @@ m AS (SELECT * FROM e WHERE trade_id % 10 <> 0
          > (SELECT max(event_time) FROM e WHERE trade_id % 10 > 1) - 604800000),
 {sql_windows()}
 SELECT {SQL_WINDOW_COLUMNS} FROM w""",
-    "stream_expiry": f"""WITH {_USERS},
-t AS (SELECT symbol, max(event_time) FILTER (trade_id % 3 = 0) AS a,
-        max(event_time) FILTER (trade_id % 3 = 1) AS b, max(event_time) FILTER (trade_id % 3 = 2) AS c
-      FROM u GROUP BY symbol)
-SELECT symbol, greatest(CASE WHEN b IS NOT NULL THEN a END, b, c) AS newest
-FROM t WHERE b IS NOT NULL OR c IS NOT NULL""",
+    "stream_expiry": f"""WITH {_USERS}
+SELECT symbol, max(event_time) AS newest FROM u WHERE trade_id % 2 = 1 GROUP BY symbol""",
     "baseline_refresh": f"""{_USER_HISTORY}, {_sql_recent("u", 86_400_000, 1)},
 {sql_scores("r", str(OBSERVED_AT), min_liquidity=0.0)}
 SELECT {SQL_SCORE_COLUMNS},
@@ -344,11 +379,21 @@ FROM (SELECT * FROM m UNION ALL SELECT * FROM m WHERE base_asset = 'VIEW' AND la
     "stream_sliding": RECENT_SQL["sliding_latest"],
     "stream_buckets": _RECENT_BUCKETS,
     "replay_idempotent": _RECENT_BUCKETS,
+    "stream_checkpoints": f"""WITH {_USERS},
+d AS (SELECT *, CASE WHEN last_price < 200 THEN 'shard-' || (event_time // 60000) % 4 ELSE 'unknown' END
+        AS shard FROM u)
+SELECT symbol, shard, CAST(max(trade_id + 1) AS VARCHAR) AS sequence FROM d GROUP BY symbol, shard""",
     "stream_hybrid": f"""{_USER_HISTORY}, {_BUCKET_ROLLUP.replace("HAVING count(*) >= 2", "")},
 {sql_scores("r", str(OBSERVED_AT), min_liquidity=0.0)}
 SELECT {SQL_SCORE_COLUMNS},
   CAST({OBSERVED_AT // 1000 + STREAM_SETTINGS.state_retention_seconds} AS BIGINT) AS expires_at
 FROM s""",
+    "stream_run_log": f"""WITH {SQL_EVENTS}
+SELECT count(*) AS sent_records, 0::BIGINT AS failed_records, count(*) AS successful_records,
+  CAST(min(ingest_time - event_time) AS DOUBLE) AS minimum_latency_ms,
+  CAST(max(ingest_time - event_time) AS DOUBLE) AS maximum_latency_ms,
+  true AS has_batches, true AS has_rate
+FROM m""",
     "stream_archive": f"WITH {SQL_EVENTS} SELECT {_EVENT_COLUMNS} FROM m",
     "stream_json_lines": f"WITH {SQL_EVENTS} SELECT {_EVENT_COLUMNS} FROM m",
 }

@@ -155,3 +155,14 @@ LOAD_LOG = _struct(
     ("started_at", _STRING),
     ("ended_at", _STRING),
 )
+
+BATCH_LOG = _struct(
+    ("run_id", _STRING),
+    ("batch_id", _LONG),
+    ("started_at", T.TimestampType()),
+    ("input_records", _LONG),
+    ("runtime_seconds", _DOUBLE),
+    ("records", _LONG),
+    ("minimum_latency_ms", _DOUBLE),
+    ("maximum_latency_ms", _DOUBLE),
+)

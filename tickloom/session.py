@@ -17,6 +17,7 @@ RECOMMENDED_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 # Shuffles start with many small partitions, which adaptive execution joins up to the advised size.
 # Two hundred, the default, would leave partitions of several gigabytes at the intended scale.

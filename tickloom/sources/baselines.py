@@ -65,3 +65,15 @@ def read_baselines(spark: SparkSession, path: str) -> DataFrame:
         .select("symbol", "row.*")
         .select(*schemas.BASELINE.fieldNames())
     )
+
+
+def baseline_stamp(spark: SparkSession, path: str) -> int | None:
+    """When the baselines at ``path`` were last written whole; None while they are being written."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = make(f"{path.rstrip('/')}/_SUCCESS")
+    if files.exists(done):
+        return files.getFileStatus(done).getModificationTime()
+    if not files.exists(make(path)) or files.exists(make(f"{path.rstrip('/')}/_temporary")):
+        return None
+    return files.getFileStatus(make(path)).getModificationTime()

@@ -1,4 +1,4 @@
-"""Recent-window state of a stream and the hybrid view it serves."""
+"""The hybrid view of a stream: recent windows scored against baselines that may change."""
 
 from __future__ import annotations
 
@@ -11,190 +11,85 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import params, schemas
-from tickloom.functions import events as fn
-from tickloom.operators import buckets as bk
-from tickloom.operators.clean import clean_events
-from tickloom.operators.dedupe import dedupe_trades
-from tickloom.operators.latest import newest_times, recent_events
-from tickloom.operators.replay import advance_checkpoints, new_records
 from tickloom.operators.score import score_windows
-from tickloom.operators.sliding import roll_up_events
-from tickloom.sources.events import split_malformed
-from tickloom.streaming.tables import BatchTable, upsert_by_symbol
+from tickloom.session import RECOMMENDED_CONF, materialise
+from tickloom.streaming.tables import KeyedTable
 
-CHECKPOINT = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("symbol", "shard", "sequence")]
-)
 _EXPIRY = T.StructField("expires_at", T.LongType())
-STORED_BUCKET = T.StructType([*schemas.SYMBOL_BUCKET.fields, _EXPIRY])
-STORED_EVENT = T.StructType([*schemas.EVENT.fields, _EXPIRY])
 STORED_SCORE = T.StructType([*schemas.SCORE.fields, _EXPIRY])
-_SHARD_COLUMNS = ("_shard_id", "_sequence")
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+_IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def _now_ms() -> int:
     return int(time.time() * 1000)
 
 
-class _Retention:
-    """Expiry of a symbol's state: ``seconds`` after its last micro-batch, or never."""
-
-    def __init__(self, seconds: int | None, clock_ms: Callable[[], int]) -> None:
-        self._seconds, self._clock_ms = seconds, clock_ms
-
-    def alive(self, stored: DataFrame) -> DataFrame:
-        if self._seconds is None:
-            return stored
-        return stored.where(F.col("expires_at") > self._clock_ms() // 1000)
-
-    def symbols(self, stored: DataFrame, arrived: DataFrame, time: str) -> DataFrame:
-        """Newest time and expiry of every symbol in the state or the micro-batch."""
-        expiry = None if self._seconds is None else self._clock_ms() // 1000 + self._seconds
-        return (
-            stored.select("symbol", time, "expires_at")
-            .unionByName(
-                arrived.select("symbol", time, F.lit(expiry).cast("long").alias("expires_at"))
-            )
-            .groupBy("symbol")
-            .agg(F.max(time).alias("newest"), F.max("expires_at").alias("expires_at"))
-        )
-
-
-class RecentBuckets:
-    """Time buckets of the recent window of every symbol, with replay checkpoints.
+class Refreshing:
+    """Rows that are loaded now and then, kept as a written table of their own in between.
 
-    A micro-batch is reduced to buckets with partial aggregation before it meets the state, so a
-    symbol with most of the traffic costs one row per bucket. The state holds at most one row per
-    symbol and bucket of a window, plus the bucket the cutoff falls into.
+    What was loaded stays readable when its source is overwritten. ``stamp`` tells versions of the
+    source apart, None while it is being written: rows read while it changed do not count. The rows kept
+    then stay, as they do when loading fails, and the next call tries again.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        window: str = params.DEFAULT_WINDOW,
-        bucket_ms: int = params.DEFAULT_BUCKET_MS,
-        retention_seconds: int | None = None,
-        clock_ms: Callable[[], int] = _now_ms,
-    ) -> None:
-        self.length, self.bucket_ms = params.duration_ms(window), bucket_ms
-        self.retention = _Retention(retention_seconds, clock_ms)
-        self.buckets = BatchTable(spark, f"{path}/buckets", STORED_BUCKET)
-        self.checkpoints = BatchTable(spark, f"{path}/checkpoints", CHECKPOINT)
-
-    def update(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """Merge a micro-batch; returns the buckets of all symbols after it."""
-        if set(_SHARD_COLUMNS) <= set(batch.columns):
-            seen = self.checkpoints.before(batch_id)
-            batch = new_records(batch, seen)
-            self.checkpoints.write(advance_checkpoints(batch, seen), batch_id)
-            self.checkpoints.prune(batch_id)
-        columns = schemas.SYMBOL_BUCKET.fieldNames()
-        stored = self.retention.alive(self.buckets.before(batch_id))
-        arrived = bk.time_buckets(batch, self.bucket_ms).persist()
-        cutoff = F.col("newest") - F.lit(self.length).cast("long")
-        # Whole buckets from the cutoff's own on, whatever they hold yet: an event that arrives
-        # late into that bucket must still find it, in any order of arrival.
-        kept = (
-            bk.merge_buckets(stored.select(*columns), arrived)
-            .join(self.retention.symbols(stored, arrived, "last_event_time"), "symbol")
-            .where(F.col("bucket_start") >= fn.aligned_start(cutoff, self.bucket_ms))
-        )
-        written = self.buckets.write(kept, batch_id)
-        arrived.unpersist()
-        self.buckets.prune(batch_id)
-        return written.select(*columns)
-
-    def recent(self, buckets: DataFrame, min_buckets: int) -> DataFrame:
-        newest = newest_times(buckets, "last_event_time")
-        return bk.roll_up_buckets(bk.retain_recent(buckets, self.length, newest), min_buckets)
-
-    def state(self) -> DataFrame:
-        """One row per symbol: buckets, checkpoints, newest time."""
-        buckets = self.buckets.current().drop("expires_at")
-        newest = newest_times(buckets, "last_event_time")
-        return bk.bucket_state(
-            bk.retain_recent(buckets, self.length, newest), self.checkpoints.current()
-        )
-
-
-class RecentRecords:
-    """Single events of the recent window of every symbol, each trade id once."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        window: str = params.DEFAULT_WINDOW,
-        retention_seconds: int | None = None,
-        clock_ms: Callable[[], int] = _now_ms,
-    ) -> None:
-        self.length = params.duration_ms(window)
-        self.retention = _Retention(retention_seconds, clock_ms)
-        self.records = BatchTable(spark, f"{path}/records", STORED_EVENT)
-
-    def update(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """Merge a micro-batch; returns the events of all recent windows after it."""
-        columns = list(schemas.EVENT_COLUMNS)
-        arrived = batch.select(*columns)
-        stored = self.retention.alive(self.records.before(batch_id))
-        symbols = self.retention.symbols(stored, arrived, "event_time")
-        together = stored.select(*columns).unionByName(arrived)
-        recent = recent_events(together, symbols.select("symbol", "newest"), self.length)
-        kept = dedupe_trades(recent).join(symbols.select("symbol", "expires_at"), "symbol")
-        written = self.records.write(kept, batch_id)
-        self.records.prune(batch_id)
-        return written.select(*columns)
-
-    def recent(self, records: DataFrame, min_records: int) -> DataFrame:
-        return roll_up_events(records, min_records)
-
-
-class Refreshing:
-    """Keeps a loaded frame for ``seconds`` and loads it again after that."""
-
     def __init__(
         self,
         load: Callable[[], DataFrame],
         seconds: float = params.DEFAULT_BASELINE_REFRESH_SECONDS,
         clock: Callable[[], float] = time.monotonic,
+        stamp: Callable[[], object] = lambda: 0,
     ) -> None:
-        self._load, self._seconds, self._clock = load, seconds, clock
+        self._load, self._seconds, self._clock, self._stamp = load, seconds, clock, stamp
         self._frame: DataFrame | None = None
         self._loaded_at = 0.0
 
+    def _loaded(self) -> DataFrame | None:
+        before = self._stamp()
+        if before is None:
+            return None
+        rows = materialise(self._load(), "refreshed")
+        return rows if self._stamp() == before else None
+
     def get(self) -> DataFrame:
-        if self._frame is None or self._clock() - self._loaded_at >= self._seconds:
-            self._frame, self._loaded_at = self._load(), self._clock()
+        if self._frame is not None and self._clock() - self._loaded_at < self._seconds:
+            return self._frame
+        try:
+            loaded = self._loaded()
+        except Exception:
+            if self._frame is None:
+                raise
+            loaded = None
+        if loaded is not None:
+            self._frame, self._loaded_at = loaded, self._clock()
+        if self._frame is None:
+            raise RuntimeError("the source is being written")
         return self._frame
 
 
 class HybridView:
-    """Micro-batch step: update the state, score the symbols that moved, store their latest row.
+    """Micro-batch step on recent windows: score them and store the latest row of each symbol.
 
-    Symbols without a baseline keep their state and are scored once they have one. Only symbols
-    of the batch are scored again; the others keep their stored row.
+    Symbols without a baseline are scored once they have one. Only symbols of the batch are scored
+    again, and only the parts of the table they fall into are written; the others keep their row.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         path: str,
-        state: RecentBuckets | RecentRecords,
         baselines: Refreshing,
         settings: params.Params = params.Params(),
         clock_ms: Callable[[], int] = _now_ms,
     ) -> None:
-        self.state, self.baselines, self.settings, self.clock_ms = state, baselines, settings, clock_ms
-        self.latest = BatchTable(spark, f"{path}/latest", STORED_SCORE)
+        self.baselines, self.settings, self.clock_ms = baselines, settings, clock_ms
+        self.latest = KeyedTable(spark, f"{path}/latest", STORED_SCORE)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        moved = batch.select("symbol").distinct()
-        after = self.state.update(batch, batch_id).join(moved, "symbol", "left_semi")
+    def __call__(self, windows: DataFrame, batch_id: int) -> None:
         now = self.clock_ms()
         scores = score_windows(
-            self.state.recent(after, self.settings.min_records),
+            windows.where(F.col("records") >= self.settings.min_records),
             self.baselines.get(),
             now,
             self.settings.min_liquidity,
@@ -204,35 +99,42 @@ class HybridView:
             "expires_at",
             F.lit(now // 1000 + self.settings.state_retention_seconds).cast("long"),
         )
-        upsert_by_symbol(self.latest, scores, batch_id, now_seconds=now // 1000)
-        batch.unpersist()
-
-
-class Quarantine:
-    """Micro-batch step on raw lines: bad ones go to a folder of the batch, events to ``step``."""
-
-    def __init__(self, step: Callable[[DataFrame, int], None], path: str) -> None:
-        self.step, self.path = step, path
+        self.latest.merge(scores, batch_id, now // 1000)
 
-    def __call__(self, lines: DataFrame, batch_id: int) -> None:
-        lines = lines.persist()
-        good, bad = split_malformed(lines)
-        bad.write.mode("overwrite").text(f"{self.path}/batch={batch_id}")
-        self.step(clean_events(good, lenient=True), batch_id)
-        lines.unpersist()
+    def served(self) -> DataFrame:
+        """The stored rows that have not expired."""
+        return self.latest.current(self.clock_ms() // 1000)
 
 
 def start(
-    events: DataFrame,
+    frame: DataFrame,
     step: Callable[[DataFrame, int], None],
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Run ``step`` per micro-batch: every ``every``, or over what is there and then stop."""
+    """Run ``step`` per micro-batch: every ``every``, or over what is there and then stop.
+
+    Keyed state needs the RocksDB store, which writes what a batch changed and not its files. State that expires makes Spark run micro-batches without input
+    for ever, so a run that is to stop goes without them. A query keeps the settings it starts with.
+    """
+    wanted = {name: RECOMMENDED_CONF[name] for name in (_STORE, _CHANGELOG)}
+    if every is None:
+        wanted[_IDLE_BATCHES] = "false"
+    conf = frame.sparkSession.conf
+    given = {name: conf.get(name, None) for name in wanted}
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return (
-        events.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    try:
+        for name, value in wanted.items():
+            conf.set(name, value)
+        return (
+            frame.writeStream.foreachBatch(step)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )
+    finally:
+        for name, value in given.items():
+            if value is None:
+                conf.unset(name)
+            else:
+                conf.set(name, value)

@@ -10,7 +10,7 @@ from tickloom.operators.serving import serving_rows
 from tickloom.plans.hybrid import serving_views
 from tickloom.sinks.tables import snapshot_document
 from tickloom.streaming.hybrid import HybridView
-from tickloom.streaming.tables import BatchTable, upsert_by_symbol
+from tickloom.streaming.tables import KeyedTable, Published
 
 STORED_ROW = T.StructType(
     [
@@ -30,7 +30,8 @@ class ServingRefresh:
     """Micro-batch step: update the hybrid view, then publish its top lists.
 
     Both lists come from one read of the stored rows, so they agree with each other. The trigger
-    of the stream is the refresh interval; a run that ends refreshes a last time by itself.
+    of the stream is the refresh interval; a run that ends refreshes a last time by itself. The rows
+    are those of two lists of ``top_n`` until they expire, so one part holds them.
     """
 
     def __init__(
@@ -42,19 +43,17 @@ class ServingRefresh:
         retention_seconds: int = params.DEFAULT_SERVING_RETENTION_SECONDS,
     ) -> None:
         self.view, self.top_n, self.retention_seconds = view, top_n, retention_seconds
-        self.documents = BatchTable(spark, f"{path}/document", DOCUMENT)
-        self.rows = BatchTable(spark, f"{path}/rows", STORED_ROW)
+        self.documents = Published(spark, f"{path}/document", DOCUMENT)
+        self.rows = KeyedTable(spark, f"{path}/rows", STORED_ROW, "result_key", 1)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.view(batch, batch_id)
-        scores = self.view.latest.current().select(*schemas.SCORE_COLUMNS)
+    def __call__(self, windows: DataFrame, batch_id: int) -> None:
+        self.view(windows, batch_id)
+        scores = self.view.served().select(*schemas.SCORE_COLUMNS)
         trending, spikes = serving_views(scores, self.top_n)
-        # a folder per batch: readers keep the last whole document until the next one is written
+        # readers keep the last whole document until the next one is published
         self.documents.write(snapshot_document(trending, spikes), batch_id)
-        self.documents.prune(batch_id)
         now = self.view.clock_ms() // 1000
-        stored = serving_rows(trending, spikes, now + self.retention_seconds)
-        upsert_by_symbol(self.rows, stored, batch_id, "result_key", now)
+        self.rows.merge(serving_rows(trending, spikes, now + self.retention_seconds), batch_id, now)
 
     def document(self) -> DataFrame:
         """The newest published document, one row with its JSON text."""

@@ -63,6 +63,19 @@ def append_json_lines(
     )
 
 
+def append_quarantine(
+    bad: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Raw text of malformed lines, apart from the good ones."""
+    return (
+        bad.select("raw")
+        .writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .format("text")
+        .start(path)
+    )
+
+
 def print_events(events: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
     columns = [name for name in schemas.EVENT_COLUMNS if name in events.columns]
     return (
