@@ -5,6 +5,7 @@ import collections
 import cases
 from pyspark.sql import functions as F
 
+from tickloom.llm import shuffling
 from tickloom.llm.shuffling import shuffle_to_shards, write_shards
 
 
@@ -29,6 +30,21 @@ def test_shards_differ_by_a_row_and_slots_have_no_gap(spark):
     assert sum(a < b for a, b in zip(order, order[1:])) in range(400, 600)
 
 
+def test_places_do_not_depend_on_the_join(spark, monkeypatch):
+    docs = cases.documents(spark, [(i, f"text {i}" * (i % 9), "en", "a", 0) for i in range(500)])
+    got = placed(shuffle_to_shards(docs, bucket_bytes=2000))
+    monkeypatch.setattr(shuffling, "BROADCAST_BUCKETS", 0)
+    given = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for threshold, adaptive in (("-1", "true"), ("-1", "false"), ("10MB", "false")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            assert placed(shuffle_to_shards(docs, bucket_bytes=2000)) == got
+    finally:
+        for name, value in given.items():
+            spark.conf.set(name, value)
+
+
 def test_buckets_are_shuffled_inside(spark):
     rows = [(i, "same size", "en", "a", 0) for i in range(200)]
     docs = cases.documents(spark, rows)

@@ -66,10 +66,12 @@ def shuffle_to_shards(
         .sortWithinPartitions("bucket", "key", F.col("record.doc_id"))
         .groupBy("bucket")
         .agg(F.collect_list("record").alias("records"))
+        # the shuffle draws by the number of its partition, which here is that of the bucket: behind a
+        # join it could be any
+        .select("bucket", F.posexplode(F.shuffle("records", seed)).alias("at", "record"))
     )
     placed = (
         gathered.join(offsets, F.col("bucket") == F.col("b"))
-        .select("offset", F.posexplode(F.shuffle("records", seed)).alias("at", "record"))
         .withColumn("place", F.col("offset") + F.col("at"))
     )
     return placed.select(
