@@ -11,10 +11,14 @@ MAX_ROUNDS = 60
 
 
 def _stars(links: DataFrame) -> DataFrame:
-    """Every link from both its ends, with the smallest node among the end and its neighbours."""
+    """Every link from both its ends, with the smallest node among the end and its neighbours.
+
+    The smallest nodes are written first: a join of two plain scans is one whose hubs adaptive execution
+    can split.
+    """
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("least"))
-    return both.join(least, "a")
+    return both.join(materialise(least, "least"), "a")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -27,7 +31,8 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
+    down = materialise(down, "down")
+    least = materialise(down.groupBy("a").agg(F.min("b").alias("least")), "least")
     smaller = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     own = least.select("a", F.col("least").alias("b"))
     return smaller.where("a != b").unionByName(own).distinct()

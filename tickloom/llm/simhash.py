@@ -212,12 +212,15 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one document of each component: the smallest id, of equal ids the smallest text
     hash, of equal texts any one row."""
-    groups = near_duplicates(docs, radius)
-    chosen = groups.groupBy("fp", "component_id").agg(
+    reach_workers(docs.sparkSession)
+    signed = materialise(fingerprints(docs), "fingerprints")
+    # one row per fingerprint before anything is joined, however many documents share it
+    least = signed.groupBy("fp").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "t")).alias("least")
     )
     chosen = (
-        chosen.groupBy("component_id")
+        least.join(components(signed, radius), "fp")
+        .groupBy("component_id")
         .agg(F.min("least").alias("least"))
         .select(F.col("least.id").alias("id"), F.col("least.t").alias("t"))
     )
