@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.session import reach_workers as reach_workers
+
 SPACES = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,17 +51,5 @@ def packed(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
 
 
-def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers that share this file system import the package from where it lies.
-
-    On a cluster the package comes with ``--py-files``; the path then names nothing there.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment
-    paths = known.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        known["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
