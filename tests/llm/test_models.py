@@ -114,7 +114,7 @@ def test_passages_cover_the_whole_text():
     sizes = [0, 1, 63, 64, 65, 0, 500, 64]
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     ratios = rng.normal(0, 3, offsets[-1]).astype(np.float32)
-    strong = ratios - np.clip(ratios, -1.5, 1.5)
+    strong = ratios - np.clip(ratios, -toxicity.MILD, toxicity.MILD)
     want = []
     for a, b in zip(offsets, offsets[1:]):
         own = strong[a:b]
@@ -126,7 +126,7 @@ def test_passages_cover_the_whole_text():
 def test_short_texts_score_the_mean_of_their_own_words(spark):
     offsets = np.array([0, 0, 1, 21, 84, 148, 213])
     ratios = np.random.default_rng(5).normal(0, 3, offsets[-1]).astype(np.float32)
-    strong = ratios - np.clip(ratios, -1.5, 1.5)
+    strong = ratios - np.clip(ratios, -toxicity.MILD, toxicity.MILD)
     want = [0.0] + [strong[a:b].mean() for a, b in zip(offsets[1:5], offsets[2:6])]
     assert passage_scores(ratios, offsets, 64, least=1)[:5] == pytest.approx(want, abs=1e-5)
     docs, labels = corpus(spark)
