@@ -364,6 +364,20 @@ def test_partitioned_catalog_table_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(symbol" in df._jdf.queryExecution().toString()
 
 
+def test_newest_days_open_no_other_folders(spark, tmp_path):
+    """B has been silent for a year: the days between its last ones and A's are not opened."""
+    path, day = tmp_path / "t", 86_400_000
+    rows = [event("A", START + d * day + i, 5.0, trade_id=d * 10 + i) for d in (0, 300, 364, 365) for i in range(2)]
+    rows += [event("B", START + i, 5.0, trade_id=i) for i in range(2)]
+    tables.write_event_table(frame(spark, rows), str(path))
+    first = datetime.date(2027, 1, 1)
+    for part in (path / f"date={first + datetime.timedelta(300)}").rglob("*.parquet"):
+        part.write_bytes(b"broken")
+    read = event_files.read_newest_days(spark, str(path))
+    assert sorted(r["trade_id"] for r in read.collect()) == [0, 1, 3640, 3641, 3650, 3651]
+    assert "dynamicpruning" in read._jdf.queryExecution().toString()
+
+
 def test_event_table_prunes_and_replaces_days(spark, tmp_path):
     path, day = str(tmp_path / "t"), 86_400_000
     rows = [event(s, START + d * day + i, 5.0, trade_id=i) for s in ("A", "B") for d in range(3) for i in range(2)]

@@ -76,8 +76,11 @@ def main(argv: Sequence[str] | None = None) -> int:
     view = HybridView(spark, f"{args.target}/view", baselines, chosen)
     refresh = ServingRefresh(spark, f"{args.target}/serving", view, chosen.top_n)
     queries.append(start(windows, refresh, f"{args.target}/checkpoint", every))
-    for query in queries:
-        query.awaitTermination()
+    if every is not None:
+        spark.streams.awaitAnyTermination()
+    else:
+        for query in queries:
+            query.awaitTermination()
     return 0
 
 

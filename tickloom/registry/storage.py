@@ -12,12 +12,13 @@ from pyspark.sql import types as T
 from tickloom import adapters, schemas
 from tickloom.operators import daily
 from tickloom.operators.clean import clean_events
+from tickloom.operators.sliding import latest_sliding
 from tickloom.operators.windows import event_windows
 from tickloom.plans import hybrid, views
 from tickloom.plans.batch import run_batch
 from tickloom.registry import Query
 from tickloom.registry.recent import ORACLES as RECENT_SQL
-from tickloom.registry.recent import _sensitive_users, _user_baselines
+from tickloom.registry.recent import _sensitive_users, _sql_recent, _user_baselines
 from tickloom.registry.history import ORACLES as HISTORY_SQL
 from tickloom.registry.shared import (
     HOUR,
@@ -37,6 +38,8 @@ from tickloom.sources import archive
 from tickloom.sources.baselines import read_baselines
 from tickloom.sources import events as event_files
 
+# Midnight of 2024-01-06.
+CLICKS_END = 1_704_499_200_000
 _EVENT_ONLY = ("schema_version", "event_type", "event_timestamp")
 
 
@@ -204,6 +207,15 @@ def incremental_baselines(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(checked.drop("below", "upto"))
 
 
+def event_table_recent(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest day of each symbol out of the table by date and symbol, where clicks end early: only
+    the days next to a symbol's last trade are opened."""
+    quiet = (F.col("symbol") == "CLICKUSDT") & (F.col("event_time") >= CLICKS_END)
+    table = scratch_path(spark, "event-table")
+    tables.write_event_table(events(spark, folder).where(~quiet), table)
+    return rounded(latest_sliding(event_files.read_newest_days(spark, table), "1 day", 1))
+
+
 def event_table_days(spark: SparkSession, folder: str) -> DataFrame:
     """Totals of two symbols over ten days; only their folders are opened."""
     rows = event_files.read_event_table(
@@ -292,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "batch_deduped": batch_deduped,
     "event_table_batch": event_table_batch,
     "event_table_days": event_table_days,
+    "event_table_recent": event_table_recent,
     "incremental_baselines": incremental_baselines,
     "archive_by_day": archive_by_day,
     "scan_strict": scan_strict,
@@ -323,6 +336,11 @@ SELECT symbol, count(*) AS trades, round(sum(quote_volume), 6) AS volume,
 FROM m WHERE symbol IN ('CLICKUSDT', 'VIEWUSDT')
   AND make_timestamp(event_time * 1000)::DATE BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'
 GROUP BY symbol""",
+    "event_table_recent": f"""WITH {SQL_EVENTS},
+q AS (SELECT * FROM m WHERE symbol <> 'CLICKUSDT' OR event_time < {CLICKS_END}), {_sql_recent("q", 86_400_000, 1)}
+SELECT symbol, round(start_price, 6) AS start_price, round(end_price, 6) AS end_price,
+  round(quote_volume_5m, 6) AS quote_volume_5m, trade_count_5m, record_count, window_start,
+  window_end FROM r""",
     "incremental_baselines": f"""{SQL_HISTORY}
 SELECT * EXCLUDE (median_quote_volume_5m), true AS median_close FROM (SELECT {SQL_BASELINE_COLUMNS} FROM b)""",
     "batch_deduped": f"{SQL_HISTORY} SELECT {SQL_BASELINE_COLUMNS} FROM b",

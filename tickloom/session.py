@@ -96,10 +96,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(name)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(name, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(
-        f"{shared_folder(spark)}/tickloom-{spark.sparkContext.applicationId}"
-    )
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, f"{shared_folder(spark)}/tickloom-{spark.sparkContext.applicationId}")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom import schemas
+from tickloom.session import materialise
 
 # Fixed value: names of event files, those with one of three suffixes or none at all.
 EVENT_FILE_NAME = r"(?i)(^[^.]+$)|(\.(json|jsonl|gz)$)"
@@ -58,6 +59,27 @@ def read_event_table(
     return _by_date(spark.read.schema(schema).parquet(path), since, until, symbols)
 
 
+def read_newest_days(spark: SparkSession, path: str, days_before: int = 1) -> DataFrame:
+    """Events of the event table from each symbol's newest day and the ``days_before`` it.
+
+    The newest days come from the files' paths alone, of which none is opened. The table is joined with
+    them, so Spark prunes its folders when the query runs: a symbol that has been silent for a year
+    opens its own last days, and of other symbols at most these same days, not the year between.
+    """
+    schema = T.StructType([*schemas.EVENT.fields, T.StructField("date", T.DateType())])
+    table = spark.read.schema(schema).parquet(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    newest = files.groupBy(F.col("symbol").cast("string").alias("symbol")).agg(
+        F.max(F.col("date").cast("date")).alias("newest")
+    )
+    days = F.sequence(F.date_sub("newest", days_before), F.col("newest"))
+    wanted = materialise(newest.select("symbol", F.explode(days).alias("date")), "newest-days")
+    oldest = wanted.agg(F.min("date")).first()[0]
+    # a filter on the small side is what lets Spark prune by it
+    chosen = wanted.where(F.col("date") >= F.lit(oldest))
+    return table.join(chosen, ["symbol", "date"], "left_semi").select(*schemas.EVENT_COLUMNS)
+
+
 def read_archived_events(
     spark: SparkSession,
     path: str,

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import params, schemas
 from tickloom.operators.score import score_windows
-from tickloom.session import RECOMMENDED_CONF, materialise
+from tickloom.session import RECOMMENDED_CONF, delete_path, scratch_path
 from tickloom.streaming.tables import KeyedTable
 
 _EXPIRY = T.StructField("expires_at", T.LongType())
@@ -31,7 +31,8 @@ class Refreshing:
 
     What was loaded stays readable when its source is overwritten. ``stamp`` tells versions of the
     source apart, None while it is being written: rows read while it changed do not count. The rows kept
-    then stay, as they do when loading fails, and the next call tries again.
+    then stay, as they do when loading fails, and the next call tries again. The copy before the last
+    one is deleted.
     """
 
     def __init__(
@@ -44,13 +45,22 @@ class Refreshing:
         self._load, self._seconds, self._clock, self._stamp = load, seconds, clock, stamp
         self._frame: DataFrame | None = None
         self._loaded_at = 0.0
+        self._copies: list[str] = []
 
     def _loaded(self) -> DataFrame | None:
         before = self._stamp()
         if before is None:
             return None
-        rows = materialise(self._load(), "refreshed")
-        return rows if self._stamp() == before else None
+        rows = self._load()
+        spark = rows.sparkSession
+        self._copies.append(scratch_path(spark, "refreshed"))
+        rows.write.parquet(self._copies[-1])
+        if self._stamp() != before:
+            delete_path(spark, self._copies.pop())
+            return None
+        while len(self._copies) > 2:
+            delete_path(spark, self._copies.pop(0))
+        return spark.read.schema(rows.schema).parquet(self._copies[-1])
 
     def get(self) -> DataFrame:
         if self._frame is not None and self._clock() - self._loaded_at < self._seconds:
