@@ -3,7 +3,8 @@
 A text, A-Z in lower case, is cut into chunks of bytes. A chunk's fingerprint is the value of its
 bytes as a polynomial at a fixed point, modulo two primes, next to the point's power of the chunk's
 length. Two such pairs (h, s) and (h', s') compose to (h * s' + h', s * s'), so the chunks of a huge
-text are hashed apart from each other, wherever they lie, and their pairs are put together in order.
+text, of more than ``HUGE`` chunks, are dealt out and hashed by as many tasks as there are, and their
+pairs are put together in order. Those of other texts are hashed where they are read.
 
 Texts of equal length and fingerprint form a group. Equal fingerprints alone prove nothing: every
 member's chunks are compared, chunk by chunk, with those of the group's first row. Members that differ
@@ -31,6 +32,7 @@ from tickloom.llm.common import ascii_lower, reach_workers, text_of
 from tickloom.session import materialise
 
 CHUNK = 1 << 16
+HUGE = 16
 SALTED = 4096
 MAX_ROUNDS = 30
 # Primes below 2**31 and a point for each.
@@ -72,18 +74,24 @@ def chunks(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     if not 0 < chunk <= CHUNK:
         raise ValueError(f"a chunk has 1 to {CHUNK} bytes: {chunk}")
     reach_workers(docs.sparkSession)
-    text = F.encode(ascii_lower(text_of()), "UTF-8")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("bytes")).select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        F.sha2("bytes", 256).alias("sha256"),
-        F.octet_length("bytes").cast("long").alias("n_bytes"),
-        "bytes",
-    )
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     starts = F.sequence(F.lit(1), F.greatest(F.octet_length("bytes"), F.lit(1)), F.lit(chunk))
     cut = F.transform(starts, lambda at: F.substring("bytes", at, F.lit(chunk)))
-    spread = rows.select("row", "doc_id", "sha256", "n_bytes", F.posexplode(cut).alias("part", "chunk"))
-    return spread.mapInArrow(
+
+    def spread(some: DataFrame, odd: int) -> DataFrame:
+        lowered = some.select("doc_id", F.encode(ascii_lower(F.col("text")), "UTF-8").alias("bytes"))
+        return lowered.select(
+            (F.monotonically_increasing_id() * 2 + odd).alias("row"),
+            "doc_id",
+            F.sha2("bytes", 256).alias("sha256"),
+            F.octet_length("bytes").cast("long").alias("n_bytes"),
+            "bytes",
+        ).select("row", "doc_id", "sha256", "n_bytes", F.posexplode(cut).alias("part", "chunk"))
+
+    # lower case takes as many bytes
+    is_huge = F.octet_length("text") > HUGE * chunk
+    dealt = spread(texts.where(is_huge), 1).repartition("row", "part")
+    return spread(texts.where(~is_huge), 0).unionByName(dealt).mapInArrow(
         _hash_chunks(chunk),
         "row long, doc_id long, sha256 string, n_bytes long, part int, chunk binary, "
         "h1 long, s1 long, h2 long, s2 long",
