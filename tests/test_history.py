@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import datetime
 import json
 import math
@@ -17,7 +18,7 @@ from tickloom.functions import events as fn
 from tickloom.operators import baselines as base
 from tickloom.operators import ranking
 from tickloom.operators.clean import clean_events
-from tickloom.operators.dedupe import dedupe_trades
+from tickloom.operators.dedupe import dedupe_trades, split_repeated
 from tickloom.operators.latest import latest_rows
 from tickloom.operators import percentiles
 from tickloom.operators.percentiles import exact_percentiles
@@ -398,3 +399,42 @@ def test_durations():
     for text in ("5", "0 seconds", "1 month", "five minutes"):
         with pytest.raises(ValueError):
             params.duration_ms(text)
+
+
+def repeated_rows(seed: int, share: float):
+    """Random trades, ``share`` of them a second time with another price, and one id very often."""
+    rng = random.Random(seed)
+    rows = random_rows(seed, n=300)
+    again = [r[:5] + (r[5] + rng.randrange(3),) + r[6:] for r in rows if rng.random() < share]
+    hot = [event("HOTUSDT", rng.randrange(0, 40_000, 250), 5.0, trade_id=10**9) for _ in range(100 if share else 1)]
+    rows = rows + again + hot
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("longs", [1, 64, 1 << 20])
+@pytest.mark.parametrize("share", [0.0, 0.1, 1.0])
+def test_one_trade_per_id_whatever_the_filter_holds(spark, share, longs):
+    rows = repeated_rows(7, share)
+    got = sorted((tuple(r) for r in dedupe_trades(frame(spark, rows), longs).collect()), key=str)
+    best = {}
+    for r in rows:
+        key = (r[2], r[9])
+        rest = (r[4], *r[:2], r[3], *r[5:9])
+        if r[9] is not None and (key not in best or rest < best[key][0]):
+            best[key] = (rest, r)
+    want = [r for _, r in best.values()] + [r for r in rows if r[9] is None]
+    assert got == sorted(want, key=str)
+
+
+def test_only_rows_of_repeated_trades_are_shuffled(spark):
+    counts = []
+    for share in (0.0, 0.1, 1.0):
+        rows = repeated_rows(8, share)
+        single, suspects = split_repeated(frame(spark, rows))
+        counts.append(suspects.count())
+        assert single.count() + counts[-1] == len(rows)
+        ids = collections.Counter((r[2], r[9]) for r in rows if r[9] is not None)
+        assert counts[-1] == sum(n for n in ids.values() if n > 1)
+    assert counts[0] == 0 < counts[1] < counts[2]
+    assert "Exchange hash" not in single._jdf.queryExecution().toString()
