@@ -223,10 +223,11 @@ def test_single_baseline_object(spark, tmp_path, indent):
     assert row == BASELINE
 
 
-def test_layouts_mixed_in_one_folder(spark, tmp_path):
-    def named(*names):
-        return [{**BASELINE, "symbol": n} for n in names]
+def named(*names):
+    return [{**BASELINE, "symbol": n} for n in names]
+
 
+def test_layouts_mixed_in_one_folder(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"baselines": named("A", "B")}, indent=2))
     (tmp_path / "b.json").write_text("".join(json.dumps(r) + "\n" for r in named("C", "D", "E")))
     first, second = map(json.dumps, named("F", "G"))
@@ -322,3 +323,19 @@ def test_event_counts(spark):
     df = frame(spark, [event("A", 1, 1.0), event("A", 2, 1.0), event("B", 1, 1.0)])
     assert tuple(metrics.event_counts(df).first()) == (3, 2)
     assert tuple(metrics.event_counts(df.where("false")).first()) == (0, 0)
+
+
+def test_a_document_over_many_splits_is_put_together_in_order(spark, tmp_path):
+    symbols = [f"S{i:03d}" for i in range(300)]
+    (tmp_path / "a.json").write_text(json.dumps({"baselines": named(*symbols)}, indent=2))
+    (tmp_path / "b.json").write_text("\n".join(json.dumps(row) for row in named("X", "Y")))
+    given = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        found = [r["symbol"] for r in read_baselines(spark, str(tmp_path)).orderBy("symbol").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", given)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == [*symbols, "X", "Y"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import params, schemas
@@ -76,19 +76,21 @@ def write_baseline_envelope(baseline_rows: DataFrame, path: str, generated_at: s
 def snapshot_document(trending: DataFrame, spikes: DataFrame) -> DataFrame:
     """One row with the JSON document of two top-n lists, in order of their rank columns.
 
-    Both lists are limited to the rows a reader sees, so the document stays small.
+    Both lists are limited to the rows a reader sees, so the document stays small. They are gathered
+    by one aggregation, without a join.
     """
 
-    def listed(rows: DataFrame, rank: str, name: str) -> DataFrame:
+    def items(rows: DataFrame, rank: str, name: str) -> DataFrame:
         columns = [column for column in rows.columns if column not in ("rank", "spike_rank")]
-        item = F.struct(F.col(rank).alias("place"), F.struct(*sorted(columns)).alias("row"))
-        ordered = F.array_sort(F.collect_list(item))
-        return rows.agg(F.transform(ordered, lambda entry: entry["row"]).alias(name))
+        return rows.select(F.struct(F.col(rank).alias("place"), F.struct(*sorted(columns)).alias("row")).alias(name))
 
-    both = listed(trending, "rank", "trending").join(
-        F.broadcast(listed(spikes, "spike_rank", "spikes"))
+    def listed(name: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(name)), lambda entry: entry["row"]).alias(name)
+
+    both = items(trending, "rank", "trending").unionByName(
+        items(spikes, "spike_rank", "spikes"), allowMissingColumns=True
     )
-    return both.select(
+    return both.agg(listed("spikes"), listed("trending")).select(
         F.to_json(F.struct("spikes", "trending"), {"ignoreNullFields": "false"}).alias("value")
     )
 

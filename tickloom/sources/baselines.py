@@ -17,21 +17,28 @@ def _documents(spark: SparkSession, path: str) -> DataFrame:
     """Column ``value``: JSON documents, one per line where every line of a file is one, else one
     per file.
 
-    Each file is judged by itself. The names of files that hold one document over several lines are
-    listed when this is called, like the files of any source.
+    Each file is judged by itself. The lines of a file that is one document meet again in the order
+    of their split and of their place in it; no names or contents go through the driver.
     """
     lines = (
         spark.read.text(path)
-        .select(F.trim("value").alias("value"), F.input_file_name().alias("file"))
+        .select(
+            F.trim("value").alias("value"),
+            F.input_file_name().alias("file"),
+            F.input_file_block_start().alias("split"),
+            F.monotonically_increasing_id().alias("line"),
+        )
         .where("value != ''")
     )
     complete = F.col("value").rlike(r"^[{\[]") & F.try_parse_json("value").isNotNull()
-    spread = [r["file"] for r in lines.where(~complete).select("file").distinct().collect()]
-    documents = lines.where(~F.col("file").isin(spread) if spread else F.lit(True)).select("value")
-    if spread:
-        whole = spark.read.text(spread, wholetext=True)
-        documents = documents.unionByName(whole.select("value"))
-    return documents
+    spread = lines.where(~complete).select("file").distinct()
+    in_order = F.array_sort(F.collect_list(F.struct("split", "line", "value")))
+    whole = (
+        lines.join(spread, "file", "left_semi")
+        .groupBy("file")
+        .agg(F.array_join(F.transform(in_order, lambda line: line["value"]), "\n").alias("value"))
+    )
+    return lines.join(spread, "file", "left_anti").select("value").unionByName(whole.select("value"))
 
 
 def read_baselines(spark: SparkSession, path: str) -> DataFrame:
