@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import collections
+import zlib
 
 import cases
 from pyspark.sql import functions as F
 
 from tickloom.llm import shuffling
-from tickloom.llm.shuffling import shuffle_to_shards, write_shards
+from tickloom.llm.shuffling import scatter_copies, scatter_key, shuffle_to_shards, write_shards
 
 
 def placed(df):
@@ -70,3 +71,37 @@ def test_odd_rows_and_files(spark, tmp_path):
     write_shards(plain, path)
     back = spark.read.parquet(path)
     assert cases.rows_of(back.select("doc_id", "text", "shard", "slot")) == placed(plain)
+
+
+def test_many_equal_rows_scatter_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(shuffling, "COPIES_PER_TASK", 1000)
+    rows = [(1, "the same", "en", "a", 0)] * 20_000 + [(None, None, "en", f"s{i % 3}", 0) for i in range(3000)]
+    rows += [(i, f"text {i}", "en", "a", 0) for i in range(500)]
+    docs = cases.documents(spark, rows).repartition(8)
+    keyed = docs.select(F.struct("*").alias("record")).withColumn("key", scatter_key(F.col("record"), 23))
+    spread = scatter_copies(keyed)
+    per_bucket = spread.groupBy(F.pmod("key", F.lit(30))).count()
+    sizes = [r["count"] for r in per_bucket.collect()]
+    assert len(sizes) == 30 and sum(sizes) == len(rows) and max(sizes) < 1.3 * len(rows) / 30
+    out = shuffle_to_shards(docs, bucket_bytes=20_000)
+    got = placed(out)
+    assert sorted((r[:2] for r in got), key=repr) == sorted((r[:2] for r in rows), key=repr)
+    per_shard = collections.defaultdict(list)
+    for _, _, shard, slot in got:
+        per_shard[shard].append(slot)
+    assert all(sorted(slots) == list(range(len(slots))) for slots in per_shard.values())
+    assert max(map(len, per_shard.values())) - min(map(len, per_shard.values())) <= 1
+    assert placed(shuffle_to_shards(docs.repartition(3), bucket_bytes=20_000)) == got
+
+
+def test_columns_of_the_query(spark, tmp_path):
+    from tickloom.llm.queries import QUERIES
+
+    cases.documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op4_shard_shuffle"](spark, str(tmp_path)).collect()
+    want = sorted(
+        ((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, *_ in cases.ROWS), key=repr
+    )
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"]) for r in out), key=repr) == want
+    assert {(r["law"], r["grown_shard"]) for r in out} == {("rows", None)}
+    assert len({(r["shard"], r["slot"]) for r in out}) == len(out) and {r["slot"] for r in out} == {0}

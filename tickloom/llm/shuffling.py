@@ -8,8 +8,11 @@ hash order, which makes the result independent of arrival order, and shuffled by
 order then deals it to a shard and a slot, so shard sizes differ by one row at most.
 
 Copies of a text have ids of their own and scatter. Defined cases: a null text counts 16 bytes like
-an empty one. Null ids scatter by their texts. Rows equal in id and text are kept, share a bucket and
-get a slot each. An empty table gives an empty result. Extra columns are carried whatever their names.
+an empty one. Null ids scatter by their texts. Rows equal in id and text are kept and get a slot each;
+more than COPIES of them are scattered by all their columns and, where these are equal as well, by a
+number. A very long text is one record, which a bucket has to hold whole; buckets are measured by the
+bytes of all text columns. An empty table gives an empty result. Extra columns are carried whatever
+their names.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ SHARDS = 40
 BUCKET_BYTES = 16 << 20
 ROW_BYTES = 16
 SEED = 23
+COPIES = 64
+COPIES_PER_TASK = 1 << 16
 # Offsets, 16 bytes a bucket, are sent to all executors up to this many buckets and joined beyond.
 BROADCAST_BUCKETS = 1 << 18
 
@@ -37,6 +42,36 @@ def scatter_key(row: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), row.getField("doc_id"), row.getField("text"))
 
 
+def _held_bytes(docs: DataFrame) -> Column:
+    """About what a record takes in memory: its strings and 16 bytes for each column."""
+    strings = [F.octet_length(F.col(f"`{f.name}`")) for f in docs.schema if f.dataType.typeName() == "string"]
+    return sum((F.coalesce(size, F.lit(0)).cast("long") for size in strings), F.lit(16 * len(docs.columns)))
+
+
+def scatter_copies(keyed: DataFrame, copies: int = COPIES) -> DataFrame:
+    """Rows (record, key) with a key of its own for every row of a key that has over ``copies`` rows.
+
+    Such rows are counted by content, with partial aggregation, so that however many there are, one row
+    per task and content is shuffled. They are then drawn out again, numbered, some per task.
+    """
+    hot = materialise(
+        keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > copies).select("key"), "hot"
+    )
+    content = F.to_json("record", {"ignoreNullFields": "false"})
+    counted = (
+        keyed.join(hot, "key", "left_semi")
+        .groupBy("key", F.xxhash64(content).alias("k1"), F.xxhash64(F.lit(1), content).alias("k2"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.any_value("record").alias("record"))
+    )
+    steps = F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(COPIES_PER_TASK).cast("long"))
+    dealt = counted.withColumn("from", F.explode(steps)).repartition("key", "k1", "k2", "from")
+    last = F.least(F.col("from") + COPIES_PER_TASK, F.col("rows")) - 1
+    drawn = dealt.withColumn("number", F.explode(F.sequence("from", last)))
+    return keyed.join(hot, "key", "left_anti").select("record", "key").unionByName(
+        drawn.select("record", F.xxhash64("key", "k1", "k2", "number").alias("key"))
+    )
+
+
 def shuffle_to_shards(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -48,8 +83,8 @@ def shuffle_to_shards(
     ``bucket_bytes`` should be about a hundredth of an executor core's memory, as a bucket is held
     as rows of one array.
     """
-    keyed = packed(docs, "record").withColumn("key", scatter_key(F.col("record"), seed))
-    total = docs.agg(F.sum(record_bytes(F.col("text")))).first()[0] or 0
+    keyed = scatter_copies(packed(docs, "record").withColumn("key", scatter_key(F.col("record"), seed)))
+    total = docs.agg(F.sum(_held_bytes(docs))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     bucket = F.pmod("key", F.lit(buckets)).cast("int")
     offsets = (
