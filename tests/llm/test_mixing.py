@@ -6,7 +6,9 @@ import cases
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm.mixing import SEED, apportion, count_words, mix_sized, mix_texts, seeded, targets
+from tickloom.llm.mixing import (
+    SEED, apportion, count_words, in_shards, mix_sized, mix_texts, seeded, spread_places, targets,
+)
 
 
 def sized(docs):
@@ -90,6 +92,28 @@ def test_odd_rows_rerun_and_texts(spark):
     assert +per_id == +want
 
 
+def test_rows_without_id_and_equal_rows_spread_over_shards(spark):
+    rows = [(None, f"w {i} " * (1 + i % 5), "en", "hot", 0) for i in range(2000)]
+    rows += [(7, "the same five words again", "en", "hot", 0)] * 3000
+    rows += [(i, "w " * (i % 50), "en", f"s{i % 3}", 0) for i in range(500)]
+    docs = cases.documents(spark, rows)
+    spread = spread_places(sized(docs))
+    assert spread.count() == len(rows)
+    sources = spread.groupBy("source").agg(F.count("*").alias("documents"))
+    shards = in_shards(spread, sources).where("source = 'hot'").groupBy("shard").count().collect()
+    assert len(shards) == 71 and max(r["count"] for r in shards) < 2 * 5000 / 71
+    columns = ["doc_id", "source", "size", "target", "taken"]
+    first = cases.rows_of(mix_sized(sized(docs)).select(*columns))
+    assert first == cases.rows_of(mix_sized(sized(docs.repartition(5))).select(*columns))
+    taken, goal = collections.Counter(), {}
+    for _, source, size, target, own in first:
+        assert 0 <= own <= 3 * size
+        taken[source] += own
+        goal[source] = target
+    assert len(first) == len(rows)
+    assert all(abs(taken[s] - goal[s]) <= max(0.02 * goal[s], 24) for s in goal)
+
+
 def test_tables_without_words(spark):
     assert mix_texts(cases.none(spark)).count() == 0
     blank = cases.documents(spark, [(1, None, "en", "a", 0), (2, " ", "en", None, 1)])

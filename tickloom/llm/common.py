@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.session import materialise
 from tickloom.session import reach_workers as reach_workers
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -51,5 +52,31 @@ def packed(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
 
 
+def number_copies(
+    df: DataFrame, key: str, copies: int, per_task: int = 1 << 16
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of keys with at most ``copies`` rows, and all others with columns k1, k2 and ``number``.
+
+    The others are counted by content, with partial aggregation, so that however many are equal, one row
+    per task and content is shuffled. k1 and k2 are hashes of all columns; equal rows are drawn out again
+    and numbered from 0, ``per_task`` of them at once. (key, k1, k2, number) tells all rows apart. ``df``
+    has no columns k1, k2, number, rows or from; those of documents belong into a struct.
+    """
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > copies).select(key)
+    hot = materialise(hot, "hot")
+    counted = (
+        packed(df.join(hot, key, "left_semi"))
+        .select("_row", F.to_json("_row", {"ignoreNullFields": "false"}).alias("_content"))
+        .groupBy(F.xxhash64("_content").alias("k1"), F.xxhash64(F.lit(1), "_content").alias("k2"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.any_value("_row").alias("_row"))
+        .select("_row.*", "k1", "k2", "rows")
+    )
+    steps = F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(per_task).cast("long"))
+    dealt = counted.withColumn("from", F.explode(steps)).repartition("k1", "k2", "from")
+    last = F.least(F.col("from") + per_task, F.col("rows")) - 1
+    drawn = dealt.withColumn("number", F.explode(F.sequence("from", last))).drop("rows", "from")
+    return df.join(hot, key, "left_anti"), drawn
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

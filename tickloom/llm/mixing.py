@@ -11,9 +11,10 @@ q mod a blocks of the seeded stream once more, so documents are taken whole, but
 Blocks are never rows: their bounds are arithmetic, and their size costs nothing.
 
 Defined cases: a null or empty text has size 0 and nothing of it is taken. The null source is a
-source of its own, ordered last. Repeated rows are separate documents of the stream. Null ids share
-one place in the seeded order. A table without words takes nothing; an empty table gives an empty
-result. Extra columns are carried whatever their names, except one named like the result.
+source of its own, ordered last. Repeated rows are separate documents of the stream. Rows of one id, or
+without one, share a place in the seeded order; over SAME_PLACE of them have places by all their columns
+and, where these are equal as well, by a number, so no shard holds them all. A very long text is one
+document like any other. A table without words takes nothing; an empty table gives an empty result. Extra columns are carried whatever their names, except one named like the result.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WORD, packed, words_of
+from tickloom.llm.common import WORD, number_copies, packed, words_of
 from tickloom.session import materialise
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 BLOCK_WORDS = 8
 SEED = 17
+SAME_PLACE = 64
 
 
 def count_words(text: Column) -> Column:
@@ -190,6 +192,15 @@ def seeded(doc_id: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
 
+def spread_places(sized: DataFrame) -> DataFrame:
+    """Rows with a place of their own wherever over SAME_PLACE of them share one."""
+    others, drawn = number_copies(sized, "place", SAME_PLACE)
+    own = F.md5(F.concat_ws(":", "place", "k1", "k2", "number"))
+    return others.select(*sized.columns).unionByName(
+        drawn.withColumn("place", own).select(*sized.columns)
+    )
+
+
 def in_shards(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """Rows with their shard: the leading 32 bits of the seeded hash modulo ceil(sqrt(documents))."""
     counts = sources.select(F.col("source").alias("c_source"), *[c for c in sources.columns if c != "source"])
@@ -213,6 +224,7 @@ def mix_sized(
     ``taken`` counts the words taken, repeats included: ``taken div size`` times the whole document
     and then its first ``words_more`` words.
     """
+    sized = spread_places(sized)
     narrow = sized.select("source", "size", "place")
     sources, quotas = shard_quotas(narrow, weights, max_copies, block)
     rows = in_shards(sized, sources.select("source", "documents")).join(

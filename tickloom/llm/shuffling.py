@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import packed
+from tickloom.llm.common import number_copies, packed
 from tickloom.session import materialise
 
 SHARDS = 40
@@ -49,25 +49,9 @@ def _held_bytes(docs: DataFrame) -> Column:
 
 
 def scatter_copies(keyed: DataFrame, copies: int = COPIES) -> DataFrame:
-    """Rows (record, key) with a key of its own for every row of a key that has over ``copies`` rows.
-
-    Such rows are counted by content, with partial aggregation, so that however many there are, one row
-    per task and content is shuffled. They are then drawn out again, numbered, some per task.
-    """
-    hot = materialise(
-        keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > copies).select("key"), "hot"
-    )
-    content = F.to_json("record", {"ignoreNullFields": "false"})
-    counted = (
-        keyed.join(hot, "key", "left_semi")
-        .groupBy("key", F.xxhash64(content).alias("k1"), F.xxhash64(F.lit(1), content).alias("k2"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.any_value("record").alias("record"))
-    )
-    steps = F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(COPIES_PER_TASK).cast("long"))
-    dealt = counted.withColumn("from", F.explode(steps)).repartition("key", "k1", "k2", "from")
-    last = F.least(F.col("from") + COPIES_PER_TASK, F.col("rows")) - 1
-    drawn = dealt.withColumn("number", F.explode(F.sequence("from", last)))
-    return keyed.join(hot, "key", "left_anti").select("record", "key").unionByName(
+    """Rows (record, key) with a key of its own for every row of a key that has over ``copies`` rows."""
+    others, drawn = number_copies(keyed, "key", copies, COPIES_PER_TASK)
+    return others.select("record", "key").unionByName(
         drawn.select("record", F.xxhash64("key", "k1", "k2", "number").alias("key"))
     )
 
