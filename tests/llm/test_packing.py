@@ -60,16 +60,37 @@ def test_crossover_keeps_every_piece_once():
     assert len(better[0]) >= island.least
 
 
-def test_evolution_beats_best_fit_decreasing():
-    # triples that fill a bin exactly are not what best fit decreasing finds
-    rng = np.random.default_rng(7)
+def triples(n, size, seed):
+    """Lengths whose best packing is n full bins of three pieces, one of each over a third."""
+    rng = np.random.default_rng(seed)
     lengths = []
-    for _ in range(40):
-        a, b = rng.integers(420, 700), rng.integers(420, 700)
-        lengths += [int(a), int(b), int(2048 - a - b)]
-    island = Island(lengths, 2048, [3])
-    begun = island.start(6)
-    assert len(island.evolve(begun, 400)[0]) <= len(begun[0])
+    for _ in range(n):
+        a = int(rng.integers(int(size * 0.38), int(size * 0.49)))
+        b = int(rng.integers(size // 4, (size - a) // 2))
+        lengths += [a, b, size - a - b]
+    rng.shuffle(lengths)
+    return [int(n) for n in lengths]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_evolution_beats_best_fit_decreasing(seed):
+    lengths = triples(40, 2048, seed)
+    island = Island(lengths, 2048, [1, seed])
+    begun = island.start(8)
+    evolved = island.evolve(begun, 200)[0]
+    assert sorted(i for b in evolved for i in b) == list(range(120))
+    assert max(sum(lengths[i] for i in b) for b in evolved) <= 2048
+    decreasing = len(begun[0])
+    assert decreasing >= 46 and len(evolved) < min(map(len, begun)) and len(evolved) <= decreasing - 3
+
+
+def test_the_whole_packing_beats_best_fit_decreasing(spark):
+    lengths = triples(60, 2048, 4)
+    df = spark.createDataFrame(list(enumerate(lengths)), "row long, length long")
+    placed = pack(df, generations=150, population=8).join(df, "row").collect()
+    used = check_sequences(placed, 2048)
+    assert len(placed) == 180
+    assert used < len(Island(lengths, 2048, [0]).start(1)[0])
 
 
 def test_packs_tightly_and_repeats(spark):
