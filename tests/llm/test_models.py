@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 import zlib
 
 import cases
@@ -139,3 +140,58 @@ def test_short_texts_score_the_mean_of_their_own_words(spark):
 def test_isotonic_levels_never_fall():
     at, level = isotonic(np.array([0.0, 1, 2, 3]), np.array([2, 2, 2, 4]), np.array([1, 0, 2, 4]))
     assert at.tolist() == [0.5, 2 + 2 / 3] and level.tolist() == [0.25, 1.0]
+
+
+def described(text):
+    """The statistics of a text, counted without Spark."""
+    n = max(len(text), 1)
+    own = cases.words(text)
+    k = max(len(own), 1)
+    lines = text.split("\n")
+    share = lambda kept: sum(map(kept, text)) / n
+    return [
+        np.log1p(len(text)),
+        share(lambda c: unicodedata.category(c) == "Lu"),
+        *[share(lambda c, some=some: c in some) for some in ("#*$%&<>", "|", "!?", ".,;:", "0123456789", " \t\n\x0b\x0c\r")],
+        np.log1p(len(own)),
+        len("".join(own)) / k / 10,
+        len(set(own)) / k,
+        sum(a == b for a, b in zip(own, own[1:])) / k,
+        np.log1p(len(lines)),
+        len(set(lines)) / len(lines),
+    ]
+
+
+def test_quality_equals_a_fit_over_all_rows_at_once(spark):
+    docs, labels = corpus(spark, n=300, labelled=lambda i: i % 4)
+    got = {r["doc_id"]: r for r in score_quality(docs, labels).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    learned = [i for i in sorted(known) if zlib.crc32(str(i).encode()) % 5]
+    x = {i: np.array(described(t)) for i, t in texts.items()}
+    rows = np.stack([x[i] for i in learned])
+    y = np.array([known[i] for i in learned], dtype=float)
+    mean, scale = rows.mean(0), rows.std(0)
+    scale[scale <= 1e-9] = 1
+    rng = np.random.default_rng(31)
+    w, b = rng.normal(size=(rows.shape[1], 256)) / 3, rng.uniform(0, 2 * np.pi, 256)
+    phi = lambda r: np.append(np.sqrt(2 / 256) * np.cos(np.clip((r - mean) / scale, -8, 8) @ w + b), 1)
+    design = np.stack([phi(r) for r in rows])
+    # ridge as least squares with penalty rows
+    tall = np.vstack([design, np.sqrt(1e-3 * len(y)) * np.eye(257)])
+    beta = np.linalg.lstsq(tall, np.append(y, np.zeros(257)), rcond=None)[0]
+    raw = {i: float(phi(x[i]) @ beta) for i in x}
+    for i, value in raw.items():
+        assert got[i]["raw"] == pytest.approx(value, abs=1e-6)
+    step = 2 / 1024
+    # the calibration is recounted from the scores themselves, so that rounding moves no row to another bin
+    at = np.clip(np.floor((np.array([got[i]["raw"] for i in learned]) + 0.5) / step), 0, 1023)
+    bins = np.unique(at)
+    n, hits = (np.array([v[at == c].sum() for c in bins]) for v in (np.ones(len(y)), y))
+    means = lambda a, c: hits[a : c + 1].sum() / n[a : c + 1].sum()
+    level = [max(min(means(a, c) for c in range(i, len(bins))) for a in range(i + 1)) for i in range(len(bins))]
+    pools = [np.flatnonzero(np.isclose(level, v, rtol=0, atol=1e-12)) for v in dict.fromkeys(np.round(level, 12))]
+    centres = [((-0.5 + (bins[p] + 0.5) * step) * n[p]).sum() / n[p].sum() for p in pools]
+    levels = [level[p[0]] for p in pools]
+    for i in x:
+        assert got[i]["score"] == pytest.approx(float(np.interp(got[i]["raw"], centres, levels)), abs=1e-9)

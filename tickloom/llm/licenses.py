@@ -12,8 +12,8 @@ a document are exploded and joined inside one stage, and only matches, one row p
 diagonal, are shuffled. A passage that many documents share is matched document by document.
 
 Defined cases: a null or empty text has no words and no labels, and score 0. Repeated rows have a row
-each. Null ids stay null. An empty table gives an empty result. Only ``doc_id`` and ``text`` are
-read, whatever else there is.
+each. Null ids stay null. A very long text is scanned whole. An empty table gives an empty result. Only
+``doc_id`` and ``text`` are read, whatever else there is.
 """
 
 from __future__ import annotations

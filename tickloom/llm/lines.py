@@ -6,9 +6,10 @@ slices between them. Only hashes and positions are shuffled for the counting; te
 once, to meet their dropped positions. A line that a third of all documents hold is counted through
 partial aggregates, and its join partition is one that adaptive execution may split.
 
-Defined cases: a null or empty text is one empty line. A null id counts as one document, larger than
-any other. Repeated rows of one id are one document and keep their lines. Extra columns are carried
-whatever their names. An empty table gives an empty result.
+Defined cases: a null or empty text is one empty line. A null id counts as one document, larger than any
+other. Repeated rows of one id are one document and keep their lines. A very long text is cut at its
+lines like any other and put together in one row. Extra columns are carried whatever their names. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -10,11 +10,12 @@ blocks. A quota of q blocks in a shard of a blocks takes the whole shard q div a
 q mod a blocks of the seeded stream once more, so documents are taken whole, but for one per shard.
 Blocks are never rows: their bounds are arithmetic, and their size costs nothing.
 
-Defined cases: a null or empty text has size 0 and nothing of it is taken. The null source is a
-source of its own, ordered last. Repeated rows are separate documents of the stream. Rows of one id, or
-without one, share a place in the seeded order; over SAME_PLACE of them have places by all their columns
-and, where these are equal as well, by a number, so no shard holds them all. A very long text is one
-document like any other. A table without words takes nothing; an empty table gives an empty result. Extra columns are carried whatever their names, except one named like the result.
+Defined cases: a null or empty text has size 0 and nothing of it is taken. The null source is a source
+of its own, ordered last. Repeated rows are separate documents of the stream. Rows of one id, or without
+one, share a place in the seeded order; over SAME_PLACE of them have places by all their columns and,
+where these are equal as well, by a number, so no shard holds them all. A very long text is one document
+like any other. A table without words takes nothing; an empty table gives an empty result. Extra columns
+are carried whatever their names, except one named like the result.
 """
 
 from __future__ import annotations

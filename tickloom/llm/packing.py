@@ -12,9 +12,9 @@ the least number of bins that the tokens need.
 Groups have a fixed expected size, so a task's work does not grow with the table. Tokens, pieces and
 groups are written to the shared folder between the steps. Solutions depend on seeds only.
 
-Defined cases: a null or empty text is the one token that ends a document. Repeated rows are packed
-each. Null ids stay null. An empty table gives an empty result. Only ``doc_id`` and ``text`` are
-read, whatever else there is.
+Defined cases: a null or empty text is the one token that ends a document. A very long text is encoded
+whole, then cut. Repeated rows are packed each. Null ids stay null. An empty table gives an empty
+result. Only ``doc_id`` and ``text`` are read, whatever else there is.
 """
 
 from __future__ import annotations

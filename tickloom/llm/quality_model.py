@@ -10,10 +10,10 @@ All labelled rows outside the held-out fold are learned from. What reaches the d
 parameters: a square matrix of the number of features, and a histogram. Texts are read once; only
 statistics, a few numbers per document, are written and joined to the labels.
 
-Defined cases: a null or empty text has all statistics zero and is scored like any other. Null ids
-are never learned from and not held out. Repeated rows are scored, and if labelled learned from,
-each. Several labels of one id are averaged. Without learning rows every score is 0.5. An empty table
-gives an empty result. Only ``doc_id`` and ``text`` are read.
+Defined cases: a null or empty text has one empty line and is scored like any other. A very long text is
+described whole. Null ids are never learned from and not held out. Repeated rows are scored, and if
+labelled learned from, each. Several labels of one id are averaged. Without learning rows every score is
+0.5. An empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations

@@ -10,10 +10,10 @@ Counting shuffles one row per bin and task, and texts once, to meet the list of
 shuffles nothing: the weights, one number per bin, are a constant of the plan. No step groups by
 document, so long texts, copies and hot sources are ordinary rows.
 
-Defined cases: a null or empty text has no words, fails the base rules and scores 0. Null ids are
-never trusted. Repeated rows are counted and judged each. Without trusted documents, or with an
-empty table, all weights are 0 and the base rules alone decide. Extra columns are carried, except
-one named like the result.
+Defined cases: a null or empty text has no words, fails the base rules and scores 0. A very long text is
+counted whole, as one row. Null ids are never trusted. Repeated rows are counted and judged each.
+Without trusted documents, or with an empty table, all weights are 0 and the base rules alone decide.
+Extra columns are carried, except one named like the result.
 """
 
 from __future__ import annotations

@@ -18,9 +18,9 @@ both directions, once for each run.
 Spark deals the texts out; a text is worked on in one task in O(n log n) time and about 200 bytes a
 word. Texts are taken together up to ``BATCH_WORDS`` words, a longer one by itself.
 
-Defined cases: a null or empty text has no words and no runs. Repeated rows have a row each; null ids
-stay null. An empty table gives an empty result. Columns of the input are carried in one struct, so any
-names may occur.
+Defined cases: a null or empty text has no words and no runs. A very long text is searched whole, as one
+row. Repeated rows have a row each; null ids stay null. An empty table gives an empty result. Columns of
+the input are carried in one struct, so any names may occur.
 """
 
 from __future__ import annotations

@@ -7,12 +7,11 @@ hash order, which makes the result independent of arrival order, and shuffled by
 ``shuffle(array, seed)``, a Fisher-Yates shuffle inside the JVM. The place of a record in the whole
 order then deals it to a shard and a slot, so shard sizes differ by one row at most.
 
-Copies of a text have ids of their own and scatter. Defined cases: a null text counts 16 bytes like
-an empty one. Null ids scatter by their texts. Rows equal in id and text are kept and get a slot each;
-more than COPIES of them are scattered by all their columns and, where these are equal as well, by a
-number. A very long text is one record, which a bucket has to hold whole; buckets are measured by the
-bytes of all text columns. An empty table gives an empty result. Extra columns are carried whatever
-their names.
+Copies of a text have ids of their own and scatter. Defined cases: a null text counts 16 bytes like an empty one. Null ids scatter by their texts. Rows
+equal in id and text are kept and get a slot each; more than COPIES of them are scattered by all their
+columns and, where these are equal as well, by a number. A very long text is one record, which a bucket
+has to hold whole; buckets are measured by the bytes of all text columns. An empty table gives an empty
+result. Extra columns are carried whatever their names.
 """
 
 from __future__ import annotations

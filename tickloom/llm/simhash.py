@@ -12,10 +12,10 @@ Cells are cut into tiles after a range partitioning by (cell, bit count, fingerp
 a cell of any size over tasks; a fingerprint that a third of all documents share is one node; the
 final join of documents to their node's component is one whose partitions adaptive execution splits.
 
-Defined cases: a null text is empty. Texts without words have fingerprint zero and are linked like
-any others; shorter texts than a shingle are hashed whole. Null ids take part; a component of null
-ids alone has a null id. Repeated rows keep a row each. An empty table gives an empty result. Only
-the columns ``doc_id`` and ``text`` are read, whatever else there is.
+Defined cases: a null text is empty. Texts without words have fingerprint zero and are linked like any
+others; shorter texts than a shingle are hashed whole. A very long text is hashed whole. Null ids take
+part; a component of null ids alone has a null id. Repeated rows keep a row each. An empty table gives
+an empty result. Only the columns ``doc_id`` and ``text`` are read, whatever else there is.
 """
 
 from __future__ import annotations

@@ -16,10 +16,12 @@ hashes of all its runs of CHAIN + 1 words; in other texts each content word afte
 without a common word between starts a chain, hashed with its own.
 
 Defined cases: a null text is empty. A text without a complete chain and of fewer words than a run has
-one signature, the hash of all its words; a text without words, the hash of the text itself; so no set is empty and texts that
-differ only by case, punctuation or white space may share a fingerprint. Documents of equal id follow
-each other in the order of their text hashes; null ids come last, ordered by text hash and split into
-cells by it. The only row of a table follows itself. An empty table gives an empty result.
+one signature, the hash of all its words; a text without words, the hash of the text itself; so no set
+is empty and texts that differ only by case, punctuation or white space may share a fingerprint.
+Documents of equal id follow each other in the order of their text hashes; null ids come last, ordered
+by text hash and split into cells by it. The only row of a table follows itself. A very long text is
+signed whole, as one row. Extra columns are not read, whatever their names. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
