@@ -103,3 +103,12 @@ def test_query_on_a_whole_table(spark):
 def test_spark_hash_is_the_same(spark):
     row = spark.range(1).select(F.xxhash64(F.lit("a b c"))).first()
     assert row[0] == signed(xxhash.xxh64_intdigest(b"a b c", 42))
+
+
+def test_documents_without_id_are_no_group(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(60)) for name in ("oak", "elm", "ash")]
+    rows = [(None, text, "en", "a", 0) for text in [*texts, texts[0]]] + [(4, texts[2], "en", "a", 0)]
+    kept = drop_near_duplicates(cases.documents(spark, rows))
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(
+        [(None, texts[0]), (None, texts[1]), (4, texts[2])], key=repr
+    )

@@ -192,21 +192,22 @@ def near_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def components(signed: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id): of every fingerprint, the smallest document id that it can reach."""
+    """(fp, root, component_id): of every fingerprint, one that names all it can reach, and the smallest
+    document id among these, null if none has an id."""
     nodes = materialise(signed.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
     roots = connected_components(near_links(nodes.select("fp"), radius))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    return materialise(rooted.join(least, "root").select("fp", "component_id"), "components")
+    return materialise(rooted.join(least, "root").select("fp", "root", "component_id"), "components")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, t, fp, component_id) of every document."""
     reach_workers(docs.sparkSession)
     signed = materialise(fingerprints(docs), "fingerprints")
-    return signed.join(components(signed, radius), "fp")
+    return signed.join(components(signed, radius).drop("root"), "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -220,7 +221,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     chosen = (
         least.join(components(signed, radius), "fp")
-        .groupBy("component_id")
+        .groupBy("root")
         .agg(F.min("least").alias("least"))
         .select(F.col("least.id").alias("id"), F.col("least.t").alias("t"))
     )
