@@ -6,9 +6,12 @@ import zlib
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from tickloom.llm import packing, simhash
 from tickloom.llm.packing import Encoder, Island, default_tokenizer, pack, pack_documents
+from tickloom.session import materialise
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +130,29 @@ def test_other_sizes(spark, tokenizer):
         (16 * i, len(p)) for i, p in enumerate(pieces(tokenizer, cases.ROWS[0][1], 16))
     ]
     check_sequences(rows, 16)
+
+
+def test_texts_reach_workers_in_small_batches(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    seen, before = {}, spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    rows = [(i, "word " * 4000, "en", "a", 0) for i in range(600)]
+    docs = cases.documents(spark, rows).coalesce(1)
+
+    def written(df, step, **options):
+        # what a worker gets while the step's table is written
+        got = docs.select("text").mapInArrow(sizes, "bytes long").collect()
+        seen.setdefault(step, max(r["bytes"] for r in got))
+        return materialise(df, step, **options)
+
+    monkeypatch.setattr(packing, "materialise", written)
+    monkeypatch.setattr(simhash, "materialise", written)
+    few = docs.limit(2)
+    pack_documents(few).collect()
+    simhash.near_duplicates(few).collect()
+    assert seen["pieces"] < 6e6 and seen["fingerprints"] < 6e6 < seen["places"]
+    assert spark.conf.get(name) == before

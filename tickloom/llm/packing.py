@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import reach_workers, text_of
-from tickloom.session import materialise
+from tickloom.session import materialise, small_batches
 
 SEQUENCE = 2048
 END_ID = 0
@@ -45,7 +45,7 @@ POPULATION = 4
 GENERATIONS = 24
 SEED = 29
 WORD_CACHE = 350_000
-DOCUMENTS_AT_ONCE = 500
+DOCUMENTS_AT_ONCE = 250
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -462,9 +462,10 @@ def pack_documents(
 ) -> DataFrame:
     """Pieces of all documents with their ``sequence_id`` and ``offset``."""
     reach_workers(docs.sparkSession)
-    pieces = materialise(
-        tokenised(docs, tokenizer, size, with_ids).withColumn("row", F.monotonically_increasing_id()),
-        "pieces",
-    )
+    with small_batches(docs.sparkSession):
+        pieces = materialise(
+            tokenised(docs, tokenizer, size, with_ids).withColumn("row", F.monotonically_increasing_id()),
+            "pieces",
+        )
     places = materialise(pack(pieces.select("row", "length"), size, **settings), "places")
     return pieces.join(places, "row").drop("row")

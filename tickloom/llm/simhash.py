@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import LAST_ID, packed, reach_workers, text_of
 from tickloom.llm.components import connected_components
-from tickloom.session import materialise
+from tickloom.session import materialise, small_batches
 
 WORDS = 3
 HASH_SEED = 42
@@ -206,7 +206,8 @@ def components(signed: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, t, fp, component_id) of every document."""
     reach_workers(docs.sparkSession)
-    signed = materialise(fingerprints(docs), "fingerprints")
+    with small_batches(docs.sparkSession):
+        signed = materialise(fingerprints(docs), "fingerprints")
     return signed.join(components(signed, radius).drop("root"), "fp")
 
 
@@ -214,7 +215,8 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one document of each component: the smallest id, of equal ids the smallest text
     hash, of equal texts any one row."""
     reach_workers(docs.sparkSession)
-    signed = materialise(fingerprints(docs), "fingerprints")
+    with small_batches(docs.sparkSession):
+        signed = materialise(fingerprints(docs), "fingerprints")
     # one row per fingerprint before anything is joined, however many documents share it
     least = signed.groupBy("fp").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "t")).alias("least")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,6 +92,25 @@ def reach_workers(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """Whole texts go to Python workers in batches of about ``size`` while an action runs inside.
+
+    By default a batch has up to ten thousand rows whatever their size, and each task holds it several
+    times over: in the executor's buffers and, in the worker, as read and as Python strings.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether Spark's file systems know ``path``."""
     name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
