@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import random
 import re
 import unicodedata
@@ -10,6 +11,7 @@ import zlib
 import cases
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import toxicity
 from tickloom.llm.quality_model import isotonic, score_quality
@@ -234,3 +236,39 @@ def test_quality_equals_a_fit_over_all_rows_at_once(spark):
     levels = [level[p[0]] for p in pools]
     for i in x:
         assert got[i]["score"] == pytest.approx(float(np.interp(got[i]["raw"], centres, levels)), abs=1e-9)
+
+
+def test_plain_texts_meet_their_labels_where_they_lie(spark):
+    docs, labels = corpus(spark, n=200, labelled=lambda i: i % 3 != 0)
+    odd = [(700, "grobian und mehr", "en", "a", 0), (700, "zwei", "en", "a", 0), (701, None, "en", "a", 0)]
+    texts = docs.unionByName(cases.documents(spark, odd)).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    more = spark.createDataFrame([(700, 1, 0), (700, 1, 1), (701, 1, 0), (701, 1, 0)], labels.schema)
+    known = toxicity.label_of(labels.unionByName(more), "toxic")
+    rows = toxicity.learning_rows(texts, known)
+    want = toxicity.with_label(texts, known).collect()
+    told = collections.Counter((r["text"], r["label"] >= 0.5) for r in rows.collect())
+    assert told == collections.Counter((r["text"], r["label"] >= 0.5) for r in want)
+    # only texts that may be toxic are shuffled
+    plan = rows.select("text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and sum(r["label"] < 0.5 for r in want) > 60
+    before = toxicity.before_counts(toxicity.continuation_counts(toxicity.word_counts(rows)))
+    pairs = collections.Counter()
+    for r in want:
+        own = re.findall(r"[^\W\d_]+", r["text"].lower())
+        pairs.update((b, w) for b, w in zip([None, *own], own))
+    frequent = {b for (b, _), n in pairs.items() if n >= toxicity.MIN_COUNT}
+    n = collections.Counter()
+    for (b, _), k in pairs.items():
+        n[b] += k
+    assert sorted(r["n"] for r in before.collect()) == sorted(n[b] for b in frequent)
+
+
+def test_pairs_are_counted_before_they_are_shuffled(spark):
+    learning = spark.createDataFrame([("go home now " * 300, 1.0)] * 40, "text string, label double").coalesce(2)
+    counts = toxicity.word_counts(learning)
+    assert sorted(r["n"] for r in counts.where(F.col("word") != toxicity.END).collect()) == [40, 11960, 12000, 12000]
+    words = counts.groupBy("word", "stem").count()._jdf.queryExecution().executedPlan().toString()
+    assert words.count("Exchange hashpartitioning") == 1  # a word's pairs meet at once
+    tables = toxicity.continuation_counts(counts)
+    assert sorted(r["kind"] for r in tables.collect()) == ["last", *["pair"] * 4, "texts", *["word"] * 3]
+    assert "ReusedExchange" in tables._jdf.queryExecution().executedPlan().toString()

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import reach_workers, text_of
 from tickloom.llm.labels import fold, label_of, with_label
-from tickloom.session import materialise
+from tickloom.session import materialise, small_batches
 
 FOLDS, HELD_OUT = 4, 2
 STEM = 4
@@ -51,13 +51,15 @@ PAIR_BACKOFF = 10000.0
 MIN_COUNT = 4
 MIN_SHARE = 5e-7
 FILTER_LONGS = 1 << 21
+PAIRS_AT_ONCE = 1 << 21
 PASSAGE = 64
 MILD = 2.5
 STEPS = 1 << 16
 BINS = 512
 LOWEST, HIGHEST = -0.5, 1.5
-# what the first word of a text comes after, and what tells the key of a word before from its own
-START, BEFORE = 0x1F3D5B79A2C4E687, 0x2545F4914F6CDD1D
+# what the first word of a text comes after and what comes after its last one, and what tells the key
+# of a word before from its own
+START, END, BEFORE = 0x1F3D5B79A2C4E687, 0x3C6EF372FE94F82B, 0x2545F4914F6CDD1D
 
 
 def model_words(text: Column) -> Column:
@@ -80,66 +82,147 @@ def _pair_key(before: Column, word: Column) -> Column:
     return word.bitwiseXOR(turned)
 
 
+def learning_rows(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(text, label) of the rows of ``texts`` (doc_id, text) that have a label in ``known``.
+
+    Texts are large and most rows can be told by two filters of ids, which are sent to the executors: a row
+    that no labelled id can be is left out, one that no toxic or unlabelled id can be is plain. Only the
+    others, toxic ones and what the filters cannot tell, are shuffled to meet their labels.
+    """
+    reach_workers(texts.sparkSession)
+    status = materialise(
+        texts.select("doc_id")
+        .distinct()
+        .join(known.hint("merge"), F.col("doc_id") == F.col("l_id"), "left")
+        .select(_id_key(F.col("doc_id")).alias("key"), (F.col("label") >= 0.5).alias("is_toxic")),
+        "status",
+    )
+    filters = (
+        held_keys(status.where("is_toxic IS NOT NULL")),
+        held_keys(status.where("is_toxic IS NULL OR is_toxic")),
+    )
+    shared = texts.sparkSession.sparkContext.broadcast(filters)
+
+    def rows(plain: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            labelled, other = shared.value
+            for batch in batches:
+                keys = batch.column("key").to_numpy()
+                left = _may_hold(labelled, keys) & (_may_hold(other, keys) != plain)
+                yield batch.select(["doc_id", "text"]).filter(pa.array(left))
+
+        return texts.select(_id_key(F.col("doc_id")).alias("key"), "doc_id", "text").mapInArrow(
+            run, "doc_id long, text string"
+        )
+
+    told = with_label(rows(plain=False), known).select("text", "label")
+    return rows(plain=True).select("text", F.lit(0.0).alias("label")).unionAll(told)
+
+
+def _id_key(doc_id: Column) -> Column:
+    return F.xxhash64(doc_id)
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of the words of many texts, in order of their second word."""
+    parts, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        word, stem, before, toxic = (np.concatenate(column) for column in zip(*parts))
+        order = np.lexsort((before, word))
+        word, stem, before, toxic = (column[order] for column in (word, stem, before, toxic))
+        starts = np.flatnonzero(np.r_[True, (np.diff(word) != 0) | (np.diff(before) != 0)])
+        n = np.diff(np.append(starts, len(word)))
+        columns = [word[starts], stem[starts], n, np.add.reduceat(toxic, starts), before[starts]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column) for column in columns], names=["word", "stem", "n", "toxic", "before"]
+        )
+
+    for batch in batches:
+        words, text = _flat(batch.column("words"))
+        stems, _ = _flat(batch.column("stems"))
+        if not len(words):
+            continue
+        first = np.r_[True, text[1:] != text[:-1]]
+        before = np.roll(words, 1)
+        before[first] = START
+        last = np.roll(first, -1)
+        toxic = batch.column("is_toxic").to_numpy()[text]
+        parts.append((words, stems, before, toxic))
+        parts.append((np.full(last.sum(), END), np.zeros(last.sum(), np.int64), words[last], toxic[last]))
+        size += len(words)
+        if size >= PAIRS_AT_ONCE:
+            yield counted()
+            parts, size = [], 0
+    if size:
+        yield counted()
+
+
 def word_counts(learning: DataFrame) -> DataFrame:
     """(before, word, stem, n, toxic): occurrences of each word after each other one in learning rows
-    (text, label), toxic ones by label."""
+    (text, label), toxic ones by label; with those of ``END`` after the last words of texts.
+
+    Tasks count the pairs of many texts before they shuffle them. Rows go to a partition by their second
+    word and in its order, so that a run of pairs with one word takes little more than the words before.
+    """
+    reach_workers(learning.sparkSession)
     words = learning.select(
         model_words(F.col("text")).alias("w"), (F.col("label") >= 0.5).cast("long").alias("is_toxic")
     ).select(
-        F.transform("w", _word_key).alias("word"), F.transform("w", _stem_key).alias("stem"), "is_toxic"
-    )
-    start = F.array(F.lit(START).cast("long"))
-    pairs = words.withColumn("before", F.concat(start, "word")).select(
-        F.inline(F.arrays_zip("before", "word", "stem")), "is_toxic"
+        F.transform("w", _word_key).alias("words"), F.transform("w", _stem_key).alias("stems"), "is_toxic"
     )
-    # the last word of a text comes before none
     return (
-        pairs.where(F.col("word").isNotNull())
+        words.mapInArrow(_count_pairs, "word long, stem long, n long, toxic long, before long")
+        .repartition("word")
         .groupBy("before", "word", "stem")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("is_toxic").alias("toxic"))
+        .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     )
 
 
 def continuation_counts(pairs: DataFrame) -> DataFrame:
     """(kind, before, word, stem, n, toxic, c_toxic, c_plain): the rows of three tables, by ``kind``.
 
-    Words with the distinct words they come after in either class; words that come before pairs of
-    ``MIN_COUNT`` occurrences with the discounted counts of these; and these pairs.
+    Words with the distinct words they come after in either class, and a row for all texts; last words of
+    texts; and the pairs of ``MIN_COUNT`` occurrences with their discounted counts.
     """
     plain = F.col("n") - F.col("toxic")
-    frequent = F.col("n") >= MIN_COUNT
-    none = F.lit(None)
+    none, end = F.lit(None).cast("long"), F.col("word") == END
     words = pairs.groupBy("word", "stem").agg(
         F.sum("n").alias("n"),
         F.sum("toxic").alias("toxic"),
         F.sum((F.col("toxic") > 0).cast("double")).alias("c_toxic"),
         F.sum((plain > 0).cast("double")).alias("c_plain"),
     )
-    before = (
-        pairs.groupBy("before")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("toxic").alias("toxic"),
-            F.sum(F.when(frequent, _discounted(F.col("toxic"))).otherwise(0.0)).alias("c_toxic"),
-            F.sum(F.when(frequent, _discounted(plain)).otherwise(0.0)).alias("c_plain"),
-        )
-        .where("c_toxic + c_plain > 0")
-    )
     counts = ["n", "toxic", "c_toxic", "c_plain"]
-    return (
-        words.select(F.lit("word").alias("kind"), none.cast("long").alias("before"), "word", "stem", *counts)
-        .unionAll(
-            before.select(F.lit("before"), "before", none.cast("long"), none.cast("long"), *counts)
-        )
-        .unionAll(
-            pairs.where(frequent).select(
-                F.lit("pair"), "before", "word", "stem", "n", "toxic",
-                _discounted(F.col("toxic")), _discounted(plain),
-            )
+    # ``END`` is told apart by its kind: a filter would be pushed below the shuffle, which both sides share
+    kind = F.when(end, "texts").otherwise("word").alias("kind")
+    return words.select(kind, none.alias("before"), "word", "stem", *counts).unionAll(
+        pairs.where(end | (F.col("n") >= MIN_COUNT)).select(
+            F.when(end, "last").otherwise("pair"), "before", "word", "stem", "n", "toxic",
+            _discounted(F.col("toxic")), _discounted(plain),
         )
     )
 
 
+def before_counts(counted: DataFrame) -> DataFrame:
+    """(before, n, toxic, c_toxic, c_plain): what comes after a word, and of that the discounted counts of
+    frequent pairs; of words that have some.
+
+    A word comes before others as often as it occurs without being the last of a text.
+    """
+    paired = counted.where("kind = 'pair'").groupBy("before").agg(
+        F.sum("c_toxic").alias("c_toxic"), F.sum("c_plain").alias("c_plain")
+    )
+    # every text with words has one first and one last word
+    found = (
+        counted.where("kind = 'word'").select(F.col("word").alias("before"), "n", "toxic")
+        .unionAll(counted.where("kind = 'last'").select("before", -F.col("n"), -F.col("toxic")))
+        .unionAll(counted.where("kind = 'texts'").select(F.lit(START).cast("long"), "n", "toxic"))
+    )
+    totals = found.groupBy("before").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    return paired.where("c_toxic + c_plain > 0").join(totals, "before")
+
+
 def _discounted(count: Column) -> Column:
     return F.greatest(count - DISCOUNT, F.lit(0.0))
 
@@ -159,7 +242,8 @@ def _counting(ratio: Column) -> Column:
 def fit(learning: DataFrame) -> tuple[DataFrame, float] | None:
     """(key, ratio, sent): log-likelihood ratios of pairs, words and stems and of backing off after a
     word, and which go to the executors; and the largest ratio of backing off."""
-    counted = materialise(continuation_counts(word_counts(learning)), "counts")
+    with small_batches(learning.sparkSession):
+        counted = materialise(continuation_counts(word_counts(learning)), "counts")
     counts = counted.where("kind = 'word'").drop("kind", "before")
     total, toxic, plain = counts.agg(F.sum("n"), F.sum("c_toxic"), F.sum("c_plain")).first()
     if not total or not toxic or not plain:
@@ -207,7 +291,7 @@ def fit(learning: DataFrame) -> tuple[DataFrame, float] | None:
     # after a word: what its frequent pairs leave of it and the shared counts back off
     p_toxic, p_plain = PAIR_BACKOFF, PAIR_BACKOFF * plain / toxic
     n_toxic, n_plain = F.col("toxic") + p_toxic, F.col("n") - F.col("toxic") + p_plain
-    before = counted.where("kind = 'before'").select(
+    before = before_counts(counted).select(
         "before",
         F.col("n").alias("n_before"),
         n_toxic.alias("n_toxic"),
@@ -259,22 +343,26 @@ def sent_part(entries: DataFrame) -> dict[str, np.ndarray]:
     an entry pass as well, which then find nothing.
     """
     found = entries.where("sent").select("key", "ratio").toPandas().sort_values("key")
+    return {
+        "key": found["key"].to_numpy(np.int64),
+        "ratio": found["ratio"].to_numpy(np.float32),
+        "filter": held_keys(entries.where("NOT sent")),
+    }
+
+
+def held_keys(rows: DataFrame) -> np.ndarray:
+    """A filter that passes the ``key`` of every row, and the fuller it is, the more others as well."""
     bit = F.call_function(
         "shiftleft", F.lit(1).cast("long"), F.shiftright("key", 58).bitwiseAND(63).cast("int")
     )
     held = (
-        entries.where("NOT sent")
-        .groupBy(F.col("key").bitwiseAND(FILTER_LONGS - 1).alias("at"))
+        rows.groupBy(F.col("key").bitwiseAND(FILTER_LONGS - 1).alias("at"))
         .agg(F.bit_or(bit).alias("bits"))
         .toPandas()
     )
     bits = np.zeros(FILTER_LONGS, dtype=np.int64)
     bits[held["at"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64)
-    return {
-        "key": found["key"].to_numpy(np.int64),
-        "ratio": found["ratio"].to_numpy(np.float32),
-        "filter": bits,
-    }
+    return bits
 
 
 def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -493,7 +581,7 @@ def score_toxicity(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).where(
         fold(F.col("doc_id"), folds) != held_out
     )
-    model = fit(with_label(texts, known))
+    model = fit(learning_rows(texts, known))
     scored = materialise(raw_scores(docs, model), "raw")
     slope, offset = fit_curve(with_label(scored, known))
     score = 1 / (1 + F.exp(-(F.col("raw") * slope + offset)))
