@@ -51,7 +51,7 @@ PAIR_BACKOFF = 10000.0
 MIN_COUNT = 4
 MIN_SHARE = 5e-7
 FILTER_LONGS = 1 << 21
-PAIRS_AT_ONCE = 1 << 21
+PAIRS_AT_ONCE = 1 << 20
 PASSAGE = 64
 MILD = 2.5
 STEPS = 1 << 16
@@ -129,11 +129,13 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def counted() -> pa.RecordBatch:
         word, stem, before, toxic = (np.concatenate(column) for column in zip(*parts))
+        parts.clear()
         order = np.lexsort((before, word))
-        word, stem, before, toxic = (column[order] for column in (word, stem, before, toxic))
+        word, before = word[order], before[order]
         starts = np.flatnonzero(np.r_[True, (np.diff(word) != 0) | (np.diff(before) != 0)])
         n = np.diff(np.append(starts, len(word)))
-        columns = [word[starts], stem[starts], n, np.add.reduceat(toxic, starts), before[starts]]
+        toxic = np.add.reduceat(toxic[order], starts)
+        columns = [word[starts], stem[order[starts]], n, toxic, before[starts]]
         return pa.RecordBatch.from_arrays(
             [pa.array(column) for column in columns], names=["word", "stem", "n", "toxic", "before"]
         )
@@ -153,7 +155,7 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size += len(words)
         if size >= PAIRS_AT_ONCE:
             yield counted()
-            parts, size = [], 0
+            size = 0
     if size:
         yield counted()
 
@@ -582,7 +584,8 @@ def score_toxicity(
         fold(F.col("doc_id"), folds) != held_out
     )
     model = fit(learning_rows(texts, known))
-    scored = materialise(raw_scores(docs, model), "raw")
+    with small_batches(docs.sparkSession):
+        scored = materialise(raw_scores(docs, model), "raw")
     slope, offset = fit_curve(with_label(scored, known))
     score = 1 / (1 + F.exp(-(F.col("raw") * slope + offset)))
     return scored.select(
