@@ -19,8 +19,8 @@ without it has an entry of its own in a written table, which grows with the inpu
 before such pairs for what backing off after it adds. Entries whose share of the words learned from reaches ``MIN_SHARE``, at most
 1 / MIN_SHARE of each kind, twelve bytes each, are sent to the executors; the others are looked up
 by a join with the distinct words of each text that may have one, as far as a filter of fixed size
-can tell. Where the border lies decides only how an entry is found, not what a text scores. Texts are
-shuffled once, to meet their labels.
+can tell. Where the border lies decides only how an entry is found, not what a text scores. Of the texts
+only those are shuffled, to meet their labels, that filters of ids cannot tell to be plain or unlabelled.
 
 Defined cases: a null or empty text has no words and gets the curve's value at 0. Null ids are never
 learned from and not held out. A very long text is scored by its worst passage, wherever it lies.
